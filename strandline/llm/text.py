@@ -8,15 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z and leaves every other byte alone.
 ASCII_LOWER = bytes.maketrans(UPPER, LOWER)
-#: Rows in an Arrow batch: whole texts are long, so batches are kept short to bound a worker's memory.
-BATCH_ROWS = 512
+#: Rows and bytes in an Arrow batch: whole texts are long, so batches are kept short to bound a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+#: Bytes of a batch that are turned into Python objects at once (at least one row).
+SLICE_BYTES = 1 << 20
 
 
 def short_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers get; whole documents make the default of 10,000 rows large."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``SLICE_BYTES``."""
+    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable]], schema: str) -> DataFrame:
@@ -26,7 +36,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = make()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             columns = worker(batch)
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
