@@ -1,0 +1 @@
+"""Column expressions: numbers, statistics, geometry, geodesy and names. No UDFs."""

@@ -1,4 +1,7 @@
 """All queries by name, and the equivalent SQL of those that SQL can express."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from strandline.plans import pixels, rasters, rates, spatial, surveys
+
+PARTS = (pixels, rates, spatial, surveys, rasters)
+QUERIES = {name: f for part in PARTS for name, f in part.QUERIES.items()}
+ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.ORACLE_SQL.items()}
