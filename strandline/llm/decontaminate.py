@@ -5,11 +5,11 @@ the words inside it and names the items that own the window. Offsets in the text
 that are hit.
 
 The automaton is broadcast, so its size is checked: items beyond ``MAX_BYTES`` of normalised text are split over
-several automata, which are sent and scanned one after the other; their marks are merged per document.
+several automata, which are built and scanned one after the other; each adds its marks to the row at hand.
 
 Defined results: null text has no words and is never hit; items without words (null, empty) own no window and items without an id are left out; equal windows
-belong to every item that has them; repeated documents each get a row (where several automata are needed, documents are
-told apart by id and text); an item id that repeats counts once; further columns are ignored; an empty benchmark hits nothing.
+belong to every item that has them; repeated documents each get a row; an item id that repeats counts once; further
+columns are ignored; an empty benchmark hits nothing.
 """
 
 import re
@@ -152,10 +152,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BY
     parts = automata(benchmark, max_bytes)
     if len(parts) == 1:
         return _scanned(rows, parts[0])
-    return _merged(rows, parts)
+    return _scanned_in_parts(rows, parts)
 
 
-def _merged(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
+def _scanned_in_parts(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
     """Scan with one automaton after the other; each pass adds its marks to the row it has, so no row is matched up again."""
     spark = rows.sparkSession
     sent = [spark.sparkContext.broadcast(p) for p in parts]
@@ -170,7 +170,6 @@ def _merged(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
                     n[i], more, items = scan(text, automaton, values)
                     hit[i] += more
                     own[i] |= items
-                part.unpersist()
             hit = [merged(h) for h in hit]
             chars = [[{"start": a, "end": b} for a, b in offsets(t, h)] if h else [] for t, h in zip(texts, hit, strict=True)]
             return [batch.column(0), n, [[{"first": a, "past": b} for a, b in h] for h in hit], [sorted(o) for o in own], chars]
