@@ -14,10 +14,12 @@ outside the vocabulary is an error.
 
 import base64
 from bisect import bisect_left
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +28,12 @@ from pyspark.sql import functions as F
 from strandline.llm.text import map_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CHUNK, OVERLAP, LONG = 1 << 14, 1 << 9, 1 << 15
+CHUNK, OVERLAP = 1 << 15, 1 << 9
+LONG = CHUNK + OVERLAP
 #: Cuts this near to the end of a chunk are not trusted: the match there may have gone on.
 MARGIN = 64
 #: Pieces that a worker remembers; beyond, it starts afresh.
-CACHE = 400_000
+CACHE = 150_000
 
 
 def ranks_of(data: bytes) -> dict[bytes, int]:
@@ -41,39 +44,44 @@ class Bpe:
     """A worker's coder: ranks, the pre-token pattern and the ids of pieces seen."""
 
     def __init__(self, data: bytes, pattern: str):
-        ranks = ranks_of(data)
         self.pattern = regex.compile(pattern)
-        self.coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.piece = self.coder._core_bpe.encode_single_piece
+        self.coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks_of(data), special_tokens={})
         self.known: dict[str, list[int]] = {}
 
-    def encode_pieces(self, pieces: list[str]) -> list[int]:
-        known, out = self.known, []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                if len(known) > CACHE:
-                    known.clear()
-                raw = p.encode("utf-8", "surrogatepass")
-                ids = self.piece(raw)
-                if len(p) < 64:
-                    known[p] = ids
-            out += ids
+    def by_piece(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each pre-token; each distinct one is merged once."""
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        for p in set(pieces).difference(known):
+            known[p] = self.coder._core_bpe.encode_single_piece(p.encode("utf-8", "surrogatepass"))
+        out = list(map(known.__getitem__, pieces))
+        for p in (p for p in set(pieces) if len(p) > 64):  # long ones are not kept
+            del known[p]
         return out
 
-    def cuts(self, text: str) -> list[int]:
-        return [m.start() for m in self.pattern.finditer(text)]
+    def cuts(self, text: str) -> tuple[list[int], list[str]]:
+        """Starts of the pre-tokens of a chunk, and they themselves."""
+        pieces = self.pattern.findall(text)
+        return list(accumulate(map(len, pieces), initial=0))[:-1], pieces
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a whole text, chunk by chunk."""
-        if len(text) <= CHUNK + OVERLAP:
-            return self.pattern.findall(text)
         starts = list(range(0, len(text), CHUNK))
-        cuts = stitched(text, [(s, [s + c for c in self.cuts(text[s : s + CHUNK + OVERLAP])]) for s in starts], self.pattern)
+        cuts = stitched(text, [(s, [s + c for c in self.cuts(text[s : s + CHUNK + OVERLAP])[0]]) for s in starts], self.pattern)
         return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_pieces(self.pieces(text)) if text else []
+        if not text:
+            return []
+        if len(text) <= CHUNK + OVERLAP:  # a single chunk: nothing to stitch
+            return self.coder.encode_ordinary(text)
+        return list(chain.from_iterable(self.by_piece(self.pieces(text))))
+
+    def encode_to_numpy(self, text: str) -> np.ndarray:
+        if len(text) <= CHUNK + OVERLAP:
+            return self.coder.encode_to_numpy(text)
+        return np.array(self.encode(text), np.uint32)
 
 
 def join_point(left: list[int], right: list[int], left_end: int) -> int | None:
@@ -122,7 +130,7 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_toke
         bpe = Bpe(sent.value, pattern)
 
         def work(batch):
-            return [batch.column(0), _lists([bpe.encode(t) for t in batch.column(1).to_pylist()])]
+            return [batch.column(0), _lists([bpe.encode_to_numpy(t) for t in batch.column(1).to_pylist()])]
 
         return work
 
@@ -130,9 +138,9 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_toke
     return short.unionByName(_encoded_long(rows.where(F.length("text") > long), sent, pattern))
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    flat = np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
@@ -146,14 +154,14 @@ def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
         bpe = Bpe(sent.value, pattern)
 
         def work(batch):
-            k, cuts, sizes, ids = batch.column(3).to_pylist(), [], [], []
-            for i, part in zip(k, batch.column(4).to_pylist(), strict=True):
-                own = bpe.cuts(part)
-                tokens = [bpe.encode_pieces([part[a:b]]) for a, b in zip(own, [*own[1:], len(part)], strict=True)]
-                cuts.append([i * CHUNK + c for c in own])
-                sizes.append([len(t) for t in tokens])
-                ids.append([x for t in tokens for x in t])
-            return [*batch.columns[:4], batch.column(4), cuts, sizes, ids]
+            cuts, sizes, ids = [], [], []
+            for k, part in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                own, pieces = bpe.cuts(part)
+                tokens = bpe.by_piece(pieces)
+                cuts.append(np.array(own, np.int32) + k * CHUNK)
+                sizes.append(np.fromiter(map(len, tokens), np.int32, len(tokens)))
+                ids.append(np.fromiter(chain.from_iterable(tokens), np.int32))
+            return [*batch.columns, *map(_lists, (cuts, sizes, ids))]
 
         return work
 
@@ -167,10 +175,12 @@ def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
 
         def work(batch):
             doc, ids = [], []
-            for i, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_k = {c["k"]: c for c in chunks}
-                found = join_chunks(bpe, [by_k[k] for k in sorted(by_k)])
-                times = sum(c["k"] == 0 for c in chunks)  # repeated rows
+            for i, chunks in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                k, part, *lists = chunks.values.flatten()
+                number = k.to_pylist()
+                first = {x: j for j, x in reversed(list(enumerate(number)))}  # repeated rows bring their chunks again
+                found = join_chunks(bpe, [(part[j].as_py(), *(a[j].values.to_numpy() for a in lists)) for _, j in sorted(first.items())])
+                times = number.count(0)
                 doc += [i] * times
                 ids += [found] * times
             return [doc, _lists(ids)]
@@ -180,21 +190,32 @@ def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
     return map_batches(whole.select("doc_id", "chunks"), make_join, "doc_id long, ids array<int>")
 
 
-def join_chunks(bpe: Bpe, chunks: list[dict]) -> list[int]:
-    """Ids of a document from its chunks; pieces are encoded anew only where the cuts of chunks had to be mended."""
-    text = "".join(c["part"][:CHUNK] for c in chunks[:-1]) + chunks[-1]["part"]
-    cuts = stitched(text, [(c["k"] * CHUNK, c["cuts"]) for c in chunks], bpe.pattern)
-    ready: dict[tuple[int, int], list[int]] = {}
-    for c in chunks:
-        at, ends = 0, [*c["cuts"][1:], c["k"] * CHUNK + len(c["part"])]
-        for a, b, n in zip(c["cuts"], ends, c["sizes"], strict=True):
-            ready[a, b] = c["ids"][at : at + n]
-            at += n
-    out: list[int] = []
-    for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
-        ids = ready.get((a, b))
-        out += bpe.encode_pieces([text[a:b]]) if ids is None else ids
-    return out
+def join_chunks(bpe: Bpe, chunks: list[tuple]) -> np.ndarray:
+    """Ids of a document from its chunks (text, cuts, tokens of each piece, ids), in order.
+
+    Each chunk gives the ids of its pieces from one join to the next. Where an overlap has no join, the whole text is
+    pre-tokenised again from the last sure cut on, and its pieces are encoded.
+    """
+    out, low, end = [], 0, 0
+    for k, (part, cuts, sizes, ids) in enumerate(chunks):
+        end = k * CHUNK + len(part)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        if k + 1 == len(chunks) or len(part) <= CHUNK:  # it reaches the end of the text
+            out.append(ids[at[np.searchsorted(cuts, low)] :])
+            break
+        shared = np.intersect1d(cuts[np.searchsorted(cuts, (k + 1) * CHUNK) :], chunks[k + 1][1])
+        shared = shared[shared < end - MARGIN]
+        if not len(shared):
+            text = "".join(c[0][:CHUNK] for c in chunks)
+            if len(chunks[-1][0]) > CHUNK:
+                text += chunks[-1][0][CHUNK:]
+            cuts_all = stitched(text, [(j * CHUNK, c[1].tolist()) for j, c in enumerate(chunks)], bpe.pattern)
+            pieces = [text[a:b] for a, b in zip(cuts_all, [*cuts_all[1:], len(text)], strict=True)]
+            return np.array(list(chain.from_iterable(bpe.by_piece(pieces))), np.int32)
+        high = int(shared[0])
+        out.append(ids[at[np.searchsorted(cuts, low)] : at[np.searchsorted(cuts, high)]])
+        low = high
+    return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 
 def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
@@ -202,11 +223,24 @@ def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
     sent = vocabulary(tokens.sparkSession, path or public_tokenizers.path(VOCABULARY))
 
     def make():
-        table = {i: raw for raw, i in ranks_of(sent.value).items()}
+        table = sorted((i, raw) for raw, i in ranks_of(sent.value).items())
+        if [i for i, _ in table] != list(range(len(table))):
+            raise ValueError("ranks must be the numbers from 0 on")
+        pool = np.frombuffer(b"".join(raw for _, raw in table), np.uint8)
+        size = np.array([len(raw) for _, raw in table], np.int64)
+        start = np.cumsum(size) - size
 
         def work(batch):
-            data = [b"".join(map(table.__getitem__, ids or ())) for ids in batch.column(1).to_pylist()]
-            return [batch.column(0), batch.column(1), pa.array(data, pa.binary())]
+            lists = batch.column(1)
+            ids = lists.flatten().to_numpy()
+            if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(size):
+                raise ValueError("an id lies outside the vocabulary")
+            n = size[ids]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            data = pool[np.repeat(start[ids] - ends[:-1], n) + np.arange(ends[-1])]
+            counts = np.array([0 if c is None else c for c in pc.list_value_length(lists).to_pylist()], np.int64)
+            offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+            return [batch.column(0), lists, pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
 
         return work
 
