@@ -7,7 +7,7 @@ The count of a text is the sum of the counts of its pre-tokens; the model's own
 
 1. Frequencies of pre-tokens over the corpus: pre-aggregated in each batch, then by key.
 2. Each distinct pre-token is counted once by the model.
-3. The ``COMMON`` most frequent counts are broadcast (a fixed bound); a document's other pre-tokens are joined to the table
+3. The counts of at most ``COMMON`` of the most frequent pre-tokens are broadcast; a document's other pre-tokens are joined to the table
    of counts by key and summed. So no frequent key is ever shuffled per document, and no rare one is lost.
 
 Defined results: null text counts as empty and has no tokens; repeated rows each get a row; null ids too; an empty table
@@ -18,6 +18,7 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,15 +89,17 @@ def counted(docs: DataFrame, path: str | None = None, common: int = COMMON) -> D
     seen = map_batches(texts, make_seen, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     table = durable(map_batches(seen, make_counted, "piece string, n long, tokens int"), "piece-counts")
     size = F.length("piece")
-    top = [
-        table.where(where).orderBy(F.desc("n"), "piece").select("piece", "tokens").limit(n).collect()
-        for where, n in ((size <= COMMON_CHARS, common), ((size > COMMON_CHARS) & (size <= LONG_CHARS), min(common, LONG_COMMON)))
-    ]
-    known = spark.sparkContext.broadcast({r.piece: r.tokens for part in top for r in part})
+    known = spark.sparkContext.broadcast(
+        [
+            _frequent(table.where(size <= COMMON_CHARS), common),
+            _frequent(table.where((size > COMMON_CHARS) & (size <= LONG_CHARS)), min(common, LONG_COMMON)),
+        ]
+    )
 
     def make_summed():
         counts = Counts(sent.value)
-        get = known.value.get
+        pairs = pa.concat_tables(map(_table, known.value))
+        get = dict(zip(pairs["piece"].to_pylist(), pairs["tokens"].to_pylist(), strict=True)).get
 
         def work(batch):
             totals, rest = [], []
@@ -128,6 +131,31 @@ def counted(docs: DataFrame, path: str | None = None, common: int = COMMON) -> D
     return part.drop("rest").join(more, "row", "left").select("doc_id", "n_bytes", total.cast("long").alias("n_tokens"))
 
 
+def _frequent(table: DataFrame, most: int) -> bytes:
+    """At most ``most`` of the most frequent pieces and their counts, as an Arrow stream.
+
+    A histogram of the frequencies (steps of a quarter of a power of two, a few hundred at most) gives the lowest
+    frequency from which on there are so few pieces; no sort, and no more rows than that come to the driver.
+    """
+    step = F.floor(4 * F.log2("n")).cast("int")
+    above, lowest = 0, None
+    for r in table.groupBy(step.alias("step")).agg(F.count("*").alias("k")).orderBy(F.desc("step")).collect():
+        above += r.k
+        if above > most:
+            break
+        lowest = r.step
+    got = table.where(step >= lowest) if lowest is not None else table.limit(0)
+    found = got.select("piece", "tokens").toArrow()
+    with pa.BufferOutputStream() as out:
+        with pa.ipc.new_stream(out, found.schema) as writer:
+            writer.write_table(found)
+        return out.getvalue().to_pybytes()
+
+
+def _table(stream: bytes) -> pa.Table:
+    return pa.ipc.open_stream(stream).read_all()
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = counted(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.withColumn("over_limit", F.col("n_tokens") > LIMIT)

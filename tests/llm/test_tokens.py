@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 import tiktoken
@@ -49,7 +50,15 @@ def test_chunks_are_stitched(monkeypatch):
     for _ in range(300):
         alphabet = rng.choice(["ab ", "a1.' \n", "it's 'll  \t\nxy", "日本 é", "a", " ", "<|>#"])
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1500)))
-        assert coder.encode(text) == enc.encode_ordinary(text), text
+        want = enc.encode_ordinary(text)
+        assert coder.encode(text) == want, text
+        chunks = []
+        for start in range(0, len(text), 100):  # as the tasks that have one chunk each make them
+            cuts, pieces = coder.cuts(text[start : start + 140])
+            ids = coder.by_piece(pieces)
+            lists = ([c + start for c in cuts], [len(x) for x in ids], [i for x in ids for i in x])
+            chunks.append((text[start : start + 140], *(np.array(x, np.int32) for x in lists)))
+        assert bpe.join_chunks(coder, chunks).tolist() == want, text
 
 
 def test_token_counts_equal_the_library(spark, sf, texts, odd_docs, no_docs):
