@@ -38,7 +38,7 @@ def albers(lon: Column, lat: Column, parallels=PARALLELS, origin=ORIGIN) -> Colu
 
 
 def albers_inverse(x: Column, y: Column, parallels=PARALLELS, origin=ORIGIN) -> Column:
-    """Metres to degrees, as ``struct<lon, lat>``; the latitude from the authalic one by series (exact to 1e-9 degrees)."""
+    """Metres to degrees, as ``struct<lon, lat>``; the latitude from the authalic one by series (to some millimetres)."""
     n, c, rho0 = albers_constants(parallels, origin)
     side = 1 if n > 0 else -1
     rho = F.hypot(x, rho0 - y)

@@ -176,12 +176,11 @@ def cloud_cleanup(mask: np.ndarray, close: int = 2, open_: int = 10, widen: int
 
 
 def hillshade(dem: np.ndarray, elevation: float, azimuth: float) -> np.ndarray:
-    """Illumination from 0 to 1 of a terrain of unit cells under a sun (degrees)."""
+    """Illumination of a terrain of unit cells (rows go south) under a sun in degrees: 1 faces it, 0.5 is edge-on, 0 faces away."""
     gy, gx = np.gradient(dem)
-    slope, aspect = np.arctan(np.hypot(gx, gy)), np.arctan2(-gx, gy)
-    up, turn = np.radians(elevation), np.radians(360 - azimuth + 90)
-    shade = np.sin(up) * np.cos(slope) + np.cos(up) * np.sin(slope) * np.cos(turn - np.pi / 2 - aspect)
-    return (shade + 1) / 2
+    up, turn = np.radians(elevation), np.radians(azimuth)
+    facing = (np.sin(up) - np.cos(up) * (np.sin(turn) * gx - np.cos(turn) * gy)) / np.sqrt(1 + gx * gx + gy * gy)
+    return (facing + 1) / 2
 
 
 def terrain_shadow(dem: np.ndarray, elevation: float, azimuth: float, threshold: float = 0.5, radius: int = 1) -> np.ndarray:

@@ -56,7 +56,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("date"),
         F.col("event_id").alias("ord"),
         (F.col("event_id") % 97).cast("double").alias("distance"),
-        (F.col("value") / 10 - (F.col("event_id") % 97) / 20.0).alias("z"),
+        (F.col("value") * 0.09731 - (F.col("event_id") % 97) * 0.05173).alias("z"),
         ((F.col("event_id") % 97) * 3.0 + F.col("user_id") % 50).alias("x"),
         ((F.col("event_id") % 97) * 4.0 + F.col("event_id") % 3).alias("y"),
         F.col("event_type").alias("source"),
@@ -64,7 +64,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PROFILES = """prof AS (SELECT 'p' || (user_id % 50)::VARCHAR AS id, ts::DATE AS date, event_id AS ord, (event_id % 97)::DOUBLE AS distance,
-  value / 10 - (event_id % 97) / 20.0::DOUBLE AS z, (event_id % 97) * 3.0::DOUBLE + user_id % 50 AS x, (event_id % 97) * 4.0::DOUBLE + event_id % 3 AS y,
+  value * 0.09731::DOUBLE - (event_id % 97) * 0.05173::DOUBLE AS z, (event_id % 97) * 3.0::DOUBLE + user_id % 50 AS x, (event_id % 97) * 4.0::DOUBLE + event_id % 3 AS y,
   event_type AS source FROM events)"""
 
 

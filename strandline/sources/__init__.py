@@ -1,0 +1 @@
+"""Sources: pixel tables, rasters by year, GeoJSON layers, and survey text files."""
