@@ -14,6 +14,7 @@ columns are ignored; an empty benchmark hits nothing.
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -68,21 +69,23 @@ def build(items: list[tuple], width: int = WINDOW) -> tuple[ahocorasick.Automato
     return automaton, values
 
 
-def scan(text: str | None, automaton, values) -> tuple[int, list[tuple[int, int]], set]:
-    """Number of words, merged (first, past last) word spans that are hit, and the items found."""
+def scan(text: str | None, automaton, values) -> tuple[int, list[tuple[int, int]], dict]:
+    """Number of words, merged (first, past last) word spans that are hit, and the items found.
+
+    The items have the number of their different windows that occur.
+    """
     words = words_of(text)
     if automaton is None or not words:
-        return len(words), [], set()
+        return len(words), [], {}
     joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-    starts, spans, items = None, [], set()
+    starts, spans, seen = None, [], set()
     for end, k in automaton.iter(joined):
         if starts is None:  # place of the space before each word
             starts = list(accumulate((len(w.decode("utf-8", "surrogatepass")) + 1 for w in words), initial=0))
-        n, own = values[k]
         last = bisect_right(starts, end)
-        spans.append((last - 1 - n, last - 1))
-        items.update(own)
-    return len(words), merged(spans), items
+        spans.append((last - 1 - values[k][0], last - 1))
+        seen.add(k)
+    return len(words), merged(spans), Counter(item for k in seen for item in values[k][1])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -169,7 +172,7 @@ def _scanned_in_parts(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
                 for i, text in enumerate(texts):
                     n[i], more, items = scan(text, automaton, values)
                     hit[i] += more
-                    own[i] |= items
+                    own[i] |= items.keys()
             hit = [merged(h) for h in hit]
             chars = [[{"start": a, "end": b} for a, b in offsets(t, h)] if h else [] for t, h in zip(texts, hit, strict=True)]
             return [batch.column(0), n, [[{"first": a, "past": b} for a, b in h] for h in hit], [sorted(o) for o in own], chars]
@@ -179,6 +182,11 @@ def _scanned_in_parts(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
     return map_batches(rows, make, RESULT)
 
 
+def has_whole(items: dict, values: list) -> bool:
+    """Whether all windows of one of the items were found."""
+    return bool(items) and any(n == sum(item in own for _, own in values) for item, n in items.items())
+
+
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the given code point spans."""
     out, at = [], 0
@@ -189,9 +197,10 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_ITEMS) -> DataFrame:
-    """``docs`` without contaminated documents; the passages of fewer items than that are cut out of their document.
+    """``docs`` without those that hold passages of ``min_items`` items, or every window of one.
 
-    Texts are judged where they lie, without a shuffle; ``n_chars`` follows a cut.
+    Lesser passages are cut out of their document. Texts are judged where they lie, without a shuffle; ``n_chars``
+    follows a cut.
     """
     short_batches(docs.sparkSession)
     parts = [docs.sparkSession.sparkContext.broadcast(p) for p in automata(benchmark)]
@@ -203,12 +212,14 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_I
         def clean(text):
             if text is None:
                 return ""
-            spans, own = [], set()
+            spans, own, whole = [], set(), False
             for k, part in enumerate(parts):
-                _, hit, items = scan(text, *(build(part.value) if k else first))
+                automaton, values = build(part.value) if k else first
+                _, hit, items = scan(text, automaton, values)
                 spans += hit
-                own |= items
-            if len(own) >= min_items:
+                own |= items.keys()
+                whole = whole or has_whole(items, values)
+            if whole or len(own) >= min_items:
                 return None
             return cut(text, offsets(text, merged(spans))) if spans else text
 
