@@ -32,6 +32,8 @@ CHUNK, OVERLAP = 1 << 15, 1 << 9
 LONG = CHUNK + OVERLAP
 #: Cuts this near to the end of a chunk are not trusted: the match there may have gone on.
 MARGIN = 64
+#: Of a chunk: the cuts in the overlaps at its start and at its end with the number of ids before each, and its ids.
+CHUNK_ARRAYS = ("head", "head_at", "tail", "tail_at", "ids")
 #: Pieces that a worker remembers; beyond, it starts afresh.
 CACHE = 150_000
 
@@ -65,6 +67,14 @@ class Bpe:
         pieces = self.pattern.findall(text)
         return list(accumulate(map(len, pieces), initial=0))[:-1], pieces
 
+    def chunk(self, part: str) -> tuple[np.ndarray, ...]:
+        """What a chunk gives for its joins: its ``CHUNK_ARRAYS``."""
+        cuts, pieces = self.cuts(part)
+        tokens, cuts = self.by_piece(pieces), np.array(cuts, np.int32)
+        at = np.cumsum([0, *map(len, tokens)])[:-1] if tokens else np.zeros(0, np.int64)
+        head, tail = cuts < OVERLAP, cuts >= CHUNK
+        return cuts[head], at[head], cuts[tail], at[tail], np.fromiter(chain.from_iterable(tokens), np.int32)
+
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a whole text, chunk by chunk."""
         starts = list(range(0, len(text), CHUNK))
@@ -154,21 +164,15 @@ def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
         bpe = Bpe(sent.value, pattern)
 
         def work(batch):
-            cuts, sizes, ids = [], [], []
-            for k, part in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                own, pieces = bpe.cuts(part)
-                tokens = bpe.by_piece(pieces)
-                cuts.append(np.array(own, np.int32) + k * CHUNK)
-                sizes.append(np.fromiter(map(len, tokens), np.int32, len(tokens)))
-                ids.append(np.fromiter(chain.from_iterable(tokens), np.int32))
-            return [*batch.columns, *map(_lists, (cuts, sizes, ids))]
+            found = [bpe.chunk(part) for part in batch.column(4).to_pylist()]
+            return [*batch.columns, *(_lists([f[i] for f in found]) for i in range(5))]
 
         return work
 
-    piece = "part string, cuts array<int>, sizes array<int>, ids array<int>"
+    arrays = ", ".join(f"{c} array<int>" for c in CHUNK_ARRAYS)
     # one task for each chunk, not for each document
-    done = map_batches(parts.repartition(F.col("doc_id"), F.col("h"), F.col("k")), make, f"doc_id long, h long, n int, k int, {piece}")
-    whole = done.groupBy("doc_id", "h", "n").agg(F.sort_array(F.collect_list(F.struct("k", "part", "cuts", "sizes", "ids"))).alias("chunks"))
+    done = map_batches(parts.repartition(F.col("doc_id"), F.col("h"), F.col("k")), make, f"doc_id long, h long, n int, k int, part string, {arrays}")
+    whole = done.groupBy("doc_id", "h", "n").agg(F.sort_array(F.collect_list(F.struct("k", "part", *CHUNK_ARRAYS))).alias("chunks"))
 
     def make_join():
         bpe = Bpe(sent.value, pattern)
@@ -191,30 +195,23 @@ def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
 
 
 def join_chunks(bpe: Bpe, chunks: list[tuple]) -> np.ndarray:
-    """Ids of a document from its chunks (text, cuts, tokens of each piece, ids), in order.
+    """Ids of a document from its chunks (text and ``CHUNK_ARRAYS``), in order.
 
-    Each chunk gives the ids of its pieces from one join to the next. Where an overlap has no join, the whole text is
-    pre-tokenised again from the last sure cut on, and its pieces are encoded.
+    Each chunk gives the ids of its pieces from one join to the next. If any overlap has no join, the whole text is
+    encoded here; a pre-token longer than the overlap is all that does this.
     """
-    out, low, end = [], 0, 0
-    for k, (part, cuts, sizes, ids) in enumerate(chunks):
-        end = k * CHUNK + len(part)
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        if k + 1 == len(chunks) or len(part) <= CHUNK:  # it reaches the end of the text
-            out.append(ids[at[np.searchsorted(cuts, low)] :])
+    out, low = [], 0
+    for k, (part, head, head_at, tail, tail_at, ids) in enumerate(chunks):
+        if k + 1 == len(chunks) or len(part) < CHUNK + OVERLAP:  # it reaches the end of the text
+            out.append(ids[low:])
             break
-        shared = np.intersect1d(cuts[np.searchsorted(cuts, (k + 1) * CHUNK) :], chunks[k + 1][1])
-        shared = shared[shared < end - MARGIN]
-        if not len(shared):
-            text = "".join(c[0][:CHUNK] for c in chunks)
-            if len(chunks[-1][0]) > CHUNK:
-                text += chunks[-1][0][CHUNK:]
-            cuts_all = stitched(text, [(j * CHUNK, c[1].tolist()) for j, c in enumerate(chunks)], bpe.pattern)
-            pieces = [text[a:b] for a, b in zip(cuts_all, [*cuts_all[1:], len(text)], strict=True)]
-            return np.array(list(chain.from_iterable(bpe.by_piece(pieces))), np.int32)
-        high = int(shared[0])
-        out.append(ids[at[np.searchsorted(cuts, low)] : at[np.searchsorted(cuts, high)]])
-        low = high
+        # the tail is counted from this chunk's start, the next head from its own
+        shared, here, there = np.intersect1d(tail - CHUNK, chunks[k + 1][1], return_indices=True)
+        if not len(shared) or shared[0] + CHUNK >= len(part) - MARGIN:
+            text = "".join(c[0][:CHUNK] for c in chunks) + chunks[-1][0][CHUNK:]
+            return bpe.encode_to_numpy(text)
+        out.append(ids[low : tail_at[here[0]]])
+        low = chunks[k + 1][2][there[0]]
     return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 

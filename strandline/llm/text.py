@@ -9,7 +9,7 @@ UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z and leaves every other byte alone.
 ASCII_LOWER = bytes.maketrans(UPPER, LOWER)
 #: Rows and bytes in an Arrow batch: whole texts are long, so batches are kept short to bound a worker's memory.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 64, 8 << 20
 #: Bytes of a batch that are turned into Python objects at once (at least one row).
 SLICE_BYTES = 1 << 20
 
