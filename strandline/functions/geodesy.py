@@ -5,6 +5,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strandline.functions.numbers import let
+
 #: GRS80.
 A, FLAT = 6378137.0, 1 / 298.257222101
 E2 = FLAT * (2 - FLAT)
@@ -55,24 +57,73 @@ def albers_inverse(x: Column, y: Column, parallels=PARALLELS, origin=ORIGIN) ->
     return F.struct((origin[1] + F.degrees(theta) / n).alias("lon"), F.degrees(lat).alias("lat"))
 
 
-def transverse_mercator(lon: Column, lat: Column, meridian: float, scale: float = 0.9996, east: float = 500000.0, north: float = 1e7) -> Column:
+def transverse_mercator(lon: Column, lat: Column, meridian, scale: float = 0.9996, east: float = 500000.0, north: float = 1e7) -> Column:
     """Degrees to a transverse Mercator grid such as UTM south, by the usual series; metres, as ``struct<x, y>``."""
-    ep2 = E2 / (1 - E2)
+    ep2, e4, e6 = E2 / (1 - E2), E2 * E2, E2**3
     phi = F.radians(lat)
-    sin, cos, tan = F.sin(phi), F.cos(phi), F.tan(phi)
-    nu = A / F.sqrt(1 - E2 * sin * sin)
-    t, c, a = tan * tan, ep2 * cos * cos, cos * F.radians(lon - meridian)
-    e4, e6 = E2 * E2, E2**3
+
+    def place(v: Column) -> Column:
+        nu, t, c, a, m = (v[k] for k in ("nu", "t", "c", "a", "m"))
+        a2 = a * a
+        x = a * (1 + (1 - t + c) * a2 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a2 * a2 / 120)
+        y = a2 * (0.5 + (5 - t + 9 * c + 4 * c * c) * a2 / 24 + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a2 * a2 / 720)
+        return F.struct((east + scale * nu * x).alias("x"), (north + scale * (m + nu * F.sqrt(t) * F.signum(m) * y)).alias("y"))
+
     m = A * (
         (1 - E2 / 4 - 3 * e4 / 64 - 5 * e6 / 256) * phi
         - (3 * E2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024) * F.sin(2 * phi)
         + (15 * e4 / 256 + 45 * e6 / 1024) * F.sin(4 * phi)
         - 35 * e6 / 3072 * F.sin(6 * phi)
     )
-    x = a + (1 - t + c) * a * a * a / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a * a * a * a * a / 120
-    y = a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a * a * a * a / 24
-    y = y + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a * a * a * a * a * a / 720
-    return F.struct((east + scale * nu * x).alias("x"), (north + scale * (m + nu * tan * y)).alias("y"))
+    parts = F.struct(
+        (A / F.sqrt(1 - E2 * F.pow(F.sin(phi), F.lit(2.0)))).alias("nu"),
+        F.pow(F.tan(phi), F.lit(2.0)).alias("t"),
+        (ep2 * F.pow(F.cos(phi), F.lit(2.0))).alias("c"),
+        (F.cos(phi) * F.radians(lon - meridian)).alias("a"),
+        m.alias("m"),
+    )
+    return let(parts, place)
+
+
+def transverse_mercator_inverse(x: Column, y: Column, meridian, scale: float = 0.9996, east: float = 500000.0, north: float = 1e7) -> Column:
+    """Metres of a transverse Mercator grid to degrees, as ``struct<lon, lat>``; the usual series (to some millimetres in a zone)."""
+    ep2 = E2 / (1 - E2)
+    e1 = (1 - math.sqrt(1 - E2)) / (1 + math.sqrt(1 - E2))
+
+    def foot(mu: Column) -> Column:
+        return (
+            mu
+            + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
+            + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
+            + 151 * e1**3 / 96 * F.sin(6 * mu)
+            + 1097 * e1**4 / 512 * F.sin(8 * mu)
+        )
+
+    def parts(phi: Column) -> Column:
+        w = 1 - E2 * F.pow(F.sin(phi), F.lit(2.0))
+        return F.struct(
+            phi.alias("phi"), F.cos(phi).alias("cos"), F.tan(phi).alias("tan"), (ep2 * F.pow(F.cos(phi), F.lit(2.0))).alias("c"),
+            (w / (1 - E2)).alias("ratio"), ((x - east) * F.sqrt(w) / (A * scale)).alias("d"),
+        )
+
+    def place(v: Column) -> Column:
+        d, c, t = v["d"], v["c"], v["tan"] * v["tan"]
+        d2 = d * d
+        lat = v["phi"] - v["ratio"] * v["tan"] * d2 * (
+            0.5
+            - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * d2 / 24
+            + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * d2 * d2 / 720
+        )
+        lon = d * (1 - (1 + 2 * t + c) * d2 / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * d2 * d2 / 120) / v["cos"]
+        return F.struct((meridian + F.degrees(lon)).alias("lon"), F.degrees(lat).alias("lat"))
+
+    mu = (y - north) / scale / (A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256))
+    return let(let(let(mu, foot), parts), place)
+
+
+def utm_to_albers(x: Column, y: Column, zone) -> Column:
+    """A place in a southern UTM zone (a number or a column) on the Albers plane."""
+    return let(transverse_mercator_inverse(x, y, zone * 6 - 183), lambda p: albers(p["lon"], p["lat"]))
 
 
 def bearing(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

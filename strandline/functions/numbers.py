@@ -1,5 +1,6 @@
 """Numeric expressions: missing values are NULL, never NaN, and a division never fails."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,3 +31,11 @@ def tidy(value: Column, digits: int) -> Column:
 def polynomial(x: Column, *coefficients: float) -> Column:
     """c0 + c1 x + c2 x² + … in Horner form."""
     return reduce(lambda acc, c: acc * x + F.lit(c), reversed(coefficients[:-1]), F.lit(coefficients[-1]))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it.
+
+    A Column used twice is a tree copied twice; formulas that reuse long intermediate results would grow exponentially.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -155,3 +155,20 @@ def certainty_name(cls: Column, year: Column, latitude: Column) -> Column:
     """The name of a class; in the years after an eruption northern lines are "aerosol issues"."""
     named = F.create_map(*(F.lit(x) for kv in CERTAINTY.items() for x in kv))
     return F.when((latitude > AEROSOL_LATITUDE) & year.isin(*AEROSOL_YEARS), "aerosol issues").otherwise(named[cls])
+
+
+def modal(df: DataFrame, column: str, order: str) -> DataFrame:
+    """The most frequent value of a column, such as the projection of most scenes; of equal ones the first by ``order``."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    return counts.orderBy(F.desc("n"), "first").limit(1).select(column)
+
+
+def elevation(dem: DataFrame, value: str = "elevation") -> DataFrame:
+    """Heights below 0 are no land."""
+    return dem.withColumn(value, F.when(F.col(value) >= 0, F.col(value)))
+
+
+def harmonic_tide(time: Column, constituents: Iterable[tuple[float, float, float]]) -> Column:
+    """Height of the tide from constituents (amplitude in metres, degrees an hour, phase in degrees), hours since 1970."""
+    hours = F.unix_micros(time.cast("timestamp")) / 3.6e9
+    return reduce(lambda a, b: a + b, (h * F.cos(F.radians(speed * hours - phase)) for h, speed, phase in constituents))

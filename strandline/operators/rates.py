@@ -148,3 +148,28 @@ def wms_fields(df: DataFrame, rate: str = "rate_time", se: str = "se_time", sig:
             "wms_good": F.col("certainty") == "good",
         }
     )
+
+
+def ransac_outliers(df: DataFrame, keys: Sequence[str], x: str, y: str, trials: int = 100, seed: int = 0) -> DataFrame:
+    """``outlier`` by consensus: the line through two random points that most points are near, near being the median deviation of y."""
+    import numpy as np
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(x).reset_index(drop=True)
+        px, py = pdf[x].to_numpy(float), pdf[y].to_numpy(float)
+        rng, limit, best = np.random.default_rng(seed), np.median(np.abs(py - np.median(py))), np.zeros(len(px), bool)
+        for _ in range(trials if len(px) > 2 else 0):
+            i, j = rng.choice(len(px), 2, replace=False)
+            if px[i] == px[j]:
+                continue
+            slope = (py[j] - py[i]) / (px[j] - px[i])
+            near = np.abs(py - py[i] - slope * (px - px[i])) <= limit
+            if near.sum() > best.sum():
+                best = near
+        return pdf.assign(outlier=~best if best.any() else np.zeros(len(px), bool))
+
+    from pyspark.sql.types import BooleanType, StructType
+
+    schema = StructType([*df.schema.fields]).add("outlier", BooleanType())
+    return df.groupBy(*keys).applyInPandas(run, schema)

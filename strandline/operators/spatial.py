@@ -119,14 +119,18 @@ def nearest_on_lines(points: DataFrame, parts: DataFrame, key: Sequence[str], by
 
 
 def line_crossings(transects: DataFrame, parts: DataFrame, key: Sequence[str], on: Sequence[str], cell: float = 1000.0) -> DataFrame:
-    """Where each transect (``sx, sy, ex, ey``) meets the segments with equal ``on``: only a single meeting point counts."""
+    """Where each transect (``sx, sy, ex, ey``) meets the segments of each ``on``: only a single meeting point counts.
+
+    Of ``on`` the columns that transects have too must be equal.
+    """
+    shared = [c for c in on if c in transects.columns]
 
     def celled(df, ends):
         (a, b, c, d) = (F.floor(F.col(e) / cell) for e in ends)
         out = df.withColumn("_cx", F.explode(F.sequence(F.least(a, c), F.greatest(a, c))))
         return out.withColumn("_cy", F.explode(F.sequence(F.least(b, d), F.greatest(b, d))))
 
-    pairs = celled(transects, ("sx", "sy", "ex", "ey")).join(celled(parts, ("x1", "y1", "x2", "y2")), [*on, "_cx", "_cy"])
+    pairs = celled(transects, ("sx", "sy", "ex", "ey")).join(celled(parts, ("x1", "y1", "x2", "y2")), [*shared, "_cx", "_cy"])
     ends = [(F.col(a), F.col(b)) for a, b in (("sx", "sy"), ("ex", "ey"), ("x1", "y1"), ("x2", "y2"))]
     met = pairs.withColumn("_p", crossing(*ends)).where("_p is not null")
     # segments that share a vertex meet a transect in one point, and cells can show a pair more than once
@@ -188,3 +192,95 @@ def transects(parts: DataFrame, line: Sequence[str], length: float = 400.0, inte
     mx, my = (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2
     ux, uy = (F.col("bx") - F.col("ax")) / F.col("_s") * (length / 2), (F.col("by") - F.col("ay")) / F.col("_s") * (length / 2)
     return pair.select(*line, "at", (mx - uy).alias("sx"), (my + ux).alias("sy"), (mx + uy).alias("ex"), (my - ux).alias("ey"))
+
+
+def oriented_transects(found: DataFrame, polygons: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Transects with one end on land (any of the polygons), turned to lead from land to water; the others go."""
+    ends = found.select(*key, F.inline(F.array(*(F.struct(F.lit(i).alias("_e"), F.col(x).alias("px"), F.col(y).alias("py")) for i, x, y in ((0, "sx", "sy"), (1, "ex", "ey"))))))
+    land = in_polygons(ends, polygons.select(F.lit(True).alias("_land"), "ring"), ["_land"])
+    sides = land.groupBy(*key).agg(*(F.coalesce(F.bool_or(F.when(F.col("_e") == i, F.col("_land"))), F.lit(False)).alias(f"_l{i}") for i in (0, 1)))
+    good = found.join(sides, list(key)).where(F.col("_l0") != F.col("_l1"))
+    turned = {a: F.when(F.col("_l0"), F.col(a)).otherwise(F.col(b)) for a, b in (("sx", "ex"), ("sy", "ey"), ("ex", "sx"), ("ey", "sy"))}
+    return good.select(*(c for c in found.columns if c not in turned), *(v.alias(k) for k, v in turned.items()))
+
+
+def split_lines(parts: DataFrame, polygons: DataFrame, attributes: Sequence[str], outside: bool = False) -> DataFrame:
+    """Segments cut at the edges of polygons: the pieces inside with the polygon's attributes, and those outside with NULLs.
+
+    Both kinds together are a union overlay of lines, the pieces inside an intersection overlay, or a clip.
+    """
+    a, b = (F.col("x1"), F.col("y1")), (F.col("x2"), F.col("y2"))
+    n = F.size("ring")
+    edges = F.zip_with("ring", F.concat(F.slice("ring", 2, n - 1), F.slice("ring", 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    dx, dy = b[0] - a[0], b[1] - a[1]
+
+    def place(e):
+        met = crossing(a, b, (e["p"]["x"], e["p"]["y"]), (e["q"]["x"], e["q"]["y"]))
+        return F.try_divide((met["x"] - a[0]) * dx + (met["y"] - a[1]) * dy, dx * dx + dy * dy)
+
+    cuts = F.array_distinct(F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(F.transform(edges, place), lambda t: t.isNotNull()))))
+    pairs = parts.join(polygons.select(*attributes, "ring"), F.lit(True)) if not outside else parts.join(polygons.select(*attributes, "ring"), F.lit(True), "left")
+    t = pairs.withColumn("_t", F.coalesce(cuts, F.array(F.lit(0.0), F.lit(1.0))))
+    piece = F.zip_with(F.slice("_t", 1, F.size("_t") - 1), F.slice("_t", 2, F.size("_t") - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
+    each = t.withColumn("_p", F.explode(piece)).withColumn("_m", (F.col("_p.u") + F.col("_p.v")) / 2)
+    each = each.withColumn("_in", F.coalesce(ring_contains(F.col("ring"), a[0] + F.col("_m") * dx, a[1] + F.col("_m") * dy), F.lit(False)))
+    ends = {f"{c}{k}": F.col(f"{c}1") + F.col(f"_p.{u}") * d for k, u in ((1, "u"), (2, "v")) for c, d in (("x", dx), ("y", dy))}
+    keep = [c for c in parts.columns if c not in ends]
+    inside = each.where("_in").select(*keep, *(v.alias(k) for k, v in ends.items()), *attributes)
+    if not outside:
+        return inside
+    # what no polygon holds: the segment's places less the inside intervals, cut at all their ends
+    keys = [F.col(c) for c in parts.columns]
+    spans = each.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_t")))).alias("_t"), F.collect_list(F.when(F.col("_in"), F.col("_p"))).alias("_i"))
+    free = spans.withColumn("_p", F.explode(piece)).withColumn("_m", (F.col("_p.u") + F.col("_p.v")) / 2)
+    free = free.where(~F.exists("_i", lambda i: (i["u"] <= F.col("_m")) & (F.col("_m") <= i["v"])))
+    return inside.unionByName(free.select(*keep, *(v.alias(k) for k, v in ends.items()), *(F.lit(None).cast(polygons.schema[x].dataType).alias(x) for x in attributes)))
+
+
+def rasterize(cells: DataFrame, polygons: DataFrame, attribute: str) -> DataFrame:
+    """Cells (``px, py`` of their centres) with the greatest attribute of the polygons that hold them, 0 outside."""
+    found = in_polygons(cells, polygons, [attribute])
+    return found.groupBy(*cells.columns).agg(F.coalesce(F.max(attribute), F.lit(0)).alias(attribute))
+
+
+def segment_classes(parts: DataFrame, classes: DataFrame, on: Sequence[str], value: str = "class") -> DataFrame:
+    """Segments in cell units with the class of the cell (``yi, xi``) that holds their middle."""
+    mid = parts.withColumns({"yi": F.round((F.col("y1") + F.col("y2")) / 2).cast("int"), "xi": F.round((F.col("x1") + F.col("x2")) / 2).cast("int")})
+    return mid.join(classes.select(*on, "yi", "xi", value), [*on, "yi", "xi"], "left").drop("yi", "xi")
+
+
+def dissolve(lines: DataFrame, by: Sequence[str], points: str = "points") -> DataFrame:
+    """The lines of each key as the parts of one."""
+    return lines.groupBy(*by).agg(F.collect_list(points).alias("parts"))
+
+
+def centroids(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Centres of lines, their segments weighted by length."""
+    w = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    return parts.groupBy(*by).agg(*(F.try_divide(F.sum(w * (F.col(f"{c}1") + F.col(f"{c}2")) / 2), F.sum(w)).alias(c) for c in "xy"))
+
+
+def simplified(lines: DataFrame, line: Sequence[str], tolerance: float) -> DataFrame:
+    """Vertices (``ord, x, y``) of each line without those near its chords."""
+    from strandline.functions.kernels import simplify
+
+    def run(pdf):
+        pdf = pdf.sort_values("ord")
+        xy = pdf[["x", "y"]].to_numpy(float)
+        kept = {tuple(p) for p in simplify(xy, tolerance).tolist()}
+        return pdf[[tuple(p) in kept for p in xy.tolist()]]
+
+    return lines.groupBy(*line).applyInPandas(run, lines.schema)
+
+
+def nearest_attribute(points: DataFrame, shores: DataFrame, key: str, attribute: str, radius: float, skip: Sequence[str] = ("Unclassified",)) -> DataFrame:
+    """``key`` and the attribute of the nearest shore within the radius (ties: the smallest), without the skipped ones."""
+    useful = shores.where(~F.coalesce(F.col(attribute).isin(*skip), F.lit(True))).select("px", "py", attribute)
+    near = nearest_within(points.select(key, "cx", "cy").dropDuplicates([key]), useful, key, radius)
+    return near.groupBy(key).agg(F.min(attribute).alias(attribute))
+
+
+def subset_box(df: DataFrame, box: Sequence[float], order: str = "y") -> DataFrame:
+    """Points (``x, y``) of a box with new numbers from north to south."""
+    inside = df.where(F.col("x").between(box[0], box[2]) & F.col("y").between(box[1], box[3]))
+    return inside.withColumn("id", F.row_number().over(Window.orderBy(F.desc(order), "x")) - 1)

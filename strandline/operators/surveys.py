@@ -5,6 +5,7 @@ and ends follow that order and not the distance.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def blocks_to_long(df: DataFrame, ids: Sequence[str], stubs: Sequence[str], suff
     """Blocks of columns ``stub + suffix`` as rows with a column for each stub; blocks without any value go."""
     rows = F.array(*(F.struct(F.lit(s).alias(name), *(F.col(f"{t}{s}").alias(t) for t in stubs)) for s in suffixes))
     out = df.select(*ids, F.inline(rows))
-    return out.where(F.coalesce(*(F.col(t) for t in stubs)).isNotNull())
+    return out.where(reduce(lambda a, b: a | b, (F.col(t).isNotNull() for t in stubs)))
 
 
 def long_to_years(df: DataFrame, keys: Sequence[str], value: str, start: int, end: int, prefix: str = "dist_") -> DataFrame:

@@ -183,9 +183,7 @@ SELECT uid, line, max(qx) AS qx, max(qy) AS qy FROM p GROUP BY uid, line HAVING
 def segment_intersection(spark, sf):
     x = F.col("cx") / 4
     t = _centres(spark, sf).select("uid", x.alias("sx"), F.lit(0.0).alias("sy"), (x + 5).alias("ex"), F.lit(600.0).alias("ey"))
-    parts = _segments(spark, sf)
-    lines = parts.select("line").distinct()  # a row for each brand
-    return S.line_crossings(t.join(F.broadcast(lines)), parts, ["uid"], ["line"], 300.0)
+    return S.line_crossings(t, _segments(spark, sf), ["uid"], ["line"], 300.0)
 
 
 @query("""WITH g AS (SELECT l_suppkey::INT AS yi, (l_partkey % 20)::INT AS xi, avg(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
