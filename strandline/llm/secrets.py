@@ -10,7 +10,6 @@ empty result; further columns are ignored. Spans are code point offsets, end exc
 a base span.
 """
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -49,7 +48,7 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 _RANK = {w: i + 1 for i, w in enumerate(WORDS)}
 _LONGEST = max(map(len, WORDS))
-_SWAPS = str.maketrans("@4301$57!", "aaeoisstt"[:9])
+_SWAPS = str.maketrans("@4301$57!", "aaeoissti")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
 
 
@@ -116,7 +115,7 @@ def guess_cost(value: str) -> float:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of the base patterns, sorted."""
-    low = text.lower() if not text.isascii() else text.casefold()
+    low = text.lower()
     out = []
     if "passw" in low or "secret" in low or "token" in low or "api" in low:
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
@@ -211,7 +210,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
-
-
-def digest(spans: list[tuple[int, int, int]]) -> str:
-    return hashlib.sha256(named([s for s in spans if s[1] < 3]).encode()).hexdigest()
