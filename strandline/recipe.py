@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from strandline.operators.composites import collate
 
+#: Columns that identify an observation: every step keeps them as they are.
+KEYS = ("tile", "time", "solar_day", "yi", "xi", "y", "x", "sensor", "scene")
 _CASTS = {"float32": "float", "float64": "double", "int16": "smallint", "int32": "int", "bool": "boolean"}
 
 
@@ -42,7 +44,7 @@ def build(step: Mapping[str, Any], products: Mapping[str, DataFrame]) -> DataFra
         for column, want in step.get("filters", {}).items():
             df = df.where(F.col(column).between(*want) if isinstance(want, list) else F.col(column) == want)
         names = step.get("measurements")
-        keys = [c for c in df.columns if c in ("tile", "time", "yi", "xi", "y", "x", "solar_day")]
+        keys = [c for c in df.columns if c in KEYS]
         return df.select(*keys, *(n for n in names if n not in keys)) if names else df
     source = build(step["input"], products)
     if step["transform"] == "expressions":
@@ -51,10 +53,9 @@ def build(step: Mapping[str, Any], products: Mapping[str, DataFrame]) -> DataFra
             how = how if isinstance(how, Mapping) else {"formula": how}
             value = F.expr(formula_sql(str(how["formula"])))
             made[name] = value.cast(_CASTS[how["dtype"]]) if how.get("dtype") in _CASTS else value
-        keys = [c for c in source.columns if c in ("tile", "time", "yi", "xi", "y", "x", "sensor", "solar_day")]
+        keys = [c for c in source.columns if c in KEYS]
         return source.select(*(k for k in keys if k not in made), *(v.alias(k) for k, v in made.items()))
     if step["transform"] == "apply_mask":
         mask = step["mask_measurement_name"]
-        keys = ("tile", "time", "yi", "xi", "y", "x", "sensor", "solar_day", mask)
-        return source.withColumns({c: F.when(F.col(mask), F.col(c)) for c in source.columns if c not in keys}).drop(mask)
+        return source.withColumns({c: F.when(F.col(mask), F.col(c)) for c in source.columns if c not in (*KEYS, mask)}).drop(mask)
     raise ValueError(f"unknown step: {dict(step)}")

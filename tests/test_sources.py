@@ -1,11 +1,13 @@
 import json
-import math
+import sqlite3
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandline import cli, recipe, sinks
 from strandline.sources import layers, surveys
+from strandline.sources.geopackage import geopackage
 from strandline.streaming.composites import append_metrics, running_composite
 
 YAML = """
@@ -58,6 +60,28 @@ def test_geojson_round_trip(spark, tmp_path):
     assert [(r.properties["uid"], [tuple(p) for p in r.points]) for r in back] == [("1", [(2.0, 3.0)])]
 
 
+def test_geopackage(spark, tmp_path):
+    path = tmp_path / "a.gpkg"
+    con = sqlite3.connect(path)
+    con.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT, column_name TEXT)")
+    con.execute("INSERT INTO gpkg_geometry_columns VALUES ('shorelines_annual', 'geom')")
+    con.execute("CREATE TABLE shorelines_annual (fid INTEGER, year INTEGER, certainty TEXT, geom BLOB)")
+    head = b"GP\x00\x01" + struct.pack("<i", 3577)
+    line = struct.pack("<BI", 1, 2) + struct.pack("<I", 2) + struct.pack("<4d", 0, 1, 2, 3)
+    several = struct.pack("<BII", 1, 5, 2) + line + line
+    boxed = b"GP\x00\x03" + struct.pack("<i", 3577) + struct.pack("<4d", 0, 2, 1, 3)
+    area = struct.pack("<BII", 1, 1003, 1) + struct.pack("<I", 3) + struct.pack("<9d", 0, 0, 9, 4, 0, 9, 4, 4, 9)
+    for i, blob in enumerate((head + line, boxed + several, head + area, b"GP\x00\x11" + struct.pack("<i", 3577), None)):
+        con.execute("INSERT INTO shorelines_annual VALUES (?, 2001, NULL, ?)", (i, blob))
+    con.commit()
+    con.close()
+    rows = geopackage(spark, str(path), "shorelines_annual").collect()
+    assert sorted((r.properties["fid"], r.part, r.kind, len(r.points)) for r in rows) == [
+        ("0", 0, "LineString", 2), ("1", 0, "MultiLineString", 2), ("1", 1, "MultiLineString", 2), ("2", 0, "Polygon", 3)
+    ]
+    assert all(r.properties["certainty"] is None for r in rows) and [tuple(p) for p in rows[0].points] == [(0.0, 1.0), (2.0, 3.0)]
+
+
 def test_survey_files(spark, tmp_path):
     (tmp_path / "beach_S1_20190304.txt").write_text("# LONGITUDE: 147.5\n# LATITUDE: -43.1\n# TRUE BEARING TRANSECT DEGREES: 95\n# other\ndist z flag\n0.0  2.5 2\n5.0 -9999 2\n\n10.0 -0.5 1\n")
     lines = surveys.lines(spark, str(tmp_path))
