@@ -21,6 +21,7 @@ from strandline.session import local_session
 from strandline.sources import layers
 
 PIXEL_SIZE, CELL_SIZE = 30.0, 5000.0
+NAMES = {"rate": "rate_time", "sig": "sig_time", "se": "se_time"}
 
 
 class NoTides(Exception):
@@ -37,7 +38,9 @@ def parser() -> argparse.ArgumentParser:
 
     def command(name, *, version: str):
         p = sub.add_parser(name)
-        p.add_argument("--root", required=True)
+        where = p.add_mutually_exclusive_group(required=True)
+        where.add_argument("--root")
+        where.add_argument("--config_path", help="YAML with the entry root")
         p.add_argument(f"--{version}", required=True)
         return p
 
@@ -46,7 +49,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--start_year", type=int, default=2000)
     p.add_argument("--end_year", type=int, default=2020)
     p.add_argument("--tide_centre", type=float, default=0.0)
-    p.add_argument("--buffer", type=float, default=0.05)
+    p.add_argument("--buffer", type=float, default=0.05, help="tables are read by tile; taken and not used")
+    p.add_argument("--aws_unsigned", type=flag, default=True, help="access is the session's; taken and not used")
     p.add_argument("--overwrite", type=flag, default=True)
     p = command("vector", version="raster_version")
     p.add_argument("--study_area", required=True)
@@ -56,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--start_year", type=int, default=1988)
     p.add_argument("--end_year", type=int, default=2021)
     p.add_argument("--baseline_year", type=int, default=2021)
+    p.add_argument("--aws_unsigned", type=flag, default=True, help="access is the session's; taken and not used")
     p.add_argument("--overwrite", type=flag, default=True)
     p = command("continental", version="vector_version")
     p.add_argument("--continental_version")
@@ -64,11 +69,17 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--hotspots", type=flag, default=True)
     p.add_argument("--hotspots_radius", type=float, action="append")
     p.add_argument("--baseline_year", type=int, default=2021)
+    p.add_argument("--shapefiles", type=flag, default=True, help="also write each layer as newline-delimited GeoJSON")
+    p.add_argument("--include-styles", dest="include_styles", type=flag, default=True, help="copy root/styles.csv where there is one")
     p = command("validation", version="vector_version")
     p.add_argument("--inputs_path", required=True)
     p.add_argument("--prefix", default="temp")
     p.add_argument("--datum", type=float, default=0.0)
+    p.add_argument("--overwrite", type=flag, default=False)
+    p.add_argument("--layer_name", default="shorelines")
     p.add_argument("--append_stats", type=flag, default=False)
+    p.add_argument("--parallelised", type=flag, default=True, help="Spark deals out the work; taken and not used")
+    p.add_argument("--markdown_report", type=flag, default=False)
     return top
 
 
@@ -131,6 +142,13 @@ def continental(spark: SparkSession, a) -> None:
     for wanted, name in ((a.shorelines, "shorelines"), (a.ratesofchange, "points")):
         if wanted:
             sinks.write_table(spark.read.option("recursiveFileLookup", True).parquet(f"{source}/{name}"), f"{out}/{name}")
+    if a.shapefiles and a.ratesofchange:
+        points = spark.read.parquet(f"{out}/points").withColumns({c: F.col(c) * PIXEL_SIZE for c in ("px", "py")})
+        place = sinks.geometry_json("Point", F.col("px"), F.col("py")).alias("geometry")
+        shown = sinks.sink_view(points.withColumnsRenamed(NAMES).withColumn("outl_time", F.array_join("outliers", " ")).drop("outliers", "incpt", "tile").select("*", place).drop("px", "py"))
+        sinks.write_geojson(shown, f"{out}/points.geojson")
+    if a.include_styles and sinks.exists(spark, f"{a.root}/styles.csv"):
+        spark.read.option("header", True).csv(f"{a.root}/styles.csv").write.mode("overwrite").option("header", True).csv(f"{out}/styles")
     if not a.hotspots:
         return
     read = spark.read.option("recursiveFileLookup", True)
@@ -143,23 +161,32 @@ def continental(spark: SparkSession, a) -> None:
         centres = centres.select(F.concat_ws("-", "tile", "line", F.col("at").cast("long").cast("string")).alias("uid"), F.col("px").alias("cx"), F.col("py").alias("cy"))
         fit = R.change_regress(S.hotspots(centres, moves, radius), ["uid"], "year", "dist")
         rows = S.hotspot_counts(centres, places, radius).join(fit, "uid", "left")
-        named = rows.withColumnsRenamed({"rate": "rate_time", "sig": "sig_time", "se": "se_time"})
+        named = rows.withColumnsRenamed(NAMES)
         sinks.write_table(R.wms_fields(named), f"{out}/hotspots_zoom_{i + 1}")
 
 
 def validate(spark: SparkSession, a) -> None:
+    out = f"{a.root}/validation/{a.prefix}"
+    if not a.overwrite and sinks.completed(spark, out):
+        return
     profiles = spark.read.parquet(a.inputs_path)
     water = surveys.waterline_intercept(profiles, datum=a.datum)
     years = validation.by_year(water, value=f"{a.datum:g}_dist")
     years = years.join(surveys.endpoints(profiles), "id")
-    parts = S.segments(spark.read.option("recursiveFileLookup", True).parquet(f"{a.root}/vectors/{a.vector_version}/shorelines"), ["tile", "year", "line"])
+    parts = S.segments(spark.read.option("recursiveFileLookup", True).parquet(f"{a.root}/vectors/{a.vector_version}/{a.layer_name}"), ["tile", "year", "line"])
     scaled = parts.withColumns({c: F.col(c) * PIXEL_SIZE for c in ("x1", "y1", "x2", "y2")})
     rays = years.select("id", "year", F.col("start_x").alias("sx"), F.col("start_y").alias("sy"), F.col("end_x").alias("ex"), F.col("end_y").alias("ey"))
     result = validation.validated(years, S.line_crossings(rays, scaled, ["id"], ["year"]))
-    out = f"{a.root}/validation/{a.prefix}"
     sinks.write_table(result, out)
+    stats = validation.accuracy(spark.read.parquet(out), "val_dist", "product_dist", weight="n")
+    if a.markdown_report:
+        before = None
+        if sinks.exists(spark, f"{a.root}/stats"):
+            log = spark.read.option("header", True).csv(f"{a.root}/stats")
+            before = log.orderBy(F.desc("time")).limit(1).collect()
+        text = validation.markdown_report(stats.first().asDict(), before[0].asDict() if before else None)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.root}/report/{a.prefix}")
     if a.append_stats:
-        stats = validation.accuracy(spark.read.parquet(out), "val_dist", "product_dist", weight="n")
         sinks.append_log(stats.withColumn("time", F.current_timestamp()).withColumn("name", F.lit(a.prefix)), f"{a.root}/stats")
 
 
@@ -169,7 +196,10 @@ COMMANDS = {"raster": raster, "vector": vector, "continental": continental, "val
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
     try:
-        COMMANDS[a.command](spark or SparkSession.getActiveSession() or local_session(), a)
+        spark = spark or SparkSession.getActiveSession() or local_session()
+        if a.root is None:
+            a.root = load_config("\n".join(r.value for r in spark.read.text(a.config_path).collect()))["root"]
+        COMMANDS[a.command](spark, a)
     except NoTides as missing:
         print(missing, file=sys.stderr)
         return 2

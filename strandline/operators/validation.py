@@ -74,3 +74,25 @@ def by_year(intercepts: DataFrame, id_col: str = "id", value: str = "0_dist", mo
     return intercepts.groupBy(id_col, F.year("date").alias("year")).agg(
         F.count(value).alias("n"), F.median(value).alias("val_dist"), *(F.mode(m, True).alias(m) for m in modes)
     )
+
+
+def evaluation_layers(result: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
+    """Three layers to look at: surveyed points, the product's points, and the transects as lines."""
+    from strandline.sinks import geometry_json
+
+    facts = [c for c in result.columns if c not in ("val_x", "val_y", "qx", "qy")]
+    point = {"survey": ("val_x", "val_y"), "product": ("qx", "qy")}
+    out = {k: result.select(*facts, geometry_json("Point", F.col(x), F.col(y)).alias("geometry")) for k, (x, y) in point.items() if x in result.columns}
+    ends = F.array(*(F.struct(F.col(f"{e}_x").alias("x"), F.col(f"{e}_y").alias("y")) for e in ("start", "end")))
+    out["transects"] = profiles.dropDuplicates(["id"]).select("id", geometry_json("LineString", points=ends).alias("geometry"))
+    return out
+
+
+def markdown_report(stats: dict, before: dict | None = None) -> str:
+    """The figures of a run, and how they differ from those of the run before, as a table."""
+    names = {"rmse": "RMSE", "mae": "MAE", "bias": "Bias", "corr": "Correlation", "stdev": "Standard deviation", "n": "Observations"}
+    lines = ["| Figure | Value | Change |", "| --- | --- | --- |"]
+    for k, name in names.items():
+        change = "" if not before or before.get(k) is None or stats.get(k) is None else f"{float(stats[k]) - float(before[k]):+.3f}"
+        lines.append(f"| {name} | {stats.get(k)} | {change} |")
+    return "\n".join(lines) + "\n"

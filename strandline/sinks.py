@@ -55,11 +55,15 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def completed(spark: SparkSession, path: str) -> bool:
     """Whether a table was written to its end, by the mark that the committer leaves."""
-    jvm = spark.sparkContext._jvm
-    mark = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def write_table(df: DataFrame, path: str, overwrite: bool = True, by: tuple[str, ...] = ()) -> bool:

@@ -1,9 +1,7 @@
 """GeoPackage files: SQLite tables with binary geometries, read on executors, one file a task."""
 
-import os
 import sqlite3
 import struct
-import tempfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +61,9 @@ def geometry_parts(blob: bytes | None) -> tuple[str | None, list]:
 
 def rows_of(content: bytes, layer: str):
     """(properties, kind, parts) of the features of a layer."""
-    with tempfile.NamedTemporaryFile(suffix=".gpkg", delete=False) as f:
-        f.write(content)
+    con = sqlite3.connect(":memory:")
     try:
-        con = sqlite3.connect(f"file:{f.name}?mode=ro", uri=True)
+        con.deserialize(content)
         (column,) = con.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (layer,)).fetchone()
         name = layer.replace('"', '""')
         cursor = con.execute(f'SELECT * FROM "{name}"')
@@ -75,9 +72,8 @@ def rows_of(content: bytes, layer: str):
             values = dict(zip(names, row, strict=True))
             kind, parts = geometry_parts(values.pop(column))
             yield {k: None if v is None else str(v) for k, v in values.items()}, kind, parts
-        con.close()
     finally:
-        os.unlink(f.name)
+        con.close()
 
 
 def geopackage(spark: SparkSession, path: str, layer: str) -> DataFrame:

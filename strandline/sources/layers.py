@@ -28,14 +28,14 @@ def pixels(spark: SparkSession, path: str, tile: str, start: int, end: int, matu
     return df.where(F.col("gqa_iterative_mean_xy").between(*quality)) if "gqa_iterative_mean_xy" in df.columns else df
 
 
-def geojson(spark: SparkSession, path: str, bbox: Sequence[float] | None = None) -> DataFrame:
+def geojson(spark: SparkSession, path: str, bbox: Sequence[float] | None = None, by_line: bool = False) -> DataFrame:
     """``properties`` (map) and ``points`` (array of x, y: a point, a line or a polygon's outer ring) of each feature.
 
-    Reads collections and newline-delimited features. Of lines and polygons in several parts each part is a row.
+    Reads collections (a file is one task's), or with ``by_line`` newline-delimited features, which split. Of lines and polygons in several parts each part is a row.
     ``bbox`` (minx, miny, maxx, maxy) keeps the features that touch it.
     """
     raw = spark.read.schema("type string, properties map<string,string>, geometry struct<type:string,coordinates:string>, " + GEOJSON)
-    rows = raw.option("multiLine", True).json(path)
+    rows = raw.option("multiLine", not by_line).json(path)
     each = rows.withColumn("f", F.explode_outer("features")).select(
         F.coalesce("f.properties", "properties").alias("properties"), F.coalesce("f.geometry", "geometry").alias("g")
     )

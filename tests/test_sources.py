@@ -56,7 +56,7 @@ def test_geojson_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "uid int, x double, y double")
     shown = df.select("uid", sinks.geometry_json("Point", F.col("x"), F.col("y")).alias("geometry"))
     sinks.write_geojson(shown, str(tmp_path / "out"))
-    back = layers.geojson(spark, str(tmp_path / "out")).collect()
+    back = layers.geojson(spark, str(tmp_path / "out"), by_line=True).collect()
     assert [(r.properties["uid"], [tuple(p) for p in r.points]) for r in back] == [("1", [(2.0, 3.0)])]
 
 
@@ -148,6 +148,8 @@ def test_stages_end_to_end(spark, scene, tmp_path):
     # 1.5 cells of 30 m each year, seaward
     assert abs(abs(rates[len(rates) // 2]) - 45) < 1
     assert run("continental", "--vector_version", "v1", "--baseline_year", "2006", "--hotspots_radius", "600") == 0
+    shown = layers.geojson(spark, f"{scene}/continental/v1/points.geojson", by_line=True)
+    assert shown.count() == len(points) and "rate_time" in shown.first().properties
     assert spark.read.parquet(f"{scene}/continental/v1/hotspots_zoom_1").count() > 0
     ids = spark.range(3).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"), ((F.col("id") + 1) * 450.0).alias("y0"))
     steps = spark.range(0, 2600, 20).select(F.col("id").cast("double").alias("distance"))
@@ -156,6 +158,10 @@ def test_stages_end_to_end(spark, scene, tmp_path):
     prof = ids.join(steps).join(years).select("id", F.make_timestamp("yr", F.lit(6), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("date"), "distance", (F.col("distance") / 20).cast("int").alias("ord"), ((sea - F.col("distance")) / 10 + 0.001).alias("z"), F.col("distance").alias("x"), F.col("y0").alias("y"))
     prof.write.parquet(str(tmp_path / "surveys"))
     assert run("validation", "--vector_version", "v1", "--inputs_path", str(tmp_path / "surveys"), "--append_stats", "true") == 0
+    (tmp_path / "config.yaml").write_text(f"root: {scene}\n")
+    again = ["validation", "--config_path", str(tmp_path / "config.yaml"), "--vector_version", "v1", "--inputs_path", str(tmp_path / "surveys")]
+    assert cli.main([*again, "--overwrite", "true", "--markdown_report", "true"], spark) == 0
+    assert "| MAE | " in "\n".join(r.value for r in spark.read.text(f"{scene}/report/temp").collect())
     out = spark.read.parquet(f"{scene}/validation/temp")
     assert out.count() > 10 and out.agg(F.max(F.abs("error_m"))).first()[0] < 3
     assert spark.read.option("header", True).csv(f"{scene}/stats").count() == 1
