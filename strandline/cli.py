@@ -17,6 +17,7 @@ from strandline.operators import rasters as X
 from strandline.operators import rates as R
 from strandline.operators import spatial as S
 from strandline.operators import surveys, validation
+from strandline.recipe import load_config
 from strandline.session import local_session
 from strandline.sources import layers
 
