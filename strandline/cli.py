@@ -131,11 +131,10 @@ def vector(spark: SparkSession, a) -> None:
         raise ValueError("no shorelines were found")
     sinks.write_table(shoreline_points(lines, annual, a.baseline_year, a.water_index), f"{out}/movements/{a.study_area}")
     moves = spark.read.parquet(f"{out}/movements/{a.study_area}")
-    fit = R.change_regress(moves, ["uid"], "year", "dist")
-    stats = R.all_time_stats(moves.join(fit.select("uid", "outliers"), "uid"), ["uid"], a.start_year, "dist", "outliers")
+    table = R.rate_table(moves, ["uid"], a.start_year)
     points = moves.groupBy("tile", "uid").agg(F.first("px").alias("px"), F.first("py").alias("py"))
     sure = R.point_certainty(F.array_contains("outliers", a.baseline_year), F.lit(False), F.col("rate"), F.lit(0.0), F.col("valid_obs"), a.end_year - a.start_year + 1)
-    sinks.write_table(points.join(fit, "uid").join(stats, "uid").withColumn("certainty", sure), f"{out}/points/{a.study_area}")
+    sinks.write_table(points.join(table, "uid").withColumn("certainty", sure), f"{out}/points/{a.study_area}")
 
 
 def continental(spark: SparkSession, a) -> None:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.numbers import normalised_difference
+from strandline.functions.numbers import let, normalised_difference
 
 PIXEL = ("tile", "yi", "xi")
 
@@ -93,24 +93,45 @@ def pooled_composite(df: DataFrame, value: str, start: int, end: int, keys: Sequ
     short lists, not the observations, go to the three years that they serve. Rows are dealt out by pixel first, so that
     both groupings are met by one shuffle.
     """
+    pooled = _pooled_lists(df, value, start, end, keys)
+    return pooled.select(*keys, "year", *(v.alias(k) for k, v in summary(F.col("_v"), value).items()))
+
+
+def _pooled_lists(df: DataFrame, value: str, start: int, end: int, keys: Sequence[str]) -> DataFrame:
+    """``_v``: the sorted values of three years for each pixel and year; ``_own``: those of the year itself, and ``_seen`` if it has rows."""
     rows = df.where(F.col("year").between(start - 1, end + 1)).select(*keys, "year", value)
-    lists = rows.repartition(*keys).groupBy(*keys, "year").agg(F.collect_list(value).alias("_v"))
+    lists = rows.repartition(*keys).groupBy(*keys, "year").agg(F.array_sort(F.collect_list(value)).alias("_v"))
     label = F.explode(F.filter(F.sequence(F.col("year") - 1, F.col("year") + 1), lambda y: y.between(start, end))).alias("_label")
-    pooled = lists.select(*keys, "_v", label).groupBy(*keys, "_label").agg(F.array_sort(F.flatten(F.collect_list("_v"))).alias("_v"))
-    n = F.size("_v")
-    # the middle of the sorted list; the mean of the two when their number is even
-    low, high = F.get("_v", F.floor((n - 1) / 2).cast("int")), F.get("_v", F.floor(n / 2).cast("int"))
-    mean = F.aggregate("_v", F.lit(0.0), lambda a, v: a + v) / F.nullif(n, F.lit(0))
-    squares = F.aggregate(F.transform("_v", lambda v: (v - mean) * (v - mean)), F.lit(0.0), lambda a, v: a + v)
-    return pooled.select(
-        *keys,
-        F.col("_label").alias("year"),
-        ((low + high) / 2).alias(value),
-        F.sqrt(squares / F.nullif(n, F.lit(0))).alias("stdev"),
-        n.cast("smallint").alias("count"),
+    own = F.col("_label") == F.col("year")
+    return (
+        lists.select(*keys, "year", "_v", label)
+        .groupBy(*keys, "_label")
+        .agg(F.array_sort(F.flatten(F.collect_list("_v"))).alias("_v"), F.max(F.when(own, F.col("_v"))).alias("_own"), F.bool_or(own).alias("_seen"))
+        .withColumnRenamed("_label", "year")
     )
 
 
+def summary(values: Column, name: str) -> dict[str, Column]:
+    """Median, population deviation and number of a sorted array of known values."""
+    n = F.size(values)
+    low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+
+    def spread(v: Column) -> Column:
+        mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
+        squares = let(F.struct(v.alias("v"), mean.alias("m")), lambda s: F.aggregate(s["v"], F.lit(0.0), lambda a, x: a + (x - s["m"]) * (x - s["m"])))
+        return F.sqrt(squares / F.size(v))
+
+    return {name: (low + high) / 2, "stdev": F.when(n > 0, let(values, spread)), "count": n.cast("smallint")}
+
+
+def gapfilled_composite(df: DataFrame, value: str, start: int, end: int, keys: Sequence[str] = PIXEL) -> DataFrame:
+    """``gapfill_select`` of the annual and the pooled composites, from the observations: one scan, one shuffle, no join."""
+    lists = _pooled_lists(df, value, start, end, keys).where("_seen")
+    n = F.size("_own")
+    chosen = lists.withColumn("_v", F.when(n > 5, F.col("_own")).when(n > 1, F.col("_v")))
+    return chosen.select(*keys, "year", *(F.when(F.col("_v").isNotNull(), v).alias(k) for k, v in summary(F.col("_v"), value).items()))
+
+
 def gapfill_select(annual: DataFrame, pooled: DataFrame, value: str, keys: Sequence[str] = PIXEL) -> DataFrame:
     """All variables of the annual composite where it has more than 5 observations, else of the pooled one.
 

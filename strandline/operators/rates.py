@@ -2,10 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.statistics import ols, ols_error, ols_p
+from strandline.functions.numbers import let
+from strandline.functions.statistics import ols_error, ols_p
 
 MAD_SCALE, MAD_LIMIT = 0.6745, 3.5
 # Intertidal classes that count as rocky.
@@ -18,9 +19,12 @@ ROCKY = (
 
 
 def baseline_displacement(df: DataFrame, keys: Sequence[str], value: str, baseline: int) -> DataFrame:
-    """``dist``: the value less that of the baseline year; keys without a baseline are left out."""
-    base = df.where(F.col("year") == baseline).select(*keys, F.col(value).alias("_base"))
-    return df.join(base, list(keys)).withColumn("dist", F.col(value) - F.col("_base")).drop("_base")
+    """``dist``: the value less that of the baseline year; keys without a baseline are left out.
+
+    A key's years are few, so a window brings the baseline to them; what is grouped by the same keys next needs no new shuffle.
+    """
+    base = F.max(F.when(F.col("year") == baseline, F.col(value))).over(Window.partitionBy(*keys))
+    return df.withColumn("_base", base).where("_base is not null").withColumn("dist", F.col(value) - F.col("_base")).drop("_base")
 
 
 def movement(distance: Column, base_there: Column, other_here: Column, most: float = 1200.0) -> Column:
@@ -74,31 +78,78 @@ def detrended(y: Column, x: Column, slope: float, intercept: float) -> Column:
     return y - (x * slope + intercept)
 
 
+def line_of(points: Column) -> Column:
+    """Least squares over an array of (x, y): ``struct<n, slope, intercept, sxx, syy, sxy>``."""
+
+    def centred(p: Column) -> Column:
+        n = F.nullif(F.size(p), F.lit(0))
+        return F.struct(
+            p.alias("p"),
+            (F.aggregate(p, F.lit(0.0), lambda a, q: a + q["x"]) / n).alias("mx"),
+            (F.aggregate(p, F.lit(0.0), lambda a, q: a + q["y"]) / n).alias("my"),
+        )
+
+    def squares(c: Column) -> Column:
+        def total(f):
+            return F.aggregate(c["p"], F.lit(0.0), lambda a, q: a + f(q["x"] - c["mx"], q["y"] - c["my"]))
+
+        return F.struct(
+            F.size(c["p"]).alias("n"), c["mx"].alias("mx"), c["my"].alias("my"),
+            total(lambda x, y: x * x).alias("sxx"), total(lambda x, y: y * y).alias("syy"), total(lambda x, y: x * y).alias("sxy"),
+        )
+
+    def line(s: Column) -> Column:
+        slope = F.try_divide(s["sxy"], s["sxx"])
+        return F.struct(s["n"].alias("n"), slope.alias("slope"), (s["my"] - slope * s["mx"]).alias("intercept"), s["sxx"].alias("sxx"), s["syy"].alias("syy"), s["sxy"].alias("sxy"))
+
+    return let(let(let(points, centred), squares), line)
+
+
 def change_regress(df: DataFrame, keys: Sequence[str], x: str, y: str, limit: float = MAD_LIMIT, digits: int = 3) -> DataFrame:
     """A line through each key's points without outliers: ``rate, incpt, sig, se, outliers``.
 
     ``outliers`` are the sorted years that were not used, those without a value included. NULL below two points.
     """
-    lists = marked_lists(df, keys, x, y, limit)
-    used = lists.select(*keys, F.explode_outer(F.filter("points", lambda p: ~p["outlier"])).alias("p"))
-    fits = used.groupBy(*keys).agg(*(v.alias(k) for k, v in ols(F.col("p.x"), F.col("p.y")).items()))
+    return regressed(marked_lists(df, keys, x, y, limit), keys, digits).drop("points")
+
+
+def regressed(lists: DataFrame, keys: Sequence[str], digits: int = 3) -> DataFrame:
+    """``change_regress`` of lists that are made already, which stay in ``points``."""
     bad = F.transform(F.filter("points", lambda p: p["outlier"]), lambda p: p["x"].cast("int"))
     left = F.array_sort(F.concat(bad, F.transform("_missing", lambda m: m.cast("int"))))
-    out = fits.join(lists.select(*keys, left.alias("outliers")), list(keys))
-    error = ols_error(F.col("n"), F.col("sxx"), F.col("syy"), F.col("sxy"))
-    out = out.withColumn("_se", error)
+    fits = lists.withColumn("_f", line_of(F.filter("points", lambda p: ~p["outlier"]))).select(*keys, "points", left.alias("outliers"), "_f.*")
+    fits = fits.withColumn("_se", ols_error(F.col("n"), F.col("sxx"), F.col("syy"), F.col("sxy")))
     p = ols_p(F.col("n"), F.col("slope"), F.col("_se"), F.col("syy"))
     enough = F.col("n") >= 2
 
     def shown(c):
         return F.when(enough, F.bround(c, digits) + F.lit(0.0))
 
-    return out.select(
+    return fits.select(
         *keys, shown(F.col("slope")).alias("rate"), shown(F.col("intercept")).alias("incpt"), shown(p).alias("sig"),
-        shown(F.col("_se")).alias("se"), "outliers",
+        shown(F.col("_se")).alias("se"), "outliers", "points",
     )
 
 
+def rate_table(df: DataFrame, keys: Sequence[str], initial: int, x: str = "year", y: str = "dist", limit: float = MAD_LIMIT) -> DataFrame:
+    """``change_regress`` and ``all_time_stats`` together, from lists that are gathered once: one shuffle for all figures."""
+    fits = regressed(marked_lists(df, keys, x, y, limit), keys)
+    ok = fits.withColumn("_u", F.filter("points", lambda p: ~p["outlier"]))
+    years, values = F.transform("_u", lambda p: p["x"]), F.transform("_u", lambda p: p["y"])
+    top = F.array_max(F.transform("_u", lambda p: F.struct(p["y"].alias("y"), (-p["x"]).alias("x"))))
+    low = F.array_min(F.transform("_u", lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x"))))
+    first = F.array_max(F.transform(F.filter("_u", lambda p: p["x"] == initial), lambda p: p["y"]))
+    return ok.where(F.size("_u") > 0).select(
+        *(c for c in fits.columns if c != "points"),
+        F.size("_u").cast("long").alias("valid_obs"),
+        (F.array_max(years) - F.array_min(years) + 1).cast("long").alias("valid_span"),
+        (F.array_max(values) - F.array_min(values)).alias("sce"),
+        (-first).alias("nsm"),
+        (-top["x"]).cast("int").alias("max_year"),
+        low["x"].cast("int").alias("min_year"),
+    )
+
+
 def all_time_stats(df: DataFrame, keys: Sequence[str], initial: int, dist: str = "dist", outliers: str | None = None) -> DataFrame:
     """Over the valid years of each key: obs, span, envelope, net movement since ``initial``, years of the extremes.
 

@@ -38,9 +38,10 @@ def class_shares(df: DataFrame, by: Sequence[str], cls: str) -> DataFrame:
 
 
 def share_change(shares: DataFrame, by: Sequence[str], cls: str, year: str = "year") -> DataFrame:
-    """A class's share less its share a year earlier."""
-    before = shares.select(*by, cls, (F.col(year) + 1).alias(year), F.col("share").alias("_before"))
-    return shares.join(before, [*by, cls, year], "left").withColumn("share_change", F.col("share") - F.col("_before")).drop("_before")
+    """A class's share less its share in the calendar year before; NULL where there is none."""
+    w = Window.partitionBy(*by, cls).orderBy(year)
+    before = F.when(F.lag(year).over(w) == F.col(year) - 1, F.lag("share").over(w))
+    return shares.withColumn("share_change", F.col("share") - before)
 
 
 def longest_attempt(runs: DataFrame, key: str, duration: str) -> DataFrame:

@@ -59,23 +59,51 @@ def nearest_by(queries: DataFrame, rows: DataFrame, key: str, other: str, distan
     return pairs.groupBy(key).agg(F.min(F.struct(distance.alias("distance"), F.col(other).alias(other))).alias("_m")).select(key, "_m.*")
 
 
-def in_polygons(points: DataFrame, polygons: DataFrame, attributes: Sequence[str]) -> DataFrame:
+def _boxed(polygons: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    x, y = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    ends = {"_lox": F.array_min(x), "_hix": F.array_max(x), "_loy": F.array_min(y), "_hiy": F.array_max(y)}
+    return polygons.select(*attributes, "ring", *(v.alias(k) for k, v in ends.items()))
+
+
+def polygon_hits(points: DataFrame, polygons: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Inner join of points (``px, py``) with the polygons that hold them, by an equi join on cells; any number of polygons.
+
+    A polygon's cells are as wide as its box, rounded up to a power of two, so it has at most four. Points get the cell of
+    each width in use; there are as many widths as powers of two between the smallest and the largest box.
+    """
+    boxed = _boxed(polygons, attributes)
+    wide = F.greatest(F.col("_hix") - F.col("_lox"), F.col("_hiy") - F.col("_loy"), F.lit(2.0**-40))
+    boxed = boxed.withColumn("_level", F.ceil(F.log2(wide)).cast("int"))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+
+    def span(a, b):
+        return F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
+
+    celled = boxed.withColumn("_cx", span("_lox", "_hix")).withColumn("_cy", span("_loy", "_hiy"))
+    levels = boxed.select("_level").distinct()  # at most some hundred powers of two
+    dealt = points.join(F.broadcast(levels)).withColumns({"_cx": F.floor(F.col("px") / size), "_cy": F.floor(F.col("py") / size)})
+    both = dealt.join(celled, ["_level", "_cx", "_cy"]).where(ring_contains(F.col("ring"), F.col("px"), F.col("py")))
+    return both.select(*points.columns, *attributes)
+
+
+def in_polygons(points: DataFrame, polygons: DataFrame, attributes: Sequence[str], key: str | None = None) -> DataFrame:
     """Left join of points (``px, py``) with the polygons (``ring``) that hold them.
 
-    Polygons are few (regions, grid cells): they are boxed and sent to the points; Spark turns to a shuffled form by
-    itself where the table is too large for a broadcast.
+    Without ``key`` the polygons are a dimension of bounded size (regions, grid cells) that is broadcast. With a ``key`` that
+    tells points apart they can be any number: they are met cell by cell, and points without one are joined back.
     """
-    x, y = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    ends = {"_lox": F.array_min(x), "_hix": F.array_max(x), "_loy": F.array_min(y), "_hiy": F.array_max(y)}
-    boxed = polygons.select(*attributes, "ring", *(v.alias(k) for k, v in ends.items()))
+    if key is not None:
+        return points.join(polygon_hits(points.select(key, "px", "py"), polygons, attributes).select(key, *attributes), key, "left")
     box = F.col("px").between(F.col("_lox"), F.col("_hix")) & F.col("py").between(F.col("_loy"), F.col("_hiy"))
-    joined = points.join(boxed, box & ring_contains(F.col("ring"), F.col("px"), F.col("py")), "left")
-    return joined.select(*points.columns, *attributes)
+    holds = box & ring_contains(F.col("ring"), F.col("px"), F.col("py"))
+    return points.join(F.broadcast(_boxed(polygons, attributes)), holds, "left").select(*points.columns, *attributes)
 
 
-def clip(points: DataFrame, polygons: DataFrame) -> DataFrame:
-    """The points that lie in any of the polygons."""
-    return points.join(polygons.select("ring"), ring_contains(F.col("ring"), F.col("px"), F.col("py")), "left_semi")
+def clip(points: DataFrame, polygons: DataFrame, key: str | None = None) -> DataFrame:
+    """The points that lie in any of the polygons; ``key`` as for ``in_polygons``."""
+    if key is not None:
+        return points.join(polygon_hits(points.select(key, "px", "py"), polygons, []).select(key), key, "left_semi")
+    return points.join(F.broadcast(polygons.select("ring")), ring_contains(F.col("ring"), F.col("px"), F.col("py")), "left_semi")
 
 
 def segments(lines: DataFrame, line: Sequence[str], order: str = "ord", x: str = "x", y: str = "y") -> DataFrame:

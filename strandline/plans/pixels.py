@@ -106,9 +106,14 @@ def gapfill_composite(spark, sf):
 
 
 def _selected(spark, sf):
+    return C.gapfilled_composite(_index(spark, sf), "mndwi", START, END)
+
+
+@query(f"WITH {_ANNUAL} {_SHOW} sel")
+def gapfill_of_tables(spark, sf):
     idx = _index(spark, sf)
     annual = C.annual_composite(idx, "mndwi", START, END).where(F.col("year") >= START)
-    return C.gapfill_select(annual, C.pooled_composite(idx, "mndwi", START, END), "mndwi")
+    return _rounded(C.gapfill_select(annual, C.pooled_composite(idx, "mndwi", START, END), "mndwi"), "mndwi", "stdev")
 
 
 @query(f"WITH {_ANNUAL} {_SHOW} sel")

@@ -50,7 +50,6 @@ def mad_outliers(spark, sf):
     return R.mad_outliers(_disp(spark, sf), ["uid"], "year", "dist").select("uid", "year", "outlier")
 
 
-_P = """p_value(t, v) AS NULL"""
 _FIT = f"""{_MAD}, f AS (SELECT uid, count(*) AS n, regr_slope(dist, year) AS slope, regr_intercept(dist, year) AS incpt, regr_sxx(dist, year) AS sxx,
   regr_syy(dist, year) AS syy, regr_sxy(dist, year) AS sxy FROM mad WHERE NOT outlier GROUP BY uid),
 e AS (SELECT *, CASE WHEN n > 2 THEN sqrt(greatest(0.0, (1 - coalesce(least(1.0, sxy * sxy / nullif(sxx * syy, 0)), 1.0)) * syy / nullif(sxx, 0) / (n - 2)))
@@ -121,7 +120,9 @@ cert AS (SELECT fit.*, valid_obs, CASE WHEN valid_obs < {int(0.75 * (LAST - FIRS
 
 
 def _certain(spark, sf):
-    both = _fit(spark, sf).join(_stats(spark, sf), "uid")
+    named = {"rate": "rate_time", "incpt": "incpt_time", "sig": "sig_time", "se": "se_time"}
+    both = R.rate_table(_disp(spark, sf), ["uid"], FIRST).where("rate is not null").withColumnsRenamed(named)
+    both = both.withColumn("outl_time", F.array_join("outliers", " "))
     rocky = F.when(F.col("uid") % 7 == 0, "Hard bedrock shore").otherwise("Sandy beach undiff")
     sure = R.point_certainty(
         F.array_contains("outliers", BASE), R.is_rocky(rocky, F.lit("Unclassified")), F.col("rate_time"), F.col("uid") % 41, F.col("valid_obs"), LAST - FIRST + 1

@@ -128,9 +128,14 @@ def point_in_polygon(spark, sf):
     return S.in_polygons(_points(spark, sf), _polygons(spark), ["name"]).select("pid", "name")
 
 
+@query(f"WITH {_XY}, {_POLY} SELECT pid, name FROM cust LEFT JOIN hit USING (pid)")
+def point_in_many_polygons(spark, sf):
+    return S.in_polygons(_points(spark, sf), _polygons(spark), ["name"], "pid").select("pid", "name")
+
+
 @query(f"WITH {_XY}, {_POLY} SELECT pid FROM cust WHERE pid IN (SELECT pid FROM hit)")
 def clip_semi(spark, sf):
-    return S.clip(_points(spark, sf), _polygons(spark)).select("pid")
+    return S.clip(_points(spark, sf), _polygons(spark), "pid").select("pid")
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")

@@ -81,6 +81,38 @@ def test_regression_without_outliers(spark):
     assert [r.year for r in flags.where("outlier").collect()] == [2010]
 
 
+def test_rate_table_is_regression_and_summary(spark):
+    rng = random.Random(5)
+    rows = [(k, y, None if rng.random() < 0.2 else rng.gauss(0, 9) * (20 if rng.random() < 0.1 else 1)) for k in "abcdef" for y in range(1990, 2012)]
+    rows += [("g", 2000, 1.0), ("h", 2000, None)]
+    df = spark.createDataFrame(rows, "uid string, year int, dist double")
+    fit = R.change_regress(df, ["uid"], "year", "dist")
+    both = fit.join(R.all_time_stats(df.join(fit.select("uid", "outliers"), "uid"), ["uid"], 1990, "dist", "outliers"), "uid")
+    got = R.rate_table(df, ["uid"], 1990).select(*both.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, both.collect())) and got.count() == 7
+    for r in fit.collect():  # an independent fit
+        pts = [(y, v) for k, y, v in rows if k == r.uid and v is not None and y not in r.outliers]
+        if len(pts) > 2:
+            n, mx, my = len(pts), sum(x for x, _ in pts) / len(pts), sum(y for _, y in pts) / len(pts)
+            sxx, sxy = sum((x - mx) ** 2 for x, _ in pts), sum((x - mx) * (y - my) for x, y in pts)
+            sse = sum((y - my - sxy / sxx * (x - mx)) ** 2 for x, y in pts)
+            assert abs(r.rate - sxy / sxx) < 1e-3 and abs(r.se - math.sqrt(sse / (n - 2) / sxx)) < 1e-3
+
+
+def test_gapfilled_composite_equals_the_three_steps(spark):
+    rng = random.Random(2)
+    rows = [("t", i % 4, i % 3, 1999 + rng.randrange(6), None if rng.random() < 0.1 else rng.random()) for i in range(400)]
+    obs = spark.createDataFrame(rows, "tile string, yi int, xi int, year int, v double")
+    annual = C.annual_composite(obs, "v", 2000, 2003).where("year >= 2000")
+    want = C.gapfill_select(annual, C.pooled_composite(obs, "v", 2000, 2003), "v")
+    got = C.gapfilled_composite(obs, "v", 2000, 2003)
+
+    def plain(df):
+        return sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r)) for r in df.select("tile", "yi", "xi", "year", "v", "stdev", "count").collect())
+
+    assert plain(got) == plain(want)
+
+
 @pytest.mark.parametrize("t,df", [(0.5, 1), (2.0, 2), (1.3, 7), (3.1, 8), (2.2, 31)])
 def test_student_p(spark, t, df):
     n, total = 200_000, 0.0
