@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import crossing, in_disc, on_segment, ring_contains
+from strandline.operators.ordering import numbered
 
 NEAR = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
 
@@ -311,4 +312,4 @@ def nearest_attribute(points: DataFrame, shores: DataFrame, key: str, attribute:
 def subset_box(df: DataFrame, box: Sequence[float], order: str = "y") -> DataFrame:
     """Points (``x, y``) of a box with new numbers from north to south."""
     inside = df.where(F.col("x").between(box[0], box[2]) & F.col("y").between(box[1], box[3]))
-    return inside.withColumn("id", F.row_number().over(Window.orderBy(F.desc(order), "x")) - 1)
+    return numbered(inside, F.desc(order), F.asc("x"))

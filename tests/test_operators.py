@@ -90,6 +90,7 @@ def test_rate_table_is_regression_and_summary(spark):
     both = fit.join(R.all_time_stats(df.join(fit.select("uid", "outliers"), "uid"), ["uid"], 1990, "dist", "outliers"), "uid")
     got = R.rate_table(df, ["uid"], 1990).select(*both.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, both.collect())) and got.count() == 7
+    assert all(r.valid_obs + len(r.outliers) == (1 if r.uid == "g" else 22) for r in got.collect())
     for r in fit.collect():  # an independent fit
         pts = [(y, v) for k, y, v in rows if k == r.uid and v is not None and y not in r.outliers]
         if len(pts) > 2:
@@ -246,3 +247,24 @@ def test_blocks_round_trip(spark):
     df = spark.createDataFrame(rows, "tile string, year int, yi int, xi int, v double")
     got = {tuple(r) for r in X.to_pixels(X.to_blocks(df, "v"), "v").collect()}
     assert got == {r for r in rows if r[4] is not None}
+
+
+def test_polygons_of_all_sizes_by_cells(spark):
+    rng = random.Random(9)
+    boxes = [(i, rng.uniform(-900, 900), rng.uniform(-900, 900), 2.0 ** rng.uniform(-3, 10)) for i in range(60)]
+    ring = [(i, [(x, y), (x + s, y), (x + s, y + s / 2), (x, y + s)]) for i, x, y, s in boxes]
+    polygons = spark.createDataFrame(ring, "name int, ring array<struct<x:double,y:double>>")
+    points = spark.createDataFrame([(i, rng.uniform(-1000, 1000), rng.uniform(-1000, 1000)) for i in range(400)], "pid int, px double, py double")
+    a, b = (sorted((r.pid, r.name or -1) for r in S.in_polygons(points, polygons, ["name"], key).collect()) for key in (None, "pid"))
+    assert a == b and len(a) >= 400
+    assert sorted(r.pid for r in S.clip(points, polygons).collect()) == sorted(r.pid for r in S.clip(points, polygons, "pid").collect())
+
+
+def test_global_numbers(spark):
+    from strandline.operators.ordering import numbered
+
+    values = [random.Random(i).randrange(1000) for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(7)
+    got = sorted((r.id, r.v) for r in numbered(df, F.asc("v")).collect())
+    assert [g[0] for g in got] == list(range(500)) and [g[1] for g in got] == sorted(values)
+    assert numbered(df.where("v < 0"), F.asc("v")).count() == 0
