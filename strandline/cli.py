@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline import sinks
+from strandline.functions import geometry
+from strandline.functions.statistics import circular
 from strandline.operators import composites as C
 from strandline.operators import rasters as X
 from strandline.operators import rates as R
@@ -114,7 +116,31 @@ def shoreline_points(lines: DataFrame, combined: DataFrame, baseline: int, index
     other = S.bilinear_sample(here.select("tile", "year", "uid", F.col("py").alias("gy"), F.col("px").alias("gx")), grid, "v", ["uid"], ["tile", "year"])
     both = here.join(there.select("uid", F.col("y").alias("year"), F.col("v").alias("there")), ["uid", "year"]).join(other.select("uid", "year", F.col("v").alias("here")), ["uid", "year"])
     moved = R.movement(F.col("distance") * PIXEL_SIZE, F.col("there"), F.col("here"))
-    return both.select("tile", "uid", "px", "py", "year", F.when(F.col("year") == baseline, 0.0).otherwise(moved).alias("dist"))
+    angle = F.pmod(geometry.azimuth(F.col("px"), -F.col("py"), F.col("qx"), -F.col("qy")), F.lit(180.0))
+    return both.select("tile", "uid", "px", "py", "year", F.when(F.col("year") == baseline, 0.0).otherwise(moved).alias("dist"), angle.alias("angle"))
+
+
+def certain_parts(lines: DataFrame, combined: DataFrame) -> DataFrame:
+    """The segments of shorelines with the certainty of the cell that they cross, and their datum."""
+    classes = X.to_pixels(X.certainty_blocks(combined), "class", "int")
+    parts = S.segment_classes(S.segments(lines, ["tile", "year", "line"]), classes, ["tile", "year"])
+    return parts.withColumn("certainty", C.certainty_name(F.coalesce("class", F.lit(0)), F.col("year"), F.lit(None).cast("double"))).withColumn("tide_datum", F.lit("0.0 m AMSL")).drop("class")
+
+
+def with_facts(spark: SparkSession, points: DataFrame, root: str) -> DataFrame:
+    """Whether a point is on a rocky shore, and its region, where ``geomorphology`` and ``regions`` tables are there."""
+    out = points
+    if sinks.exists(spark, f"{root}/geomorphology"):
+        shores = spark.read.parquet(f"{root}/geomorphology").withColumn("hard", R.is_rocky(F.col("INTERTD1_V"), F.col("INTERTD2_V")))
+        here = points.select("uid", (F.col("px") * PIXEL_SIZE).alias("cx"), (F.col("py") * PIXEL_SIZE).alias("cy"))
+        out = out.join(S.rocky_flag(here, shores, "uid", "hard"), "uid", "left")
+    else:
+        out = out.withColumn("rocky", F.lit(False))
+    if sinks.exists(spark, f"{root}/regions"):
+        here = points.select("uid", (F.col("px") * PIXEL_SIZE).alias("px"), (F.col("py") * PIXEL_SIZE).alias("py"))
+        region = S.in_polygons(here, spark.read.parquet(f"{root}/regions"), ["id_primary"]).groupBy("uid").agg(F.min("id_primary").alias("id_primary"))
+        return out.join(region, "uid", "left")
+    return out.withColumn("id_primary", F.lit(None).cast("string"))
 
 
 def vector(spark: SparkSession, a) -> None:
@@ -131,10 +157,17 @@ def vector(spark: SparkSession, a) -> None:
         raise ValueError("no shorelines were found")
     sinks.write_table(shoreline_points(lines, annual, a.baseline_year, a.water_index), f"{out}/movements/{a.study_area}")
     moves = spark.read.parquet(f"{out}/movements/{a.study_area}")
+    sinks.write_table(certain_parts(lines, combined), f"{out}/shoreline_parts/{a.study_area}")
     table = R.rate_table(moves, ["uid"], a.start_year)
-    points = moves.groupBy("tile", "uid").agg(F.first("px").alias("px"), F.first("py").alias("py"))
-    sure = R.point_certainty(F.array_contains("outliers", a.baseline_year), F.lit(False), F.col("rate"), F.lit(0.0), F.col("valid_obs"), a.end_year - a.start_year + 1)
-    sinks.write_table(points.join(table, "uid").withColumn("certainty", sure), f"{out}/points/{a.study_area}")
+    mean, std = circular(F.col("angle"))
+    points = moves.groupBy("tile", "uid").agg(
+        F.first("px").alias("px"), F.first("py").alias("py"), F.bround(mean).cast("int").alias("angle_mean"), F.bround(std).cast("int").alias("angle_std")
+    )
+    both = with_facts(spark, points, a.root).join(table, "uid")
+    sure = R.point_certainty(
+        F.array_contains("outliers", a.baseline_year), F.coalesce("rocky", F.lit(False)), F.col("rate"), F.col("angle_std"), F.col("valid_obs"), a.end_year - a.start_year + 1
+    )
+    sinks.write_table(both.withColumn("certainty", sure).drop("rocky"), f"{out}/points/{a.study_area}")
 
 
 def continental(spark: SparkSession, a) -> None:

@@ -113,6 +113,18 @@ def coastal_blocks(blocks: DataFrame, threshold: float = 0.0, buffer: int = 33,
     return apply_over_years(blocks, lambda cube: coastal_index(cube, None, threshold, buffer, None, seed)["masked"])
 
 
+def certainty_blocks(composites: DataFrame, sieve_size: int = 128, widen: int = 3) -> DataFrame:
+    """Blocks of certainty classes from composites (``count``, ``stdev``), cleaned and widened; year by year."""
+    n, spread = to_blocks(composites, "count"), to_blocks(composites, "stdev").select("tile", "year", F.col("data").alias("spread"))
+
+    def run(batches):
+        for pdf in batches:
+            pdf["data"] = [kernels.certainty(array_of(r), array_of(r, "spread"), sieve_size, widen).astype(float).tobytes() for r in pdf.itertuples()]
+            yield pdf.drop(columns="spread")
+
+    return n.join(spread, ["tile", "year"]).mapInPandas(run, BLOCK)
+
+
 def shorelines(blocks: DataFrame, level: float = 0.0, least: int = 10) -> DataFrame:
     """``tile, year, line, ord, y, x``: vertices of the contours of each block, in cell units of the tile."""
 

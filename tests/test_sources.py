@@ -131,6 +131,9 @@ def scene(spark, tmp_path_factory):
     )
     obs.write.parquet(f"{root}/pixels")
     spark.createDataFrame([("1", 0, 0, -1.0), ("1", 0, 0, 1.0)], "tile string, cy long, cx long, tide_m double").write.parquet(f"{root}/tides")
+    ring = [(-1e5, -1e5), (1e5, -1e5), (1e5, 1e5), (-1e5, 1e5)]
+    spark.createDataFrame([("r1", ring)], "id_primary string, ring array<struct<x:double,y:double>>").write.parquet(f"{root}/regions")
+    spark.createDataFrame([(9e6, 9e6, "Hard bedrock shore", "Unclassified")], "px double, py double, INTERTD1_V string, INTERTD2_V string").write.parquet(f"{root}/geomorphology")
     return root
 
 
@@ -145,6 +148,9 @@ def test_stages_end_to_end(spark, scene, tmp_path):
     points = spark.read.parquet(f"{scene}/vectors/v1/points/1").collect()
     assert len(points) > 30
     rates = sorted(p.rate for p in points)
+    assert {p.certainty for p in points} == {"good"} and all(p.angle_std == 26 and p.angle_mean == 90 for p in points) and points[0].id_primary == "r1"
+    parts = spark.read.parquet(f"{scene}/vectors/v1/shoreline_parts/1")
+    assert parts.where("tide_datum = '0.0 m AMSL'").count() > 100 and parts.select("certainty").distinct().count() == 1
     # 1.5 cells of 30 m each year, seaward
     assert abs(abs(rates[len(rates) // 2]) - 45) < 1
     assert run("continental", "--vector_version", "v1", "--baseline_year", "2006", "--hotspots_radius", "600") == 0
