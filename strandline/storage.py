@@ -14,11 +14,10 @@ def shared_dir(spark: SparkSession) -> str:
     The session's ``spark.checkpoint.dir`` is used when it is set. Without it a local master gets a temporary folder,
     and any other master the warehouse folder, which a cluster shares by definition.
     """
-    conf = spark.sparkContext.getConf()
-    named = conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
-    if conf.get("spark.master", "").startswith("local[") or conf.get("spark.master", "") == "local":
+    if spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local["):
         if not _LOCAL_DIR:
             _LOCAL_DIR.append(tempfile.mkdtemp(prefix="strandline-"))
         return _LOCAL_DIR[0]
