@@ -150,7 +150,13 @@ def vector(spark: SparkSession, a) -> None:
     source = f"{a.root}/rasters/{a.raster_version}"
     annual, gapfill = (layers.annual_rasters(spark, f"{source}/{k}/{a.study_area}", a.start_year, a.end_year) for k in ("annual", "gapfill"))
     combined = C.gapfill_select(annual, gapfill, a.water_index)
-    blocks = X.coastal_blocks(X.to_blocks(combined, a.water_index), a.index_threshold)
+    ocean = spark.read.parquet(f"{a.root}/ocean").where(F.col("tile") == a.study_area) if sinks.exists(spark, f"{a.root}/ocean") else None
+    edits = None
+    if sinks.exists(spark, f"{a.root}/modifications"):
+        shapes = spark.read.parquet(f"{a.root}/modifications").select("ring", F.when(F.col("type") == "add", 1).otherwise(2).alias("type"))
+        cells = combined.select("tile", "yi", "xi", (F.col("xi") * PIXEL_SIZE).alias("px"), (F.col("yi") * PIXEL_SIZE).alias("py")).distinct()
+        edits = S.rasterize(cells, shapes, "type").where("type > 0").select("tile", "yi", "xi", "type")
+    blocks = X.coastal_blocks(X.to_blocks(combined, a.water_index), a.index_threshold, ocean=ocean, edits=edits)
     sinks.write_table(X.shorelines(blocks, a.index_threshold), f"{out}/shorelines/{a.study_area}")
     lines = spark.read.parquet(f"{out}/shorelines/{a.study_area}")
     if lines.isEmpty():

@@ -108,9 +108,39 @@ def coastal_index(index: np.ndarray, ocean: np.ndarray | None = None, threshold:
     return {"masked": masked, "land20": land20, "land80": land80, "rivers": banks, "temporal": steady, "annual": sea, "coastal": coast}
 
 
-def coastal_blocks(blocks: DataFrame, threshold: float = 0.0, buffer: int = 33, seed: int = 20) -> DataFrame:
-    """``coastal_index`` over the blocks of each tile."""
-    return apply_over_years(blocks, lambda cube: coastal_index(cube, None, threshold, buffer, None, seed)["masked"])
+OCEAN, EDITS = -1, -2
+
+
+def coastal_blocks(blocks: DataFrame, threshold: float = 0.0, buffer: int = 33, seed: int = 20, ocean: DataFrame | None = None, edits: DataFrame | None = None) -> DataFrame:
+    """``coastal_index`` over the blocks of each tile.
+
+    ``ocean`` has the cells that are ocean for sure (``tile, yi, xi``) before they are eroded by 10 cells; ``edits`` cells with a
+    ``type`` of 1 (coastal) or 2 (inland). They travel with the tile's blocks as rasters of years that don't exist.
+    """
+    rows = blocks
+    if ocean is not None:
+        rows = rows.unionByName(to_blocks(ocean.withColumns({"year": F.lit(OCEAN), "_v": F.lit(1.0)}), "_v"))
+    if edits is not None:
+        rows = rows.unionByName(to_blocks(edits.withColumn("year", F.lit(EDITS)), "type"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        cube, out = cube_of(pdf)
+        real = (out.year >= 0).to_numpy()
+
+        def layer(year):
+            at = np.flatnonzero(out.year == year)
+            return np.nan_to_num(cube[at[0]]) if len(at) else None
+
+        sea, changes = layer(OCEAN), layer(EDITS)
+        if not real.any():
+            return out[real]
+        sea = None if sea is None else kernels.erode(sea > 0, 10)
+        masked = coastal_index(cube[real], sea, threshold, buffer, None if changes is None else changes.astype(int), seed)["masked"]
+        out = out[real].copy()
+        out["data"] = [a.tobytes() for a in masked]
+        return out
+
+    return rows.groupBy("tile").applyInPandas(run, BLOCK)
 
 
 def certainty_blocks(composites: DataFrame, sieve_size: int = 128, widen: int = 3) -> DataFrame:

@@ -268,3 +268,17 @@ def test_global_numbers(spark):
     got = sorted((r.id, r.v) for r in numbered(df, F.asc("v")).collect())
     assert [g[0] for g in got] == list(range(500)) and [g[1] for g in got] == sorted(values)
     assert numbered(df.where("v < 0"), F.asc("v")).count() == 0
+
+
+def test_coastal_blocks_take_ocean_and_edits(spark):
+    rows = [("t", y, i, j, (j - 20.2) / 10) for y in (2000, 2001, 2002) for i in range(30) for j in range(60)]
+    blocks = X.to_blocks(spark.createDataFrame(rows, "tile string, year int, yi int, xi int, v double"), "v")
+    ocean = spark.createDataFrame([("t", i, j) for i in range(30) for j in range(26, 60)], "tile string, yi int, xi int")
+    edits = spark.createDataFrame([("t", i, j, 2) for i in range(10) for j in range(60)], "tile string, yi int, xi int, type int")
+
+    def shore(**more):
+        out = X.to_pixels(X.coastal_blocks(blocks, 0.0, 5, 4, **more), "v")
+        return {r.yi for r in out.where("year = 2001 AND abs(xi - 20) < 2").collect()}
+
+    assert shore() == set(range(30)) == shore(ocean=ocean)
+    assert shore(ocean=ocean, edits=edits) == set(range(10, 30))
