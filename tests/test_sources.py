@@ -1,12 +1,14 @@
 import json
 import sqlite3
 import struct
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strandline import cli, recipe, sinks
-from strandline.sources import layers, surveys
+from strandline.sources import layers, surveys, tiff
 from strandline.sources.geopackage import geopackage
 from strandline.streaming.composites import append_metrics, running_composite
 
@@ -82,6 +84,39 @@ def test_geopackage(spark, tmp_path):
     assert all(r.properties["certainty"] is None for r in rows) and [tuple(p) for p in rows[0].points] == [(0.0, 1.0), (2.0, 3.0)]
 
 
+def test_tiff(spark, tmp_path):
+    values = np.arange(12, dtype=np.int16).reshape(3, 4)
+    values[1, 1] = -999
+    for y in (1999, 2000):
+        (tmp_path / "t1").mkdir(exist_ok=True)
+        (tmp_path / "t1" / f"{y}_count.tif").write_bytes(tiff.encode(values, nodata=-999))
+    back, nodata = tiff.decode(tiff.encode(values.astype(np.float32)))
+    assert (back == values).all() and nodata is None
+    blocks = tiff.rasters(spark, str(tmp_path / "t1"), 2000, 2001).collect()
+    assert [(b.tile, b.year, b.h, b.w) for b in blocks] == [("t1", 2000, 3, 4)]
+    data = np.frombuffer(blocks[0].data).reshape(3, 4)
+    assert np.isnan(data[1, 1]) and data[2, 3] == 11
+    # tiles, deflated, with the predictor
+    part = np.zeros((4, 16, 16), np.int16)
+    whole = np.random.default_rng(0).integers(0, 99, (20, 30)).astype(np.int16)
+    padded = np.pad(whole, ((0, 12), (0, 2)))
+    raw = []
+    for i in range(4):
+        part[i] = padded[i // 2 * 16 : i // 2 * 16 + 16, i % 2 * 16 : i % 2 * 16 + 16]
+        raw.append(zlib.compress(np.diff(part[i], axis=1, prepend=0).astype("<i2").tobytes()))
+    at = [8 + sum(map(len, raw[:i])) for i in range(4)]
+    body = b"".join(raw)
+    start = 8 + len(body)
+    tags = [(256, 3, 1, 30), (257, 3, 1, 20), (258, 3, 1, 16), (259, 3, 1, 8), (277, 3, 1, 1), (317, 3, 1, 2), (322, 3, 1, 16), (323, 3, 1, 16), (324, 4, 4, 0), (325, 4, 4, 0), (339, 3, 1, 2)]
+    n = len(tags)
+    tags = [(t, k, c, start + 2 + 12 * n + 4 + (0 if t == 324 else 16) if t in (324, 325) else v) for t, k, c, v in tags]
+    table = struct.pack("<H", n) + b"".join(struct.pack("<HHII", *t) for t in tags) + b"\0" * 4
+    data = b"II*\0" + struct.pack("<I", start) + body + table + struct.pack("<4I", *at) + struct.pack("<4I", *map(len, raw))
+    assert (tiff.decode(data)[0] == whole).all()
+    again = tiff.encoded(tiff.rasters(spark, str(tmp_path / "t1")), "int16", -999).collect()
+    assert len(again) == 2 and (tiff.decode(bytes(again[0].content))[0] == values).all()
+
+
 def test_survey_files(spark, tmp_path):
     (tmp_path / "beach_S1_20190304.txt").write_text("# LONGITUDE: 147.5\n# LATITUDE: -43.1\n# TRUE BEARING TRANSECT DEGREES: 95\n# other\ndist z flag\n0.0  2.5 2\n5.0 -9999 2\n\n10.0 -0.5 1\n")
     lines = surveys.lines(spark, str(tmp_path))
