@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import LOWER, UPPER, encoded, map_batches, short_batches
+from strandline.llm.text import LOWER, UPPER, encoded, free_name, map_batches, short_batches
 
 WINDOW, MIN_ITEMS = 8, 2
 #: Bytes of normalised benchmark text in one automaton.
@@ -227,11 +227,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_I
             yield pd.Series([clean(t) for t in texts], dtype=object)
 
     # marked as not deterministic, or the optimizer would call it for the filter and again for the column
-    out = docs.withColumn("_cleaned", cleaned.asNondeterministic()(F.col("text"))).where("_cleaned is not null")
+    name = free_name(docs, "_cleaned")
+    out = docs.withColumn(name, cleaned.asNondeterministic()(F.col("text"))).where(F.col(name).isNotNull())
     if "n_chars" in docs.columns:
-        length = F.length("_cleaned").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_cleaned") != F.col("text"), length).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_cleaned"))).select(*docs.columns)
+        length = F.length(name).cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(name) != F.col("text"), length).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.when(F.col("text").isNotNull(), F.col(name))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

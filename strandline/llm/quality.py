@@ -20,7 +20,7 @@ from strandline.llm.text import UPPER, encoded, map_batches, short_batches
 
 MIN_WORDS, MAX_REPEAT = 50, 50
 CONTENT_SHARE = 0.5
-#: Bounds of the training sample: documents (in expectation, dealt by hash), lines of one document, steps.
+#: The training sample: documents (in expectation, dealt by hash), the most lines that one may have to be in it; steps of the fit.
 TRAIN_DOCS, TRAIN_LINES, STEPS, RATE, L2 = 2000, 128, 120, 0.15, 1e-3
 SYMBOLS = b"#*$%&|<>"
 DIGITS = b"0123456789"
@@ -107,7 +107,7 @@ class Field:
     def fit(cls, docs: list[tuple[np.ndarray, int]]) -> "Field":
         """``docs``: feature rows and the label of all their lines."""
         w, trans = np.zeros(N_FEATURES), np.zeros((2, 2))
-        docs = [(x[:TRAIN_LINES], y) for x, y in docs if len(x)]
+        docs = [(x, y) for x, y in docs if len(x)]
         if len({y for _, y in docs}) < 2:
             return cls(w, trans)
         length = max(len(x) for x, _ in docs)
@@ -185,8 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
         def work(batch):
             found = []
             for text in batch.column(0).to_pylist():
-                head = np.array(line_features(encoded(text))[1][:TRAIN_LINES], np.float32)
-                found.append(head.tobytes())
+                lines = line_features(encoded(text))[1]
+                found.append(np.array(lines if len(lines) <= TRAIN_LINES else [], np.float32).tobytes())
             return [pa.array(found, pa.binary()), batch.column(1)]
 
         return work

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import map_batches, short_batches
+from strandline.llm.text import free_name, map_batches, short_batches
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
@@ -187,11 +187,12 @@ def redacted(docs: DataFrame) -> DataFrame:
         for texts in batches:
             yield pd.Series([redact(t) for t in texts], dtype=object)
 
-    out = docs.withColumn("_clean", clean.asNondeterministic()(F.col("text")))
+    name = free_name(docs, "_clean")
+    out = docs.withColumn(name, clean.asNondeterministic()(F.col("text")))
     if "n_chars" in docs.columns:
-        length = F.length("_clean").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_clean") != F.col("text"), length).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_clean")).select(*docs.columns)
+        length = F.length(name).cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(name) != F.col("text"), length).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col(name)).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ is full. Shares differ by at most one slot, and when a shard goes or comes few s
 the entry of the slot that the key's hash gives: one lookup in a table whose size is fixed, which is broadcast.
 
 Defined results: null keys count as the empty string and are placed like it; equal keys share a shard; repeated rows each
-get a row; an empty table gives an empty result; other columns are kept by ``placed``, and a column that clashes with an
-added name is an error.
+get a row; an empty table gives an empty result; other columns are kept by ``placed``, but a column that has one of the
+added names (in any case) is replaced by the added one, also where it is the key itself.
 """
 
 import hashlib
@@ -59,16 +59,15 @@ def table_frame(spark: SparkSession, shards=SHARDS, slots: int = SLOTS) -> DataF
 
 def placed(df: DataFrame, key: str, shards=SHARDS, slots: int = SLOTS) -> DataFrame:
     """``df`` with ``slot`` and ``shard``; no shuffle."""
-    clash = {"slot", "shard"} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"the table has columns of these names already: {sorted(clash)}")
     table = table_frame(df.sparkSession, shards, slots)  # at most MAX_SLOTS rows
-    return df.withColumn("slot", slot_of(F.col(key), slots)).join(F.broadcast(table), "slot").select(*df.columns, "slot", "shard")
+    kept = [c for c in df.columns if c.lower() not in ("slot", "shard")]
+    rows = df.select(slot_of(F.col(key), slots).alias("slot"), *kept)
+    return rows.join(F.broadcast(table), "slot").select(*kept, "slot", "shard")
 
 
 def write_sharded(df: DataFrame, key: str, path: str, shards=SHARDS, files: int = 1) -> None:
-    """One folder for each shard, of ``files`` files each at most; rows of a shard are dealt by the key's own hash."""
-    part = F.pmod(F.xxhash64(F.col(key)), F.lit(files))
+    """One folder for each shard, of ``files`` files each at most; rows of a shard are dealt by their slot."""
+    part = F.pmod(F.xxhash64("slot"), F.lit(files))
     placed(df, key, shards).repartition(len(shards) * files, F.col("shard"), part).write.partitionBy("shard").parquet(path)
 
 

@@ -17,12 +17,13 @@ there is none); an empty table gives an empty result; further columns are ignore
 """
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.graph import components
-from strandline.llm.text import ASCII_LOWER, encoded, map_batches
+from strandline.llm.text import ASCII_LOWER, encoded, free_name, map_batches, short_batches
 from strandline.storage import durable
 
 WIDTH, SEED, RADIUS, BITS, BUCKET, LEVELS = 3, 42, 2, 64, 64, 3
@@ -150,37 +151,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def marked_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the fingerprint of their text in the column ``name``."""
+    short_batches(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+
+    return docs.withColumn(name, fp(F.col("text")))
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without near duplicates: of each component the document with the smallest id stays, once.
 
-    Repeated rows of one id count as copies. Rows without an id stay only where no document with an id is near, and
-    then one for each fingerprint.
+    Of several rows with one id, one stays: of those whose text makes the id the smallest of its component, the first in
+    order of all columns as JSON. Rows without an id stay only where no document with an id is near, and then one for each
+    fingerprint, chosen likewise.
     """
     found = durable(near_duplicates(docs), "near-duplicates")
-    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
-    kept = ids.where("first").select("doc_id", (F.col("n") > 1).alias("_repeated"))
-    rows = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if kept.where("_repeated").limit(1).count():
-        again = kept.where("_repeated").select("doc_id")
-        rows = rows.join(again, "doc_id", "left_anti").unionByName(rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    alone = found.where("doc_id is null and component_id is null").select("fp").distinct()
+    first = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(first).alias("first"))
+    once = docs.join(ids.where("first and n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    fp = free_name(docs, "_fp")
+
+    def one_each(rows: DataFrame, by: str) -> DataFrame:
+        # pre-aggregated, so that many rows of one key meet as one row from each task
+        whole = F.struct(*docs.columns)
+        chosen = rows.groupBy(by).agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+        return chosen.select("row.*")
+
+    again = ids.where("first and n > 1").select("doc_id")
+    if again.limit(1).count():
+        good = found.where(first).select("doc_id", F.col("fp").alias(fp)).distinct()
+        rows = marked_rows(docs.join(again, "doc_id", "left_semi").select(*docs.columns), fp)
+        once = once.unionByName(one_each(rows.join(good, ["doc_id", fp], "left_semi"), "doc_id"))
+    alone = found.where("doc_id is null and component_id is null").select(F.col("fp").alias(fp)).distinct()
     if alone.limit(1).count():
-        bare = docs.where("doc_id is null")
-        texts = map_fp(bare.select("text").distinct()).join(alone, "fp").groupBy("fp").agg(F.min("text").alias("text")).select("text")
-        rows = rows.unionByName(bare.join(texts, bare["text"].eqNullSafe(texts["text"]), "left_semi").dropDuplicates(["text"]))
-    return rows
-
-
-def map_fp(texts: DataFrame) -> DataFrame:
-    """``text, fp`` of a column of texts."""
-
-    def make():
-        def work(batch):
-            return [batch.column(0), np.array([fingerprint(t) for t in batch.column(0).to_pylist()], np.uint64).view(np.int64)]
-
-        return work
-
-    return map_batches(texts.select("text"), make, "text string, fp long")
+        rows = marked_rows(docs.where("doc_id is null"), fp)
+        once = once.unionByName(one_each(rows.join(alone, fp, "left_semi"), fp))
+    return once
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable]], schema: str) -> DataFrame:
     """``mapInArrow`` with a worker that is made once per task; it turns a batch into columns of ``schema``."""
     short_batches(df.sparkSession)

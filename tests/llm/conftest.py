@@ -26,7 +26,7 @@ def odd_docs(spark):
         (None, "one two three four", "x", 1, 1.0), (5, "one two three four", "x", 1, 1.0), (6, long, "x", 1, 1.0), (6, long, "x", 1, 1.0),
         (7, "日本語のテキスト。" * 9000, "x", 1, 1.0), (8, "x" * 40_000, "x", 1, 1.0), (9, "12345 ....  \r\n\x0b\x0c é\u00a0\u2003 <|endoftext|> <s>", "x", 1, 1.0),
     ]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words int, score double")
+    return spark.createDataFrame([(*r, "clash", 3) for r in rows], "doc_id long, text string, lang string, n_words int, score double, _clean string, _Cleaned int")
 
 
 @pytest.fixture(scope="session")

@@ -111,8 +111,8 @@ def test_placement_of_odd_keys(spark):
     got = {r.v: r.shard for r in sharding.placed(df, "k").collect()}
     assert got[1] == got[4] and got[2] == got[3] and len(got) == 4
     assert sharding.placed(df.limit(0), "k").count() == 0
-    with pytest.raises(ValueError):
-        sharding.placed(df.withColumn("Shard", F.lit(1)), "k")
+    clash = sharding.placed(df.withColumns({"Shard": F.lit(1), "slot": F.col("k")}), "slot")
+    assert clash.columns == ["k", "v", "slot", "shard"] and {r.v: r.shard for r in clash.collect()} == got
     plan = sharding.placed(df, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan
 

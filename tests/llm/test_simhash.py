@@ -94,6 +94,12 @@ def test_one_of_each_group_stays(spark, no_docs, odd_docs):
     assert simhash.deduplicated(no_docs).count() == 0
 
 
+def test_repeated_ids_with_different_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    docs = spark.createDataFrame([(3, a, 1), (5, a, 2), (5, b, 3), (5, c, 4), (None, b, 5), (None, "alone", 7), (None, "alone", 6)], "doc_id long, text string, _fp int")
+    assert sorted(r["_fp"] for r in simhash.deduplicated(docs).collect()) == [1, 3, 6]
+
+
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(100)] + [(200, 201), (201, 200), (300, 300)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(chain, "u long, v long")).collect()}
