@@ -37,3 +37,22 @@ def test_stages_keep_the_columns(spark, sf, no_docs):
         assert docs.columns == no_docs.columns and docs.dtypes == no_docs.dtypes
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 0
     assert bpe.encoded(no_docs).count() == 0
+
+
+def test_stages_take_odd_documents(spark, sf, odd_docs):
+    docs = odd_docs.selectExpr("doc_id", "text", "lang", "CAST(NULL AS STRING) source", "CAST(n_words AS BIGINT) n_chars", "_clean", "score")
+    docs = docs.unionByName(docs)
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf)
+        if name != "bpe_tokens":
+            assert docs.columns == before.columns
+    got = docs.collect()
+    assert len({r.doc_id for r in got}) == len(got)
+
+
+def test_near_dedup_of_odd_documents(spark, odd_docs):
+    from strandline.llm import simhash
+
+    got = simhash.deduplicated(odd_docs.unionByName(odd_docs)).collect()
+    # 1, 2, 3 have no words; 5 is also the row without an id
+    assert sorted(r.doc_id for r in got) == [1, 4, 5, 6, 7, 8, 9]
