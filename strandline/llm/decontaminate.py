@@ -243,3 +243,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), n.alias("n_items"), F.sha2(named, 256).alias("items_sha256"), (n >= MIN_ITEMS).alias("contaminated")
     )
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+bi AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 7, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, least(8, len(w)) AS n, array_to_string(w[i:i + 7], ' ') AS win FROM bi),
+dn AS (SELECT r, w, n FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+di AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dn),
+dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM di),
+hit AS (SELECT r, item_id, n, i FROM dw JOIN bw USING (n, win)),
+pos AS (SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+own AS (SELECT r, count(*)::BIGINT AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_items, 0) >= 2 AS contaminated FROM d LEFT JOIN pos USING (r) LEFT JOIN own USING (r)
+"""

@@ -14,4 +14,9 @@ QUERIES = {
     "op9_secret_scans": secrets.query,
     "op10_token_counts": token_counts.query,
 }
-ORACLE_SQL = {"op1_chat_formatting": chat.ORACLE, "op3_url_filters": urls.ORACLE, "op6_sharding": sharding.ORACLE}
+ORACLE_SQL = {
+    "op1_chat_formatting": chat.ORACLE,
+    "op3_url_filters": urls.ORACLE,
+    "op4_decontamination": decontaminate.ORACLE,
+    "op6_sharding": sharding.ORACLE,
+}
