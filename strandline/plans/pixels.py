@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from strandline.functions.numbers import tidy
 from strandline.operators import composites as C
 from strandline.plans.standins import END, OBS, START, observations, table
 

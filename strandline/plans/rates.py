@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from strandline.functions.numbers import tidy
 from strandline.functions.statistics import circular, ols, ols_error, ols_p
 from strandline.operators import rates as R
 from strandline.operators import surveys as S

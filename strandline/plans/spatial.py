@@ -5,10 +5,9 @@ import math
 from pyspark.sql import functions as F
 
 from strandline.functions import geodesy, geometry
-from strandline.functions.statistics import ols, ols_error
 from strandline.operators import spatial as S
 from strandline.operators.rates import change_regress
-from strandline.plans.standins import MOVES, movements, places, table
+from strandline.plans.standins import places, table
 
 QUERIES, ORACLE_SQL = {}, {}
 
