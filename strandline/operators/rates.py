@@ -59,18 +59,40 @@ def marked_lists(df: DataFrame, keys: Sequence[str], x: str, y: str, limit: floa
         F.array_sort(F.collect_list(F.when(known, F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))))).alias("_p"),
         F.collect_set(F.when(F.col(x).isNotNull() & F.col(y).isNull(), F.col(x))).alias("_missing"),
     )
-    got = got.withColumn("_mx", middle(F.transform("_p", lambda p: p["x"]))).withColumn("_my", middle(F.transform("_p", lambda p: p["y"])))
-    got = got.withColumn("_d", F.transform("_p", lambda p: F.hypot(p["x"] - F.col("_mx"), p["y"] - F.col("_my"))))
-    got = got.withColumn("_mad", middle(F.col("_d")))
-    bad = F.transform("_d", lambda d: F.when(F.col("_mad") == 0, d > 0).otherwise(MAD_SCALE * d / F.col("_mad") > limit))
-    points = F.zip_with("_p", bad, lambda p, b: F.struct(p["x"].alias("x"), p["y"].alias("y"), b.alias("outlier")))
+    # each step is bound once: a column used inside a lambda would be computed again for every element
+
+    def xs(p):
+        return middle(F.transform(p, lambda q: q["x"]))
+
+    def ys(p):
+        return middle(F.transform(p, lambda q: q["y"]))
+
+    def distances(c):
+        return F.struct(c["p"].alias("p"), F.transform(c["p"], lambda q: F.hypot(q["x"] - c["mx"], q["y"] - c["my"])).alias("d"))
+
+    def spread(c):
+        return F.struct(c["p"].alias("p"), c["d"].alias("d"), middle(c["d"]).alias("mad"))
+
+    def marks(c):
+        def mark(q, d):
+            bad = F.when(c["mad"] == 0, d > 0).otherwise(MAD_SCALE * d / c["mad"] > limit)
+            return F.struct(q["x"].alias("x"), q["y"].alias("y"), bad.alias("outlier"))
+
+        return F.zip_with(c["p"], c["d"], mark)
+
+    centre = F.struct(F.col("_p").alias("p"), xs(F.col("_p")).alias("mx"), ys(F.col("_p")).alias("my"))
+    points = let(let(let(centre, distances), spread), marks)
     return got.select(*keys, points.alias("points"), "_missing")
 
 
 def middle(values: Column) -> Column:
     """The median of an array of numbers."""
-    ordered, n = F.array_sort(values), F.size(values)
-    return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+
+    def mean(v: Column) -> Column:
+        n = F.size(v)
+        return (F.get(v, F.floor((n - 1) / 2).cast("int")) + F.get(v, F.floor(n / 2).cast("int"))) / 2
+
+    return let(F.array_sort(values), mean)
 
 
 def detrended(y: Column, x: Column, slope: float, intercept: float) -> Column:
