@@ -7,7 +7,7 @@ next stage's documents. All but the last return the columns of documents.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, decontaminate, quality, secrets, simhash
+from strandline.llm import bpe, decontaminate, minhash, quality, secrets
 from strandline.storage import durable
 
 
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    return simhash.deduplicated(docs)
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest id stays."""
+    return minhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

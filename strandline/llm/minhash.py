@@ -1,0 +1,191 @@
+"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands propose pairs, exact similarity decides.
+
+A text is its set of hashed shingles of ``WIDTH`` words (lower-cased A-Z; a shorter text is one shingle). Texts with one
+set are one class from the start. Of ``BANDS * ROWS`` minima each band hashes ``ROWS``; classes that agree in a band are
+candidates, and a pair is linked if its exact similarity is at least ``SIMILAR`` (a fraction of whole numbers). A pair of
+similarity 0.8 misses all bands with probability (1 - 0.8^4)^16 = 0.0002, more similar ones less.
+
+All pairs of a bucket of up to ``BUCKET`` classes are candidates. In a larger one a few representatives are compared with
+all its classes; then, in rounds, some of the classes outside the bucket's largest component are compared with all classes
+of other components, until each is in it or has been compared. Pairs inside a component are not needed, so a large group of near copies
+makes pairs in proportion to its size, and yet no pair of a common band is lost. Only a large bucket of classes that are not
+similar costs more.
+
+Defined results: null text and text without words are one class; otherwise as in ``simhash``.
+"""
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strandline.llm import simhash
+from strandline.llm.graph import components
+from strandline.llm.text import ASCII_LOWER, encoded, map_batches, short_batches
+from strandline.storage import durable
+
+WIDTH, SEED, BANDS, ROWS, BUCKET, REPS = 5, 42, 16, 4, 32, 4
+#: 0.8 as a fraction.
+SIMILAR = (4, 5)
+BLOCK = 1 << 12
+_RNG = np.random.default_rng(SEED)
+_FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = _RNG.integers(0, 1 << 63, WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted different hashes of a text's shingles."""
+    words = encoded(text).translate(ASCII_LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    known: dict[bytes, int] = {}
+    digest = xxhash.xxh64_intdigest
+    for w in words:
+        if w not in known:
+            known[w] = digest(w, SEED)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    n = max(1, len(h) - WIDTH + 1)
+    out = np.full(n, min(len(h), WIDTH), np.uint64)
+    for i in range(min(WIDTH, len(h))):
+        out = _mixed(out * _ODD[i] + h[i : i + n])
+    return np.unique(out)
+
+
+def set_hash(found: np.ndarray) -> int:
+    """Signed 64-bit hash of a set of shingles."""
+    return simhash._signed(xxhash.xxh64_intdigest(found.tobytes(), SEED)) if len(found) else 0
+
+
+def bands(found: np.ndarray) -> np.ndarray:
+    """Signed hash of each band."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
+    for start in range(0, len(found), BLOCK):
+        part = found[start : start + BLOCK]
+        for k, f in enumerate(_FACTORS):
+            least[k] = min(least[k], (part * f).min())
+    rows = least.reshape(BANDS, ROWS)
+    out = np.zeros(BANDS, np.uint64)
+    for k in range(ROWS):
+        out = _mixed(out * _ODD[0] + rows[:, k])
+    return out.view(np.int64)
+
+
+def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, fp, bands``: the hash of each document's set, and of its bands."""
+
+    def make():
+        def work(batch):
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            return [batch.column(0), [set_hash(s) for s in sets], [bands(s).tolist() if len(s) else [] for s in sets]]
+
+        return work
+
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, "doc_id long, fp long, bands array<long>")
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """All pairs of each bounded bucket of ``key, fp``."""
+    lists = rows.groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
+    first = lists.select("fps", F.posexplode("fps").alias("at", "u"))
+    return first.select("u", F.explode(F.expr("slice(fps, at + 2, size(fps))")).alias("v"))
+
+
+def buckets(classes: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame | None]:
+    """``u, v`` (u < v): all pairs of small buckets, each once; and the rows ``key, fp`` of larger buckets, if there are any."""
+    rows = classes.select("fp", F.posexplode("bands").alias("band", "hash")).select(F.xxhash64("band", "hash").alias("key"), "fp")
+    rows = durable(rows, "bands")
+    hot = durable(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key"), "hot-bands")
+    n_hot = hot.count()
+    if not n_hot:
+        return _paired(rows).distinct(), None
+    known = F.broadcast(hot) if n_hot <= 200_000 else hot
+    return _paired(rows.join(known, "key", "left_anti")).distinct(), durable(rows.join(known, "key", "left_semi"), "hot-rows")
+
+
+def _proposed(placed: DataFrame, left: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of up to ``parts`` of each bucket's rows ``left`` with all its rows of other components; and those rows."""
+    chosen = left.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("_part")).agg(F.min(F.struct("fp", "root")).alias("_rep"))
+    chosen = durable(chosen.select("key", F.col("_rep.fp").alias("rep"), F.col("_rep.root").alias("rep_root")), "representatives")
+    near = F.broadcast(chosen) if chosen.count() <= 200_000 else chosen
+    both = placed.join(near, "key").where("root <> rep_root")
+    pairs = both.select(F.least("fp", "rep").alias("u"), F.greatest("fp", "rep").alias("v")).distinct()
+    return pairs, chosen.select("key", F.col("rep").alias("fp"))
+
+
+def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``fp, shingles`` of the classes ``fp, rep`` in ``wanted``, from the documents ``rep``."""
+
+    def make():
+        def work(batch):
+            sets = [shingles(t) for t in batch.column(0).to_pylist()]
+            return [[set_hash(s) for s in sets], [s.view(np.int64) for s in sets]]
+
+        return work
+
+    ids = wanted.select("rep").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    texts = texts.join(ids, F.col("_id").eqNullSafe(F.col("rep")), "left_semi").select("_text")
+    rows = map_batches(texts, make, "fp long, shingles array<long>").join(wanted.select("fp"), "fp", "left_semi")
+    return rows.groupBy("fp").agg(F.any_value("shingles").alias("shingles"))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    both = pairs.join(sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u")
+    both = both.join(sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v")
+    common = F.size(F.array_intersect("a", "b"))
+    return both.where(common * SIMILAR[1] >= (F.size("a") + F.size("b") - common) * SIMILAR[0]).select("u", "v")
+
+
+def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """``u, v``: links that join the classes ``fp, rep, bands`` just as all pairs of a common band would that are similar."""
+    pairs, hot = buckets(classes.select("fp", "bands"), bucket)
+    pairs = durable(pairs, "candidates")
+    nodes = pairs.select(F.col("u").alias("fp")).unionByName(pairs.select(F.col("v").alias("fp")))
+    nodes = (nodes if hot is None else nodes.unionByName(hot.select("fp"))).distinct()
+    sets = durable(sets_of(docs, id_col, text_col, classes.select("fp", "rep").join(nodes, "fp", "left_semi")), "shingle-sets")
+    found = _similar(pairs, sets)
+    if hot is None:
+        return found
+    placed = hot.withColumn("root", F.col("fp"))
+    left, parts, done = placed, REPS, None
+    while True:
+        more, reps = _proposed(placed, left, parts)
+        found = durable(found.unionByName(_similar(durable(more, "candidates"), sets)), "found")
+        done = durable(reps if done is None else done.unionByName(reps), "compared")
+        roots = components(found).withColumnRenamed("node", "fp")
+        placed = durable(hot.join(roots, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root")), "placed")
+        main = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+        left = placed.join(main, "key").where("root <> main").join(done, ["key", "fp"], "left_anti").select("key", "fp", "root")
+        left = durable(left, "left")
+        if not left.limit(1).count():
+            return found
+        parts *= 8
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, component_id``: one row per document."""
+    rows = durable(marked(docs, id_col, text_col), "marked")
+    classes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "set-classes")
+    return simhash.labelled(rows.select("doc_id", "fp"), classes.select("fp", "rep"), links(docs, classes, id_col, text_col))
+
+
+def marked_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the hash of their text's set in the column ``name``."""
+    short_batches(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([set_hash(shingles(t)) for t in texts], np.int64))
+
+    return docs.withColumn(name, fp(F.col("text")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` without near duplicates, chosen as by ``simhash.deduplicated``."""
+    return simhash.one_of_each(docs, near_duplicates(docs), marked_rows)

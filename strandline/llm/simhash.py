@@ -16,6 +16,8 @@ get a row; a null ``doc_id`` keeps its fingerprint, and its component is the sma
 there is none); an empty table gives an empty result; further columns are ignored.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -140,7 +142,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, fp, component_id``: one row per document, exact for the radius."""
     marked = durable(fingerprints(docs, id_col, text_col), "fingerprints")
     classes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
-    stars = components(links(classes.select("fp")))
+    return labelled(marked, classes, links(classes.select("fp")))
+
+
+def labelled(marked: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of the rows ``doc_id, fp``, with their classes ``fp, rep`` and links between these."""
+    stars = components(links)
     # a component's members and root get the smallest id among all of its classes
     member = classes.join(stars.withColumnRenamed("node", "fp"), "fp")
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -169,7 +176,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     order of all columns as JSON. Rows without an id stay only where no document with an id is near, and then one for each
     fingerprint, chosen likewise.
     """
-    found = durable(near_duplicates(docs), "near-duplicates")
+    return one_of_each(docs, near_duplicates(docs), marked_rows)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, marked_rows: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that stay, by the near-duplicates ``found``; ``marked_rows`` gives rows their class ``fp``."""
+    found = durable(found, "near-duplicates")
     first = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(first).alias("first"))
     once = docs.join(ids.where("first and n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)

@@ -1,0 +1,68 @@
+import random
+
+import corpus_pipeline
+from strandline.llm import minhash, simhash
+
+
+def brute_shingles(text):
+    words = simhash.encoded(text).translate(simhash.ASCII_LOWER).split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_components(texts):
+    sets = {k: brute_shingles(t) for k, t in texts.items()}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    return {k: find(k) for k in keys}
+
+
+def test_pipeline_drops_near_copies_beyond_the_radius_of_op2(spark, sf):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    copy = list(words)
+    for i in (20, 90, 150, 220, 280):
+        copy[i] = "changed"
+    far = [w if i % 12 else "other" for i, w in enumerate(words)]
+    texts = {1: " ".join(words), 2: " ".join(copy), 3: " ".join(far)}
+    a, b = brute_shingles(texts[1]), brute_shingles(texts[2])
+    assert len(a & b) / len(a | b) >= 0.8 and (simhash.fingerprint(texts[1]) ^ simhash.fingerprint(texts[2])).bit_count() > 2
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()) == [1, 3]
+
+
+def test_components_equal_brute_force(spark, sf, texts):
+    got = minhash.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(texts)
+
+
+def test_large_buckets(spark):
+    rng = random.Random(8)
+    body = [f"w{i}" for i in range(200)]
+    texts = {}
+    for k in range(150):
+        mine = list(body)
+        for _ in range(rng.choice((1, 2, 3, 4))):
+            mine[rng.randrange(200)] = f"x{k}"
+        texts[k] = " ".join(mine)
+    got = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(texts)
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    got = minhash.near_duplicates(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    assert {r.component_id for r in got if r.doc_id in (1, 2, 3)} == {1} and {r.component_id for r in got if r.doc_id is None} == {5}
+    assert sorted(r.doc_id for r in minhash.deduplicated(odd_docs.unionByName(odd_docs)).collect()) == [1, 4, 5, 6, 7, 8, 9]
+    assert minhash.deduplicated(no_docs).count() == 0
