@@ -15,9 +15,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.llm.bpe import VOCABULARY, ranks_of
 from strandline.llm.text import free_name, map_batches, short_batches
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -29,9 +31,11 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: Contexts that announce a credential; wider than ASSIGN, and with any printable value.
+#: Contexts that announce a credential; wider than ASSIGN, and with any printable value. The keyword may stand inside an
+#: identifier; only ``pass`` needs a separator behind it, as many words of prose start with it.
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth[_-]?key|access[_-]?key|private[_-]?key)"""
+    r"""(?:pass(?:(?:word|wd|phrase|code)[\w.-]{0,64}+|[\d_.-][\w.-]{0,64}+)?"""
+    r"""|(?:pwd|secret|token|api[_-]?key|credential|auth[_-]?key|access[_-]?key|private[_-]?key)[\w.-]{0,64}+)"""
     r"""["']?[\x20\t]*(?:[:=]|=>|:=|\bis\b)[\x20\t]*["'`]?([^\s"'`,;<>()\[\]{}]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
@@ -47,7 +51,22 @@ internet server database redacted hidden required optional""".split()
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 _RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
+
+
+def _prose() -> dict[str, int]:
+    """Ranks of ``WORDS`` and then of the whole words of the tokenizer's vocabulary, which is in order of frequency."""
+    with open(public_tokenizers.path(VOCABULARY), "rb") as f:
+        ranks = ranks_of(f.read())
+    out = dict(_RANK)
+    for token in sorted(ranks, key=ranks.get):
+        if re.fullmatch(rb" [A-Za-z]{3,}", token):
+            out.setdefault(token[1:].decode().lower(), len(out) + 1)
+    return out
+
+
+#: For values of letters only, which may be words of prose; other values are measured with ``WORDS`` alone.
+_PROSE = _prose()
+_LONGEST, _LONGEST_PROSE = max(map(len, _RANK)), max(map(len, _PROSE))
 _SWAPS = str.maketrans("@4301$57!", "aaeoissti")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
 
@@ -80,6 +99,7 @@ def guess_cost(value: str) -> float:
     low = value.lower()
     plain = low.translate(_SWAPS)
     brute = math.log10(_alphabet(value))
+    words, longest = (_PROSE, _LONGEST_PROSE) if value.isalpha() else (_RANK, _LONGEST)
     best = [0.0] + [math.inf] * n
     # a repeated block costs its first copy and the count; runs are found as the positions are passed
     same = step = walk = 1
@@ -97,8 +117,8 @@ def guess_cost(value: str) -> float:
             cost = min(cost, best[end - step] + 1.5 + math.log10(step))
         if walk >= 4:
             cost = min(cost, best[end - walk] + 2.0 + 0.3 * math.sqrt(walk) + math.log10(walk))
-        for size in range(3, min(_LONGEST, end) + 1):
-            rank = _RANK.get(plain[end - size : end])
+        for size in range(3, min(longest, end) + 1):
+            rank = words.get(plain[end - size : end])
             if rank:
                 part = value[end - size : end]
                 turns = (part != part.lower()) + (part.lower() != plain[end - size : end])
@@ -135,7 +155,7 @@ def guessed_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
         a, b = m.span(1)
         value = m[1].rstrip(".!?:")
         b = a + len(value)
-        if len(value) >= 6 and not any(a < e and s < b for s, _, e in base) and not value.isalpha() and guess_cost(value) >= MIN_GUESSES:
+        if len(value) >= 6 and not any(a < e and s < b for s, _, e in base) and guess_cost(value) >= MIN_GUESSES:
             out.append((a, 3, b))
     return out
 

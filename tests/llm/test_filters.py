@@ -172,6 +172,21 @@ def test_guess_costs():
     assert "x7#Kq" not in secrets.redact(text) and "changeme123" in secrets.redact(text)
 
 
+def test_keywords_inside_identifiers_and_letters_only():
+    key = "i2WqFCPYgb1BWaCUo85bbI8ynBboCFoooDsb1JPl"
+    found = (
+        ("AWS_SECRET_ACCESS_KEY=", key), ("aws_secret_access_key = ", key), ("DB_PASSWORD=", "Xy7$kq9!vT2#pL"), ("db_pwd: ", "Xy7$kq9!vT2#pL"),
+        ("MYSQL_PWD=", "kf83hgka93jhgA"), ("pwd=", "QzXkWvBnMpLrTy"), ("clientSecretKey: ", "Xy7$kq9!vT2#pL"), ("DB_PASS=", "Xy7$kq9!vT2#pL"),
+    )
+    for name, value in found:
+        text = f"so {name}{value} it"
+        assert secrets.named(secrets.spans_of(text)) == f"guess:{3 + len(name)}:{3 + len(name) + len(value)}", text
+        assert value not in secrets.redact(text)
+    for text in ("the secret is extraordinarily good", "secretary: Washington", "The password is responsibility", "passengers: beautiful-old-harbour", "api_key=YOURKEYHERE"):
+        assert secrets.spans_of(text) == []
+    assert secrets.spans_of("password_" * 5000 + "token" * 5000) == []
+
+
 def test_secrets_of_odd_documents(spark, odd_docs, no_docs):
     assert secrets.scanned(odd_docs).count() == odd_docs.count()
     assert secrets.scanned(no_docs).count() == 0
