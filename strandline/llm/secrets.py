@@ -6,8 +6,8 @@ block, a walk over neighbouring keys, a sequence, or brute force. A value whose
 is a secret; placeholders such as ``changeme123`` cost little.
 
 Defined results: null text counts as empty and has no spans; repeated rows each get a row; an empty table gives an
-empty result; further columns are ignored. Spans are code point offsets, end exclusive. A guessed span never overlaps
-a base span.
+empty result; further columns are ignored. Spans are code point offsets, end exclusive. A guessed span
+may overlap base spans but always reaches beyond them.
 """
 
 import math
@@ -145,8 +145,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def covered(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether the union of the sorted spans holds all of ``start`` to ``end``."""
+    for s, _, e in spans:
+        if s > start:
+            break
+        start = max(start, e)
+    return start >= end
+
+
 def guessed_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Values in a credential context that cost at least ``MIN_GUESSES`` and overlap no base span."""
+    """Values in a credential context that cost at least ``MIN_GUESSES`` and that base spans don't cover whole."""
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
@@ -155,7 +164,7 @@ def guessed_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
         a, b = m.span(1)
         value = m[1].rstrip(".!?:")
         b = a + len(value)
-        if len(value) >= 6 and not any(a < e and s < b for s, _, e in base) and guess_cost(value) >= MIN_GUESSES:
+        if len(value) >= 6 and not covered(a, b, base) and guess_cost(value) >= MIN_GUESSES:
             out.append((a, 3, b))
     return out
 

@@ -187,6 +187,16 @@ def test_keywords_inside_identifiers_and_letters_only():
     assert secrets.spans_of("password_" * 5000 + "token" * 5000) == []
 
 
+def test_guessed_spans_reach_beyond_base_spans():
+    text = "so password=Tr0ub4dorXyz&9kQ!vT2#pLmz it"
+    assert secrets.named(secrets.spans_of(text)) == "assign:3:24,guess:12:37"
+    assert secrets.redact(text) == "so [SECRET] it"
+    text = "so pwd: x!0123456789abcdef0!Kq$z it"
+    assert [secrets.KINDS[k] for _, k, _ in secrets.spans_of(text)] == ["guess", "hex"] and secrets.redact(text) == "so pwd: [SECRET] it"
+    text = "so token = '0123456789abcdef0123' it"
+    assert "guess" not in secrets.named(secrets.spans_of(text))
+
+
 def test_secrets_of_odd_documents(spark, odd_docs, no_docs):
     assert secrets.scanned(odd_docs).count() == odd_docs.count()
     assert secrets.scanned(no_docs).count() == 0
