@@ -183,8 +183,13 @@ def _scanned_in_parts(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
 
 
 def has_whole(items: dict, values: list) -> bool:
-    """Whether all windows of one of the items were found."""
-    return bool(items) and any(n == sum(item in own for _, own in values) for item, n in items.items())
+    """Whether all windows of one of the items were found, and these have ``WINDOW`` words; shorter items are too common to tell."""
+
+    def whole(item, n):
+        sizes = [size for size, own in values if item in own]
+        return n == len(sizes) and max(sizes) >= WINDOW
+
+    return any(whole(item, n) for item, n in items.items())
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -197,7 +202,7 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_ITEMS) -> DataFrame:
-    """``docs`` without those that hold passages of ``min_items`` items, or every window of one.
+    """``docs`` without those that hold passages of ``min_items`` items, or every window of one of ``WINDOW`` words or more.
 
     Lesser passages are cut out of their document. Texts are judged where they lie, without a shuffle; ``n_chars``
     follows a cut.

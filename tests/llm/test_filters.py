@@ -64,6 +64,13 @@ def test_windows_spans_and_offsets(spark, odd_docs, no_docs):
     assert [r.doc_id for r in decontaminate.decontaminated(whole, bench).collect()] == [10]
 
 
+def test_short_items_alone_drop_no_document(spark):
+    eight = "one two three four five six seven eight"
+    bench = spark.createDataFrame([(1, "yes"), (2, "kurz und gut"), (3, eight)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Oh yes, that is so"), (2, "yes: kurz und gut"), (3, f"so {eight}"), (4, "nothing")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(docs, bench).collect()) == [1, 4]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_scan_equals_brute_force_on_random_words(seed):
     rng = random.Random(seed)
