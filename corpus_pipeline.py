@@ -7,8 +7,8 @@ next stage's documents. All but the last return the columns of documents.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, decontaminate, minhash, quality, secrets
-from strandline.storage import durable
+from strandline.llm import bpe, decontaminate, quality, secrets, similar
+from strandline.storage import discard, durable, mark, sweep
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest id stays."""
-    return minhash.deduplicated(docs)
+    """Of each group of near-duplicates (operator 2 on five-word shingles, similarity 0.8 or more) the document with the smallest id stays."""
+    return similar.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +50,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
+        start = mark()
         docs = durable(stage(spark, docs, sf_dir), name)
+        sweep(spark, start, docs)
+        if before is not None:
+            discard(spark, before)
+        before = docs.durable_path
     return docs

@@ -1,20 +1,21 @@
 """Byte-level BPE encoding and decoding with a rank file.
 
-A text is cut into overlapping chunks that are pre-tokenised independently. A chunk's first cuts may be wrong, as it can
-begin inside a pre-token; from the first cut that both neighbours of an overlap share on, they agree, because matching
-only looks ahead. Chunks are stitched there, and the pieces are encoded by merging ranks. Where an overlap has no
-shared cut (a pre-token longer than it), the text is pre-tokenised on from the last sure cut.
+A text is cut into overlapping chunks of ``CHUNK`` characters that are pre-tokenised independently. A chunk's first cuts may
+be wrong, as it can begin inside a pre-token; from the first cut that both neighbours of an overlap share on, they agree,
+because matching only looks ahead. Chunks are stitched there, and the pieces are encoded by merging ranks. Where an overlap
+has no shared cut (a pre-token longer than it), the text is pre-tokenised on from the last sure cut, over a stretch that
+doubles, so that the work stays in proportion to the text.
 
-Texts of more than ``LONG`` characters are dealt out by chunk, so that one long document is the work of many tasks.
+Every text takes this path. Where a text is longer than a ``BLOCK`` of chunks, its blocks are dealt out to tasks, so that
+one long document is the work of many; the blocks' ids are joined at cuts that both sides of an overlap share, as chunks are.
 
 Defined results: null text counts as empty and has no ids; repeated rows each get a row; an empty table gives an empty
-result; further columns are ignored; special tokens are never produced. Decoding concatenates raw bytes, and an id
-outside the vocabulary is an error.
+result; further columns are ignored; special tokens are never produced; ids of documents keep their type. Decoding
+concatenates raw bytes, and an id outside the vocabulary is an error.
 """
 
 import base64
-from bisect import bisect_left
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,103 +26,128 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import map_batches
+from strandline.llm.text import map_batches, type_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CHUNK, OVERLAP = 1 << 15, 1 << 9
-LONG = CHUNK + OVERLAP
+CHUNK, OVERLAP = 1 << 11, 1 << 7
+#: Characters of a text that one task takes.
+BLOCK = CHUNK << 5
 #: Cuts this near to the end of a chunk are not trusted: the match there may have gone on.
 MARGIN = 64
-#: Of a chunk: the cuts in the overlaps at its start and at its end with the number of ids before each, and its ids.
-CHUNK_ARRAYS = ("head", "head_at", "tail", "tail_at", "ids")
-#: Pieces that a worker remembers; beyond, it starts afresh.
-CACHE = 150_000
+#: Of a block: the cuts in the overlaps at its start and at its end with the number of ids before each, and its ids.
+BLOCK_ARRAYS = ("head", "head_at", "tail", "tail_at", "ids")
+#: Pieces that a worker remembers, and their length; beyond so many, it starts afresh.
+CACHE, CACHE_CHARS = 150_000, 64
 
 
 def ranks_of(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
+class _Known(dict):
+    """Ids of the pieces seen; a new piece is merged when it is first asked for."""
+
+    def __init__(self, merge):
+        self.merge = merge
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.merge(piece.encode("utf-8", "surrogatepass"))
+        if len(piece) <= CACHE_CHARS:
+            self[piece] = ids
+        return ids
+
+
 class Bpe:
-    """A worker's coder: ranks, the pre-token pattern and the ids of pieces seen."""
+    """A worker's coder: ranks, the pre-token pattern and the ids of pieces seen.
+
+    ``chunks`` and ``stitches`` count the chunks that were pre-tokenised and the joins that were made.
+    """
 
     def __init__(self, data: bytes, pattern: str):
         self.pattern = regex.compile(pattern)
+        # the library merges single pieces here; cutting texts into pieces is done by chunk
         self.coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks_of(data), special_tokens={})
-        self.known: dict[str, list[int]] = {}
-
-    def by_piece(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of each pre-token; each distinct one is merged once."""
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        for p in set(pieces).difference(known):
-            known[p] = self.coder._core_bpe.encode_single_piece(p.encode("utf-8", "surrogatepass"))
-        out = list(map(known.__getitem__, pieces))
-        for p in (p for p in set(pieces) if len(p) > 64):  # long ones are not kept
-            del known[p]
-        return out
-
-    def cuts(self, text: str) -> tuple[list[int], list[str]]:
-        """Starts of the pre-tokens of a chunk, and they themselves."""
-        pieces = self.pattern.findall(text)
-        return list(accumulate(map(len, pieces), initial=0))[:-1], pieces
-
-    def chunk(self, part: str) -> tuple[np.ndarray, ...]:
-        """What a chunk gives for its joins: its ``CHUNK_ARRAYS``."""
-        cuts, pieces = self.cuts(part)
-        tokens, cuts = self.by_piece(pieces), np.array(cuts, np.int32)
-        at = np.cumsum([0, *map(len, tokens)])[:-1] if tokens else np.zeros(0, np.int64)
-        head, tail = cuts < OVERLAP, cuts >= CHUNK
-        return cuts[head], at[head], cuts[tail], at[tail], np.fromiter(chain.from_iterable(tokens), np.int32)
+        self.known = _Known(self.coder._core_bpe.encode_single_piece)
+        self.chunks = self.stitches = 0
 
     def pieces(self, text: str) -> list[str]:
-        """Pre-tokens of a whole text, chunk by chunk."""
-        starts = list(range(0, len(text), CHUNK))
-        cuts = stitched(text, [(s, [s + c for c in self.cuts(text[s : s + CHUNK + OVERLAP])[0]]) for s in starts], self.pattern)
-        return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+        """Pre-tokens of a text, chunk by chunk."""
+        find, n = self.pattern.findall, len(text)
+        end = min(n, CHUNK + OVERLAP)
+        held = find(text, 0, end)
+        self.chunks += 1
+        while end < n:
+            start = end - OVERLAP
+            stop = min(n, end + CHUNK)
+            own = find(text, start, stop)
+            self.chunks += 1
+            at = meeting(held, own, start, end)
+            if at:
+                self.stitches += 1
+                del held[at[0] :]
+                held += own[at[1] :]
+            else:
+                at = end
+                while held and at >= end - MARGIN:
+                    at -= len(held.pop())
+                stop = min(n, max(stop, 2 * end - at))
+                held += find(text, at, stop)
+            end = stop
+        return held
+
+    def merged(self, pieces: list[str]) -> np.ndarray:
+        """The ids of pieces, one after the other."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int32)
+
+    def encode_to_numpy(self, text: str | None) -> np.ndarray:
+        return self.merged(self.pieces(text)) if text else np.zeros(0, np.int32)
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if len(text) <= CHUNK + OVERLAP:  # a single chunk: nothing to stitch
-            return self.coder.encode_ordinary(text)
-        return list(chain.from_iterable(self.by_piece(self.pieces(text))))
-
-    def encode_to_numpy(self, text: str) -> np.ndarray:
-        if len(text) <= CHUNK + OVERLAP:
-            return self.coder.encode_to_numpy(text)
-        return np.array(self.encode(text), np.uint32)
-
-
-def join_point(left: list[int], right: list[int], left_end: int) -> int | None:
-    """The first cut that both chunks have, where the left one can be trusted."""
-    both = set(right)
-    for c in left:
-        if c in both and c < left_end - MARGIN:
-            return c
+        return self.encode_to_numpy(text).tolist()
+
+    def block(self, part: str) -> tuple[np.ndarray, ...]:
+        """What a block gives for its joins: its ``BLOCK_ARRAYS``."""
+        pieces = self.pieces(part)
+        ids = self.merged(pieces)
+        head, head_at, at, n = [], [], 0, 0
+        for p in pieces:
+            if at >= OVERLAP:
+                break
+            head.append(at)
+            head_at.append(n)
+            at, n = at + len(p), n + len(self.known[p])
+        tail, tail_at, at, n = [], [], len(part), len(ids)
+        for p in reversed(pieces):
+            at, n = at - len(p), n - len(self.known[p])
+            if at < BLOCK:
+                break
+            tail.append(at)
+            tail_at.append(n)
+        return *(np.array(x, np.int32) for x in (head, head_at, tail[::-1], tail_at[::-1])), ids
+
+
+def meeting(left: list[str], right: list[str], start: int, end: int) -> tuple[int, int] | None:
+    """Numbers of the first pieces from which on both lists agree; they share the text from ``start`` to ``end``.
+
+    The left list ends at ``end``, the right one begins at ``start``. A cut is trusted up to ``MARGIN`` before the end.
+    """
+    cuts, at, i = {}, end, len(left)
+    while i and at > start:
+        i -= 1
+        at -= len(left[i])
+        cuts[at] = i
+    at = start
+    for j, piece in enumerate(right):
+        if at >= end - MARGIN:
+            return None
+        if at in cuts:
+            return cuts[at], j
+        at += len(piece)
     return None
 
 
-def stitched(text: str, chunks: list[tuple[int, list[int]]], pattern) -> list[int]:
-    """All cuts of ``text`` from those of its chunks (start, cuts)."""
-    cuts, end = list(chunks[0][1]), min(len(text), chunks[0][0] + CHUNK + OVERLAP)
-    for start, own in chunks[1:]:
-        if end >= len(text):
-            break
-        at = join_point(cuts[bisect_left(cuts, start) :], own, end)
-        new_end = min(len(text), start + CHUNK + OVERLAP)
-        if at is None:  # go on from the last cut that is sure
-            while len(cuts) > 1 and cuts[-1] >= end - MARGIN:
-                cuts.pop()
-            cuts += [m.start() for m in pattern.finditer(text, cuts.pop(), new_end)]
-        else:
-            del cuts[bisect_left(cuts, at) :]
-            cuts += own[bisect_left(own, at) :]
-        end = new_end
-    return cuts
-
-
 def vocabulary(spark: SparkSession, path: str):
     """The rank file, sent to the executors: a file of fixed size, read where the driver runs."""
     with open(path, "rb") as f:
@@ -131,10 +157,11 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(data)
 
 
-def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, ids``: the token ids of each text."""
     sent = vocabulary(docs.sparkSession, path or public_tokenizers.path(VOCABULARY))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own = type_of(rows, "doc_id")
 
     def make():
         bpe = Bpe(sent.value, pattern)
@@ -144,8 +171,8 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_toke
 
         return work
 
-    short = map_batches(rows.where(F.length("text") <= long), make, "doc_id long, ids array<int>")
-    return short.unionByName(_encoded_long(rows.where(F.length("text") > long), sent, pattern))
+    one = F.length("text") <= BLOCK + OVERLAP
+    return map_batches(rows.where(one), make, f"doc_id {own}, ids array<int>").unionByName(_encoded_by_block(rows.where(~one), own, sent, pattern))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -154,64 +181,76 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _encoded_long(rows: DataFrame, sent, pattern: str) -> DataFrame:
-    n = F.length("text")
-    parts = rows.select(
-        "doc_id", F.xxhash64("text").alias("h"), n.alias("n"), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))).alias("k"), "text"
-    ).select("doc_id", "h", "n", "k", F.substring("text", F.col("k") * CHUNK + 1, F.lit(CHUNK + OVERLAP)).alias("part"))
+def _encoded_by_block(rows: DataFrame, own: str, sent, pattern: str) -> DataFrame:
+    def make_parts():
+        def work(batch):
+            doc, key, n, k, part = [], [], [], [], []
+            for i, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for start in range(0, max(1, len(text) - OVERLAP), BLOCK):
+                    doc.append(i)
+                    key.append(h)
+                    n.append(len(text))
+                    k.append(start // BLOCK)
+                    part.append(text[start : start + BLOCK + OVERLAP])
+            return [doc, key, n, k, part]
+
+        return work
+
+    of_doc = f"doc_id {own}, h long, n int"
+    parts = map_batches(rows.select("doc_id", F.xxhash64("text").alias("h"), "text"), make_parts, f"{of_doc}, k int, part string")
+    # one task for each block, not for each document; equal rows of a table are one here
+    parts = parts.groupBy("doc_id", "h", "n", "k").agg(F.first("part").alias("part"), F.count("*").alias("times"))
 
     def make():
         bpe = Bpe(sent.value, pattern)
 
         def work(batch):
-            found = [bpe.chunk(part) for part in batch.column(4).to_pylist()]
-            return [*batch.columns, *(_lists([f[i] for f in found]) for i in range(5))]
+            found = [bpe.block(part) for part in batch.column(4).to_pylist()]
+            return [*batch.columns, *(_lists([f[i] for f in found]) for i in range(len(BLOCK_ARRAYS)))]
 
         return work
 
-    arrays = ", ".join(f"{c} array<int>" for c in CHUNK_ARRAYS)
-    # one task for each chunk, not for each document
-    done = map_batches(parts.repartition(F.col("doc_id"), F.col("h"), F.col("k")), make, f"doc_id long, h long, n int, k int, part string, {arrays}")
-    whole = done.groupBy("doc_id", "h", "n").agg(F.sort_array(F.collect_list(F.struct("k", "part", *CHUNK_ARRAYS))).alias("chunks"))
+    arrays = ", ".join(f"{c} array<int>" for c in BLOCK_ARRAYS)
+    done = map_batches(parts, make, f"{of_doc}, k int, part string, times long, {arrays}")
+    # what meets here is one document: its ids are one row of the result as well
+    blocks = F.sort_array(F.collect_list(F.struct("k", "part", *BLOCK_ARRAYS))).alias("blocks")
+    whole = done.groupBy("doc_id", "h", "n").agg(F.max("times").alias("times"), blocks)
 
     def make_join():
         bpe = Bpe(sent.value, pattern)
 
         def work(batch):
             doc, ids = [], []
-            for i, chunks in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                k, part, *lists = chunks.values.flatten()
-                number = k.to_pylist()
-                first = {x: j for j, x in reversed(list(enumerate(number)))}  # repeated rows bring their chunks again
-                found = join_chunks(bpe, [(part[j].as_py(), *(a[j].values.to_numpy() for a in lists)) for _, j in sorted(first.items())])
-                times = number.count(0)
+            for i, times, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                _, part, *lists = blocks.values.flatten()
+                found = join_blocks(bpe, [(part[j].as_py(), *(a[j].values.to_numpy() for a in lists)) for j in range(len(part))])
                 doc += [i] * times
                 ids += [found] * times
-            return [doc, _lists(ids)]
+            return [pa.array(doc, batch.column(0).type), _lists(ids)]
 
         return work
 
-    return map_batches(whole.select("doc_id", "chunks"), make_join, "doc_id long, ids array<int>")
+    return map_batches(whole.select("doc_id", "times", "blocks"), make_join, f"doc_id {own}, ids array<int>")
 
 
-def join_chunks(bpe: Bpe, chunks: list[tuple]) -> np.ndarray:
-    """Ids of a document from its chunks (text and ``CHUNK_ARRAYS``), in order.
+def join_blocks(bpe: Bpe, blocks: list[tuple]) -> np.ndarray:
+    """Ids of a document from its blocks (text and ``BLOCK_ARRAYS``), in order.
 
-    Each chunk gives the ids of its pieces from one join to the next. If any overlap has no join, the whole text is
+    Each block gives the ids of its pieces from one join to the next. If any overlap has no join, the whole text is
     encoded here; a pre-token longer than the overlap is all that does this.
     """
     out, low = [], 0
-    for k, (part, head, head_at, tail, tail_at, ids) in enumerate(chunks):
-        if k + 1 == len(chunks) or len(part) < CHUNK + OVERLAP:  # it reaches the end of the text
+    for k, (part, head, head_at, tail, tail_at, ids) in enumerate(blocks):
+        if k + 1 == len(blocks):  # it reaches the end of the text
             out.append(ids[low:])
             break
-        # the tail is counted from this chunk's start, the next head from its own
-        shared, here, there = np.intersect1d(tail - CHUNK, chunks[k + 1][1], return_indices=True)
-        if not len(shared) or shared[0] + CHUNK >= len(part) - MARGIN:
-            text = "".join(c[0][:CHUNK] for c in chunks) + chunks[-1][0][CHUNK:]
+        # the tail is counted from this block's start, the next head from its own
+        shared, here, there = np.intersect1d(tail - BLOCK, blocks[k + 1][1], return_indices=True)
+        if not len(shared) or shared[0] + BLOCK >= len(part) - MARGIN:
+            text = "".join(c[0][:BLOCK] for c in blocks) + blocks[-1][0][BLOCK:]
             return bpe.encode_to_numpy(text)
         out.append(ids[low : tail_at[here[0]]])
-        low = chunks[k + 1][2][there[0]]
+        low = blocks[k + 1][2][there[0]]
     return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 
@@ -241,7 +280,7 @@ def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
 
         return work
 
-    return map_batches(tokens.select("doc_id", "ids"), make, "doc_id long, ids array<int>, data binary")
+    return map_batches(tokens.select("doc_id", "ids"), make, f"doc_id {type_of(tokens, 'doc_id')}, ids array<int>, data binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ memory, so that a long conversation is never gathered.
 
 Defined results: null role and null text count as empty; null turns come first, and turns with equal numbers are ordered
 by their ids; repeated rows are turns of their own; rows with a null conversation id form one conversation; an empty
-table gives an empty result; further columns are ignored.
+table gives an empty result; further columns are ignored; ids keep their type.
 """
 
 import hashlib
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.bpe import VOCABULARY, Bpe, ranks_of, vocabulary
-from strandline.llm.text import map_batches, short_batches
+from strandline.llm.text import map_batches, type_of
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
@@ -94,22 +94,22 @@ def formatted(conversations: DataFrame, path: str | None = None) -> DataFrame:
 
         return work
 
-    rows = conversations.select(*(F.col(c).cast(t) for c, t in (("conv_id", "long"), ("turn", "long"), ("role", "string"), ("text", "string"))))
-    return map_batches(rows, make, "conv_id long, turn long, ids array<int>, loss_mask array<tinyint>")
+    rows = conversations.select("conv_id", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
+    schema = f"conv_id {type_of(rows, 'conv_id')}, turn {type_of(rows, 'turn')}, ids array<int>, loss_mask array<tinyint>"
+    return map_batches(rows, make, schema)
 
 
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def read_back(turns: DataFrame, path: str | None = None) -> DataFrame:
     """Digests of each conversation, read from its ids and mask alone."""
-    short_batches(turns.sparkSession)
     sent = vocabulary(turns.sparkSession, path or public_tokenizers.path(VOCABULARY))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(sent.value)
-        names = [x.split()[0] for x in DIGEST.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", *(x.split()[0] for x in DIGEST.split(", "))]
+        types = [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         now, begun = None, False
         done: list[tuple] = []
 
@@ -117,6 +117,7 @@ def read_back(turns: DataFrame, path: str | None = None) -> DataFrame:
             done.append((now, n, turns_hash.hexdigest(), chars, loss_hash.hexdigest(), length))
 
         for batch in batches:
+            types[0] = batch.column(0).type
             for conv, ids, mask in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 if not begun or conv != now:
                     if begun:
@@ -140,7 +141,7 @@ def read_back(turns: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=names)
 
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ids")
-    return ordered.select("conv_id", "ids", "loss_mask").mapInArrow(fold, DIGEST)
+    return ordered.select("conv_id", "ids", "loss_mask").mapInArrow(fold, f"conv_id {type_of(turns, 'conv_id')}, {DIGEST}")
 
 
 #: A conversation that tries to break the template.

@@ -1,33 +1,36 @@
 """Benchmark decontamination: one Aho-Corasick automaton over the windows of normalised questions and answers.
 
-Text is normalised to lower-case words joined by single spaces and scanned once; every occurrence of a window marks
-the words inside it and names the items that own the window. Offsets in the text as it was are derived for documents
-that are hit.
+Text is normalised to lower-case words and scanned once; every occurrence of a window marks the words inside it and names
+the items that own the window. The automaton spells each word of the benchmark with two letters (its number, in a base that
+keeps the edges of a node few), any other word with a pair that no window has, so a window has at most ``2 * WINDOW`` nodes.
+Offsets in the text as it was are derived for documents that are hit.
 
-The automaton is broadcast, so its size is checked: items beyond ``MAX_BYTES`` of normalised text are split over
-several automata, which are built and scanned one after the other; each adds its marks to the row at hand.
+The automaton is built once in each worker, so its size is checked: a benchmark of more than ``MAX_NODES`` nodes is dealt by
+a hash of the item to several automata of about that size, and each task scans with one of them. The marks of a document,
+which are few, meet by its id and a hash of its text. Items are counted and sent part by part.
 
 Defined results: null text has no words and is never hit; items without words (null, empty) own no window and items without an id are left out; equal windows
 belong to every item that has them; repeated documents each get a row; an item id that repeats counts once; further
-columns are ignored; an empty benchmark hits nothing.
+columns are ignored; an empty benchmark hits nothing; ids keep their type.
 """
 
 import re
-from bisect import bisect_right
+import uuid
 from collections import Counter
-from collections.abc import Iterator
-from itertools import accumulate
+from math import isqrt
 
 import ahocorasick
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import LOWER, UPPER, encoded, free_name, map_batches, short_batches
+from strandline.llm.text import LOWER, UPPER, encoded, free_name, held, map_batches, text_column, type_of
+from strandline.storage import durable
 
 WINDOW, MIN_ITEMS = 8, 2
-#: Bytes of normalised benchmark text in one automaton.
-MAX_BYTES = 8 << 20
+#: Nodes of one automaton (some 60 bytes each).
+MAX_NODES = 6_000_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -47,45 +50,48 @@ def words_of(text: str | None) -> list[bytes]:
     return encoded(text).translate(_NORMAL).split()
 
 
-def windows_of(words: list[bytes], width: int = WINDOW) -> set[bytes]:
-    if not words:
-        return set()
-    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-
-
-def build(items: list[tuple], width: int = WINDOW) -> tuple[ahocorasick.Automaton | None, list]:
-    """The automaton over the windows of ``items`` (id, text); its values index the returned (n words, item ids)."""
-    owners: dict[bytes, set] = {}
-    for item, text in items:
-        for w in windows_of(words_of(text), width):
-            owners.setdefault(w, set()).add(item)
-    if not owners:
-        return None, []
-    automaton, values = ahocorasick.Automaton(), []
-    for w in sorted(owners):
-        automaton.add_word(f" {w.decode('utf-8', 'surrogatepass')} ", len(values))
-        values.append((w.count(b" ") + 1, sorted(owners[w])))
-    automaton.make_automaton()
-    return automaton, values
-
-
-def scan(text: str | None, automaton, values) -> tuple[int, list[tuple[int, int]], dict]:
-    """Number of words, merged (first, past last) word spans that are hit, and the items found.
-
-    The items have the number of their different windows that occur.
-    """
-    words = words_of(text)
-    if automaton is None or not words:
-        return len(words), [], {}
-    joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-    starts, spans, seen = None, [], set()
-    for end, k in automaton.iter(joined):
-        if starts is None:  # place of the space before each word
-            starts = list(accumulate((len(w.decode("utf-8", "surrogatepass")) + 1 for w in words), initial=0))
-        last = bisect_right(starts, end)
-        spans.append((last - 1 - values[k][0], last - 1))
-        seen.add(k)
-    return len(words), merged(spans), Counter(item for k in seen for item in values[k][1])
+class Windows:
+    """The automaton over the windows of ``items`` (id, text), and what they belong to."""
+
+    def __init__(self, items: list[tuple], width: int = WINDOW):
+        own_words = [(item, words_of(text)) for item, text in items]
+        vocabulary = list(dict.fromkeys(w for _, words in own_words for w in words))
+        base = isqrt(len(vocabulary)) + 1
+        # first and second letters differ, so a match begins where a word does
+        self.spelt = {w: chr(1 + k // base) + chr(2 + base + k % base) for k, w in enumerate(vocabulary)}
+        owners: dict[tuple, set] = {}
+        for item, words in own_words:
+            for i in range(max(1, len(words) - width + 1) if words else 0):
+                owners.setdefault(tuple(words[i : i + width]), set()).add(item)
+        self.owners = [own for _, own in sorted(owners.items())]
+        #: Windows of each item, and whether they have the full width.
+        self.sizes = Counter(item for own in self.owners for item in own)
+        self.full = {item for w, own in owners.items() if len(w) == width for item in own}
+        self.automaton = ahocorasick.Automaton() if owners else None
+        if owners:
+            for k, w in enumerate(sorted(owners)):
+                self.automaton.add_word("".join(map(self.spelt.__getitem__, w)), (k, len(w)))
+            self.automaton.make_automaton()
+
+    def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], dict]:
+        """Number of words, merged (first, past last) word spans that are hit, and the items found.
+
+        The items have the number of their different windows that occur.
+        """
+        words = words_of(text)
+        if self.automaton is None or not words:
+            return len(words), [], {}
+        get = self.spelt.get
+        spans, seen = [], set()
+        for end, (k, n) in self.automaton.iter("".join([get(w, "\0\0") for w in words])):
+            past = (end + 1) // 2
+            spans.append((past - n, past))
+            seen.add(k)
+        return len(words), merged(spans), Counter(item for k in seen for item in self.owners[k])
+
+    def whole(self, items: dict) -> bool:
+        """Whether all windows of one of the items were found, and these have the full width; shorter items are too common to tell."""
+        return any(n == self.sizes[item] and item in self.full for item, n in items.items())
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -110,86 +116,110 @@ def offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _UP = dict(zip(UPPER, LOWER, strict=True))
 
 
-def automata(benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> list[list[tuple]]:
-    """The items, in parts whose texts are of a bounded size each. One part is the rule."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    parts: list[list[tuple]] = []
-    size = max_bytes + 1
-    for row in items.where("text is not null and item_id is not null").distinct().toLocalIterator():
-        n = len(row.text)
-        if size + n > max_bytes:
-            parts.append([])
-            size = 0
-        parts[-1].append((row.item_id, row.text))
-        size += n
-    return parts or [[]]
+def parts_of(benchmark: DataFrame, max_nodes: int = MAX_NODES) -> list[Broadcast]:
+    """A name and the items (id, text) of each part, of about ``max_nodes`` nodes at most. One part is the rule."""
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null").distinct()
+    # a letter or digit of a word is followed by another or begins a new one, so this bounds the number of words
+    words = F.ceil(F.length("text") / 2) + 1
+    total = items.agg(F.sum(words.cast("long")).alias("n")).first().n or 0
+    n = -(-total * 2 * WINDOW // max_nodes) if total else 1
+    part = F.pmod(F.xxhash64("item_id"), F.lit(n))
+    send = benchmark.sparkSession.sparkContext.broadcast
+    return [send((uuid.uuid4().hex, [tuple(r) for r in items.where(part == k).collect()])) for k in range(n)]
 
 
-RESULT = "doc_id long, n_words long, spans array<struct<first:int,past:int>>, items array<long>, chars array<struct<start:int,end:int>>"
+def _windows(part: Broadcast) -> Windows:
+    name, items = part.value
+    return held("windows", name, lambda: Windows(items))
 
 
-def _scanned(docs: DataFrame, items: list[tuple]) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def _marks(item: str) -> str:
+    return f"n_words long, spans array<struct<first:int,past:int,start:int,end:int>>, items array<{item}>, whole boolean"
+
+
+def _scanned(rows: DataFrame, part: Broadcast, item: str, hits_only: bool) -> DataFrame:
+    """``doc_id, h`` and the marks of the documents ``doc_id, h, text``: of all, or of those that are hit."""
 
     def make():
-        automaton, values = build(sent.value)
+        windows = _windows(part)
 
         def work(batch):
-            ids, n, spans, found, chars = batch.column(0), [], [], [], []
-            for text in batch.column(1).to_pylist():
-                k, hit, own = scan(text, automaton, values)
+            keep, n, spans, found, whole = [], [], [], [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                k, hit, own = windows.scan(text)
+                if hits_only and not hit:
+                    continue
+                keep.append(i)
                 n.append(k)
-                spans.append([{"first": a, "past": b} for a, b in hit])
+                places = zip(hit, offsets(text, hit) if hit else [], strict=True)
+                spans.append([{"first": a, "past": b, "start": s, "end": e} for (a, b), (s, e) in places])
                 found.append(sorted(own))
-                chars.append([{"start": a, "end": b} for a, b in offsets(text, hit)] if hit else [])
-            return [ids, n, spans, found, chars]
+                whole.append(windows.whole(own))
+            keep = pa.array(keep, pa.int64())
+            return [batch.column(0).take(keep), batch.column(1).take(keep), n, spans, found, whole]
 
         return work
 
-    return map_batches(docs, make, RESULT)
+    return map_batches(rows, make, f"doc_id {type_of(rows, 'doc_id')}, h long, {_marks(item)}")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """``doc_id, n_words, spans, items, chars`` per document: hit words, items with occurring windows, text offsets."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = automata(benchmark, max_bytes)
-    if len(parts) == 1:
-        return _scanned(rows, parts[0])
-    return _scanned_in_parts(rows, parts)
+def _united(spans: str) -> Column:
+    """The union of the spans in an array column, as ``merged`` makes it."""
+
+    def step(done, s):
+        last = F.element_at(done, -1)
+        joins = (F.size(done) > 0) & (s["first"] <= last["past"])
+        past, end = (F.greatest(last[c], s[c]).alias(c) for c in ("past", "end"))
+        longer = F.struct(last["first"].alias("first"), past, last["start"].alias("start"), end)
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
 
+    none = F.array().cast("array<struct<first:int,past:int,start:int,end:int>>")
+    return F.aggregate(F.array_sort(F.flatten(F.collect_list(spans))), none, step).alias(spans)
 
-def _scanned_in_parts(rows: DataFrame, parts: list[list[tuple]]) -> DataFrame:
-    """Scan with one automaton after the other; each pass adds its marks to the row it has, so no row is matched up again."""
-    spark = rows.sparkSession
-    sent = [spark.sparkContext.broadcast(p) for p in parts]
+
+def _scanned_in_parts(rows: DataFrame, parts: list[Broadcast], item: str) -> DataFrame:
+    """``doc_id, h`` and the marks of the documents that are hit, from one scan for each part; each document once."""
+    found = _scanned(rows, parts[0], item, True)
+    for part in parts[1:]:
+        found = found.unionByName(_scanned(rows, part, item, True))
+    return found.groupBy("doc_id", "h").agg(
+        F.max("n_words").alias("n_words"),
+        _united("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.max("whole").alias("whole"),
+    )
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text, F.length(text)).alias("h"), text.alias("text"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, max_nodes: int = MAX_NODES) -> DataFrame:
+    """``doc_id, n_words, spans, items, chars`` per document: hit words, items with occurring windows, text offsets."""
+    rows, item = _rows(docs), type_of(benchmark, "item_id")
+    parts = parts_of(benchmark, max_nodes)
+    if len(parts) == 1:
+        return _shown(_scanned(rows, parts[0], item, False))
+    hits = durable(_scanned_in_parts(rows, parts, item), "hits")
 
     def make():
         def work(batch):
-            texts = batch.column(1).to_pylist()
-            n, hit, own = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
-            for part in sent:  # one automaton in memory at a time
-                automaton, values = build(part.value)
-                for i, text in enumerate(texts):
-                    n[i], more, items = scan(text, automaton, values)
-                    hit[i] += more
-                    own[i] |= items.keys()
-            hit = [merged(h) for h in hit]
-            chars = [[{"start": a, "end": b} for a, b in offsets(t, h)] if h else [] for t, h in zip(texts, hit, strict=True)]
-            return [batch.column(0), n, [[{"first": a, "past": b} for a, b in h] for h in hit], [sorted(o) for o in own], chars]
+            return [batch.column(0), batch.column(1), [len(words_of(t)) for t in batch.column(2).to_pylist()]]
 
         return work
 
-    return map_batches(rows, make, RESULT)
-
+    own = map_batches(rows, make, f"doc_id {type_of(rows, 'doc_id')}, h long, n_words long")
+    hits = hits.drop("n_words", "whole").withColumnsRenamed({"doc_id": "_id", "h": "_h"})
+    out = own.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
+    marks = [(c, kind) for c, kind in hits.dtypes if c in ("spans", "items")]
+    return _shown(out.select("doc_id", "n_words", *(F.coalesce(c, F.array().cast(kind)).alias(c) for c, kind in marks)))
 
-def has_whole(items: dict, values: list) -> bool:
-    """Whether all windows of one of the items were found, and these have ``WINDOW`` words; shorter items are too common to tell."""
 
-    def whole(item, n):
-        sizes = [size for size, own in values if item in own]
-        return n == len(sizes) and max(sizes) >= WINDOW
-
-    return any(whole(item, n) for item, n in items.items())
+def _shown(marks: DataFrame) -> DataFrame:
+    spans = F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["past"].alias("past")))
+    chars = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return marks.select("doc_id", "n_words", spans.alias("spans"), "items", chars.alias("chars"))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -201,39 +231,41 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_ITEMS) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, min_items: int = MIN_ITEMS, max_nodes: int = MAX_NODES) -> DataFrame:
     """``docs`` without those that hold passages of ``min_items`` items, or every window of one of ``WINDOW`` words or more.
 
-    Lesser passages are cut out of their document. Texts are judged where they lie, without a shuffle; ``n_chars``
-    follows a cut.
+    Lesser passages are cut out of their document; ``n_chars`` follows a cut. With a single automaton, texts are judged
+    where they lie, without a shuffle; with several, the few marks are joined to the documents.
     """
-    short_batches(docs.sparkSession)
-    parts = [docs.sparkSession.sparkContext.broadcast(p) for p in automata(benchmark)]
-
-    @F.pandas_udf("string")
-    def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        first = build(parts[0].value)
-
-        def clean(text):
-            if text is None:
-                return ""
-            spans, own, whole = [], set(), False
-            for k, part in enumerate(parts):
-                automaton, values = build(part.value) if k else first
-                _, hit, items = scan(text, automaton, values)
-                spans += hit
-                own |= items.keys()
-                whole = whole or has_whole(items, values)
-            if whole or len(own) >= min_items:
-                return None
-            return cut(text, offsets(text, merged(spans))) if spans else text
-
-        for texts in batches:
-            yield pd.Series([clean(t) for t in texts], dtype=object)
-
-    # marked as not deterministic, or the optimizer would call it for the filter and again for the column
+    parts = parts_of(benchmark, max_nodes)
     name = free_name(docs, "_cleaned")
-    out = docs.withColumn(name, cleaned.asNondeterministic()(F.col("text"))).where(F.col(name).isNotNull())
+    if len(parts) == 1:
+        sent = parts[0]
+
+        def make():
+            windows = _windows(sent)
+
+            def clean(text):
+                _, spans, own = windows.scan(text)
+                if len(own) >= min_items or windows.whole(own):
+                    return None
+                return cut(text, offsets(text, spans)) if spans else text or ""
+
+            return clean
+
+        out = docs.withColumn(name, text_column(F.col("text"), make, "string")).where(F.col(name).isNotNull())
+    else:
+        hits = durable(_scanned_in_parts(_rows(docs), parts, type_of(benchmark, "item_id")), "hits")
+        own = free_name(docs, "_marks")
+        marks = hits.select(F.struct("doc_id", "h", "spans", (F.col("whole") | (F.size("items") >= min_items)).alias("goes")).alias(own))
+        text = F.col("text").cast("string")
+        same = F.col("doc_id").eqNullSafe(F.col(f"{own}.doc_id")) & (F.xxhash64(text, F.length(text)) == F.col(f"{own}.h"))
+        at = F.col(f"{own}.spans")
+        ends = F.concat(F.transform(at, lambda s: s["start"]), F.array(F.length("text")))
+        begins = F.concat(F.array(F.lit(0)), F.transform(at, lambda s: s["end"]))
+        left = F.array_join(F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda s: F.substring("text", s["a"] + 1, s["b"] - s["a"])), "")
+        out = docs.join(marks, same, "left").where(~F.coalesce(F.col(f"{own}.goes"), F.lit(False)))
+        out = out.withColumn(name, F.when(F.size(at) > 0, left).otherwise(F.coalesce(text, F.lit(""))))
     if "n_chars" in docs.columns:
         length = F.length(name).cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(name) != F.col("text"), length).otherwise(F.col("n_chars")))

@@ -1,18 +1,21 @@
 """Connected components of a link table by alternating stars.
 
 Each round is two grouped minima and two joins; the number of rounds is logarithmic in practice. Rows of a busy node
-are only ever pre-aggregated or split by the adaptive skew join, never gathered. State is cut by durable tables.
+are only ever pre-aggregated or split by the adaptive skew join, never gathered. State is cut by durable tables, whose
+predecessors go as soon as they are written.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strandline.storage import durable
+from strandline.storage import discard, durable
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row.n, row.h
+def _watched(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """The durable table, and a checksum of it that is taken while it is written."""
+    seen = Observation()
+    out = durable(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), name)
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -20,19 +23,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     ``edges`` has long columns ``u`` and ``v``; loops, repeats and either direction are allowed.
     """
-    now = durable(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
-    )
-    seen = _checksum(now)
+    spark = edges.sparkSession
+    now, seen = _watched(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     for _ in range(rounds if seen[0] else 0):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = durable(large, "large-star")
+        discard(spark, now.durable_path)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        before, seen = seen, _checksum(now)
+        before = seen
+        now, seen = _watched(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        discard(spark, large.durable_path)
         if seen == before:
             break
     else:

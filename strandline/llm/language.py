@@ -6,22 +6,27 @@ chosen by penalised likelihood, ``log L - PENALTY * (k - 1) * log n``, over the
 their proportions. The predicted language is the one with the largest share in the chosen set, the score its share.
 
 The model is fitted on a bounded sample of labelled rows, about ``TRAIN_ROWS`` for each language, dealt by a hash of the
-id; a language's distribution has ``BUCKETS`` entries, so the broadcast is bounded by ``MAX_LANGUAGES``.
+id. Every language of the labels is learned; the model holds the counts that are not zero, at most ``BUCKETS`` for each
+language. What is broadcast is checked: more than ``MAX_COUNTS`` counts or ``MAX_LANGUAGES`` languages are an error, never a
+smaller model.
 
 Defined results: null text and text without a letter get ``und`` and score 0; with no labelled row every text does; ties
 go to the language that sorts first; repeated rows each get a row; a null id counts as held in; an empty table gives an
-empty result; further columns are ignored.
+empty result; further columns are ignored; ids keep their type.
 """
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import encoded, map_batches
+from strandline.llm.text import encoded, map_batches, type_of
+from strandline.storage import durable
 
 BUCKETS = 1 << 15
-TRAIN_ROWS, MAX_LANGUAGES = 3000, 400
+TRAIN_ROWS = 3000
+MAX_LANGUAGES, MAX_COUNTS = 10_000, 16_000_000
 EM_STEPS, PENALTY, MIN_SHARE, SMOOTHING = 12, 3.0, 0.03, 0.2
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -38,10 +43,25 @@ def grams(text: str) -> np.ndarray:
 
 
 class Mixture:
-    """``logp``: log probabilities, a row for each language in ``names`` (sorted)."""
-
-    def __init__(self, names: list[str], p: np.ndarray):
-        self.names, self.p, self.logp = names, np.ascontiguousarray(p.T), np.log(np.ascontiguousarray(p.T))
+    """``names`` (sorted), and the counts ``n`` of the n-grams ``bucket`` in the languages ``lang`` (its number)."""
+
+    def __init__(self, names: list[str], lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        self.names, self.parts = names, (names, lang, bucket, n)
+        order = np.argsort(bucket, kind="stable")
+        self.lang, self.start = lang[order], np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        total = np.bincount(lang, n, minlength=len(names)) + SMOOTHING * BUCKETS
+        self.unseen = SMOOTHING / total
+        self.p = (n[order] + SMOOTHING) / total[self.lang]
+
+    def table(self, buckets: np.ndarray) -> np.ndarray:
+        """The probability of each of the n-grams (rows) in each language (columns)."""
+        out = np.repeat(self.unseen[None, :], len(buckets), axis=0)
+        first = self.start[buckets]
+        sizes = self.start[buckets + 1] - first
+        row = np.repeat(np.arange(len(buckets)), sizes)
+        at = np.arange(len(row)) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+        out[row, self.lang[at]] = self.p[at]
+        return out
 
     def em(self, p: np.ndarray, n: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
         """Proportions of the columns of ``p`` for counts ``n``, and the log likelihood."""
@@ -57,8 +77,8 @@ class Mixture:
         counts = np.bincount(grams(text), minlength=BUCKETS)
         seen = np.flatnonzero(counts)
         n = counts[seen].astype(np.float64)
-        p = self.p[seen]
-        single = n @ self.logp[seen]
+        p = self.table(seen)
+        single = n @ np.log(p)
         first = int(single.argmax())
         best, chosen = float(single[first]), ([first], np.ones(1))
         share, _ = self.em(p, n, EM_STEPS)
@@ -76,36 +96,47 @@ class Mixture:
 
 def fit(labelled: DataFrame) -> Mixture:
     """Fit on ``doc_id, text, lang`` rows; rows without text or language are left out."""
-    rows = labelled.where("text is not null and lang is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
+    sizes = sorted((r.lang, r.n) for r in sizes)
     if not sizes:
-        return Mixture([], np.zeros((0, BUCKETS)))
-    limit = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1_000_000, int(1_000_000 * TRAIN_ROWS / n)))))
+        return _mixture([], pa.table({"language": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "n": pa.array([], pa.int64())}))
+    limits = [(k, i, min(1_000_000, int(1_000_000 * TRAIN_ROWS / n))) for i, (k, n) in enumerate(sizes)]
+    known = F.broadcast(labelled.sparkSession.createDataFrame(limits, "lang string, language int, most long"))
     dealt = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000))
-    sample = rows.where(dealt < F.coalesce(F.element_at(limit, F.col("lang")), F.lit(0))).select("text", "lang")
+    sample = rows.join(known, "lang").where(dealt < F.col("most")).select("text", "language")
 
     def make():
         def work(batch):
-            found: dict[str, np.ndarray] = {}
-            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found[lang] = found.get(lang, 0) + np.bincount(grams(text), minlength=BUCKETS)
-            keys = [(lang, b) for lang, n in found.items() for b in np.flatnonzero(n).tolist()]
-            return [[k[0] for k in keys], [k[1] for k in keys], [int(found[k][b]) for k, b in keys]]
+            found: dict[int, np.ndarray] = {}
+            for text, language in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found[language] = found.get(language, 0) + np.bincount(grams(text), minlength=BUCKETS)
+            keys = [(k, np.flatnonzero(n)) for k, n in found.items()]
+            none = [np.zeros(0, np.int64)]
+            return [
+                np.concatenate(none + [np.full(len(b), k) for k, b in keys]),
+                np.concatenate(none + [b for _, b in keys]),
+                np.concatenate(none + [found[k][b] for k, b in keys]),
+            ]
 
         return work
 
-    counts = map_batches(sample, make, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = sorted(sizes)
-    index, n = {k: i for i, k in enumerate(names)}, np.zeros((len(names), BUCKETS))
-    for r in counts.collect():  # at most BUCKETS rows for each language
-        n[index[r.lang], r.bucket] = r.n
-    n += SMOOTHING
-    return Mixture(names, n / n.sum(axis=1, keepdims=True))
+    counts = map_batches(sample, make, "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n"))
+    counts = durable(counts, "gram-counts")
+    if counts.count() > MAX_COUNTS:
+        raise ValueError(f"more than {MAX_COUNTS} counts of n-grams")
+    return _mixture([k for k, _ in sizes], counts.toArrow())
+
+
+def _mixture(names: list[str], counts: pa.Table) -> Mixture:
+    return Mixture(names, *(counts[c].to_numpy() for c in ("language", "bucket", "n")))
 
 
 def identified(docs: DataFrame, model: Mixture) -> DataFrame:
     """``doc_id, lang_pred, score, languages, shares``; only the text is an input of the prediction."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.names, model.p.T.astype(np.float64)))
+    sent = docs.sparkSession.sparkContext.broadcast(model.parts)
 
     def make():
         own = Mixture(*sent.value)
@@ -116,8 +147,9 @@ def identified(docs: DataFrame, model: Mixture) -> DataFrame:
 
         return work
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, make, "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>")
+    rows = docs.select("doc_id", F.col("text").cast("string"))
+    found = "lang_pred string, score double, languages array<string>, shares array<double>"
+    return map_batches(rows, make, f"doc_id {type_of(rows, 'doc_id')}, {found}")
 
 
 def held_out(doc_id="doc_id"):

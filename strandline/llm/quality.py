@@ -1,30 +1,36 @@
 """Quality rules: base counts, and a linear-chain conditional random field that labels lines.
 
 The field has two labels, boilerplate and content, and real-valued features of a line. It is fitted by maximum
-likelihood (forward-backward in numpy) on a bounded sample of labelled documents (``TRAIN_DOCS``); a line's training
-label is the quality label of its document. Viterbi decoding labels the lines of every document; a document stays if
-the lines marked content hold at least ``CONTENT_SHARE`` of the characters of its lines.
+likelihood (forward-backward, limited-memory BFGS) on a bounded sample of labelled documents (``TRAIN_DOCS``); a line's
+training label is the quality label of its document. Of a document of more than ``TRAIN_LINES`` lines, a window of so many
+consecutive lines is in the sample, at a place that a checksum of the text gives. Viterbi decoding labels the lines of
+every document; a document stays if the lines marked content hold at least ``CONTENT_SHARE`` of the characters of its lines.
 
 Defined results: null text has no words and fails the base rule, and so does text with fewer than ``MIN_WORDS`` words;
 repeated rows each get a row; an empty table gives an empty result; further columns are ignored. Without any usable
-label the field is neutral and the verdict is the base rule's.
+label the field is neutral and the verdict is the base rule's. Ids keep their type.
 """
 
+from zlib import crc32
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.text import UPPER, encoded, map_batches, short_batches
+from strandline.llm.text import UPPER, encoded, map_batches, text_column, type_of
 
 MIN_WORDS, MAX_REPEAT = 50, 50
 CONTENT_SHARE = 0.5
-#: The training sample: documents (in expectation, dealt by hash), the most lines that one may have to be in it; steps of the fit.
-TRAIN_DOCS, TRAIN_LINES, STEPS, RATE, L2 = 2000, 128, 120, 0.15, 1e-3
+#: The training sample: documents (in expectation, dealt by hash) and lines of each.
+TRAIN_DOCS, TRAIN_LINES = 2000, 128
+#: The fit: most steps, least gradient, gradients remembered, weight of the penalty.
+STEPS, STILL, MEMORY, L2 = 100, 1e-6, 8, 1e-3
 SYMBOLS = b"#*$%&|<>"
 DIGITS = b"0123456789"
 N_FEATURES = 12
+#: Bytes that go on with a character.
+_GO_ON = bytes(range(0x80, 0xC0))
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -65,16 +71,18 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def line_features(raw: bytes) -> tuple[list[int], list[tuple]]:
-    """Lengths in bytes and features of the lines that hold a word."""
+    """Lengths in characters and features of the lines that hold a word; shares are of characters."""
     sizes, rows, seen = [], [], set()
+    plain = raw.isascii()
     for line in raw.split(b"\n"):
         words = line.split()
         if not words:
             continue
-        n, w = len(line), len(words)
-        upper = n - len(line.translate(None, UPPER))
-        symbols = n - len(line.translate(None, SYMBOLS))
-        digits = n - len(line.translate(None, DIGITS))
+        size, w = len(line), len(words)
+        upper = size - len(line.translate(None, UPPER))
+        symbols = size - len(line.translate(None, SYMBOLS))
+        digits = size - len(line.translate(None, DIGITS))
+        n = size if plain else len(line.translate(None, _GO_ON))
         wide = len(set(words))
         rows.append(
             (
@@ -106,50 +114,74 @@ class Field:
     @classmethod
     def fit(cls, docs: list[tuple[np.ndarray, int]]) -> "Field":
         """``docs``: feature rows and the label of all their lines."""
-        w, trans = np.zeros(N_FEATURES), np.zeros((2, 2))
         docs = [(x, y) for x, y in docs if len(x)]
         if len({y for _, y in docs}) < 2:
-            return cls(w, trans)
-        length = max(len(x) for x, _ in docs)
-        x = np.zeros((len(docs), length, N_FEATURES))
-        on = np.zeros((len(docs), length), bool)
-        for i, (rows, _) in enumerate(docs):
-            x[i, : len(rows)], on[i, : len(rows)] = rows, True
+            return cls(np.zeros(N_FEATURES), np.zeros((2, 2)))
         y = np.array([label for _, label in docs])
-        # both classes weigh the same, whatever their shares in the sample
-        weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()) / on.sum(axis=1)
-        pairs = on[:, 1:] & on[:, :-1]
-        m, v, theta = 0.0, 0.0, np.zeros(N_FEATURES + 4)
-        for step in range(1, STEPS + 1):
-            w, trans = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
-            node, edge = cls._marginals(x @ w, trans, on)
-            g_w = np.einsum("b,bt,btk->k", weight, (y[:, None] - node) * on, x)
-            g_t = np.zeros((2, 2))
+        # both classes weigh the same, whatever their shares in the sample; so do the documents of a class
+        weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()) / [len(x) for x, _ in docs]
+        # documents of like length are stacked, so that little is padded
+        order = sorted(range(len(docs)), key=lambda i: len(docs[i][0]))
+        stacks, at = [], 0
+        while at < len(order):
+            length = 2 * len(docs[order[at]][0])
+            group = [i for i in order[at:] if len(docs[i][0]) <= length]
+            at += len(group)
+            stacks.append(cls._stack([docs[i][0] for i in group], y[group], weight[group]))
+        theta = _least(lambda t: cls._loss(t, stacks), np.zeros(N_FEATURES + 4))
+        return cls(theta[:N_FEATURES].copy(), theta[N_FEATURES:].reshape(2, 2).copy())
+
+    @staticmethod
+    def _stack(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> tuple:
+        length = max(map(len, rows))
+        x, on = np.zeros((len(rows), length, N_FEATURES)), np.zeros((len(rows), length), bool)
+        for i, own in enumerate(rows):
+            x[i, : len(own)], on[i, : len(own)] = own, True
+        return x, on, y, weight
+
+    @classmethod
+    def _loss(cls, theta: np.ndarray, stacks: list[tuple]) -> tuple[float, np.ndarray]:
+        """Penalised negative log likelihood, weighted, and its gradient."""
+        w, trans = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
+        loss, slope = 0.5 * L2 * float(theta @ theta), L2 * theta
+        for x, on, y, weight in stacks:
+            score = x @ w
+            node, pairs, logz = cls._marginals(score, trans, on)
+            lines = on.sum(axis=1)
+            own = np.where(y == 1, (score * on).sum(axis=1), 0.0) + (lines - 1) * trans[y, y]
+            loss += float(weight @ (logz - own))
+            wrong = (node - y[:, None]) * on * weight[:, None]
+            slope[:N_FEATURES] += wrong.ravel() @ x.reshape(-1, N_FEATURES)
             for a in (0, 1):
                 for b in (0, 1):
-                    g_t[a, b] = (weight[:, None] * pairs * (((y == a) & (y == b))[:, None] - edge[:, :, a, b])).sum()
-            g = np.concatenate([g_w, g_t.ravel()]) - L2 * theta
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            theta = theta + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        return cls(theta[:N_FEATURES].copy(), theta[N_FEATURES:].reshape(2, 2).copy())
+                    seen = (lines - 1) * ((y == a) & (y == b))
+                    slope[N_FEATURES + 2 * a + b] += float(weight @ (pairs[:, a, b] - seen))
+        return loss, slope
 
     @staticmethod
-    def _marginals(score: np.ndarray, trans: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(content) of each line and P(pair) of each two neighbours, by forward-backward in log space."""
+    def _marginals(score: np.ndarray, trans: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """P(content) of each line, the expected number of each pair of neighbours, and log Z, by scaled forward-backward."""
         b, t = score.shape
-        node = np.stack([np.zeros_like(score), score], axis=2)
-        ahead, back = np.zeros((b, t, 2)), np.zeros((b, t, 2))
-        ahead[:, 0] = node[:, 0]
+        top = np.maximum(score, 0.0)
+        node = np.exp(np.stack([-top, score - top], axis=2))
+        step = np.exp(trans - trans.max())
+        ahead, back, scale = np.empty((b, t, 2)), np.ones((b, t, 2)), np.ones((b, t))
+        now = node[:, 0]
+        scale[:, 0] = now.sum(axis=1)
+        ahead[:, 0] = now / scale[:, :1]
         for i in range(1, t):
-            ahead[:, i] = node[:, i] + np.logaddexp(ahead[:, i - 1, :1] + trans[0], ahead[:, i - 1, 1:] + trans[1])
+            now = (ahead[:, i - 1] @ step) * node[:, i]
+            scale[:, i] = now.sum(axis=1)
+            ahead[:, i] = now / scale[:, i, None]
         for i in range(t - 2, -1, -1):
-            nxt = node[:, i + 1] + back[:, i + 1]
-            step = np.logaddexp(trans[:, 0] + nxt[:, :1], trans[:, 1] + nxt[:, 1:])
-            back[:, i] = np.where(on[:, i + 1, None], step, 0.0)
-        total = ahead + back
-        logz = np.logaddexp(total[:, :, 0], total[:, :, 1])
-        edge = ahead[:, :-1, :, None] + trans + (node + back)[:, 1:, None, :]
-        return np.exp(total[:, :, 1] - logz), np.exp(edge - logz[:, :-1, None, None])
+            nxt = ((node[:, i + 1] * back[:, i + 1]) @ step.T) / scale[:, i + 1, None]
+            back[:, i] = np.where(on[:, i + 1, None], nxt, 1.0)
+        both = ahead * back
+        both /= both.sum(axis=2, keepdims=True)
+        ends = (node * back)[:, 1:] * (on[:, 1:] / scale[:, 1:])[:, :, None]
+        pairs = np.einsum("bia,ac,bic->bac", ahead[:, :-1], step, ends, optimize=True) if t > 1 else np.zeros((b, 2, 2))
+        logz = ((np.log(scale) + top) * on).sum(axis=1) + (on.sum(axis=1) - 1) * trans.max()
+        return both[:, :, 1], pairs, logz
 
     def decode(self, x: np.ndarray) -> list[int]:
         """Viterbi labels of the lines of one document; ties go to content."""
@@ -170,6 +202,45 @@ class Field:
         return out[::-1]
 
 
+def _least(loss, x: np.ndarray) -> np.ndarray:
+    """Where a smooth convex function, given with its gradient, is least: limited-memory BFGS with backtracking."""
+    value, slope = loss(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        if np.abs(slope).max() < STILL:
+            break
+        way, kept = -slope, []
+        for s, d in reversed(past):
+            a = float(s @ way) / float(s @ d)
+            kept.append(a)
+            way = way - a * d
+        if past:
+            s, d = past[-1]
+            way = way * (float(s @ d) / float(d @ d))
+        for (s, d), a in zip(past, reversed(kept), strict=True):
+            way = way + s * (a - float(d @ way) / float(s @ d))
+        fall, size = float(slope @ way), 1.0
+        while size > 1e-10:
+            new, new_slope = loss(x + size * way)
+            if new <= value + 1e-4 * size * fall:
+                break
+            size /= 2
+        else:
+            break
+        moved, change = size * way, new_slope - slope
+        if float(moved @ change) > 1e-12:
+            past = [*past, (moved, change)][-MEMORY:]
+        x, value, slope = x + moved, new, new_slope
+    return x
+
+
+def sampled(raw: bytes) -> np.ndarray:
+    """Features of a text's lines for the fit: ``TRAIN_LINES`` consecutive ones at most."""
+    lines = line_features(raw)[1]
+    start = crc32(raw) % (len(lines) - TRAIN_LINES + 1) if len(lines) > TRAIN_LINES else 0
+    return np.array(lines[start : start + TRAIN_LINES], np.float32)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     """Fit the field on about ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id."""
     usable = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -183,10 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
 
     def make():
         def work(batch):
-            found = []
-            for text in batch.column(0).to_pylist():
-                lines = line_features(encoded(text))[1]
-                found.append(np.array(lines if len(lines) <= TRAIN_LINES else [], np.float32).tobytes())
+            found = [sampled(encoded(text)).tobytes() for text in batch.column(0).to_pylist()]
             return [pa.array(found, pa.binary()), batch.column(1)]
 
         return work
@@ -213,21 +281,16 @@ def judged(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str
 
         return work
 
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_share double"
-    out = map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, schema)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    longs = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+    out = map_batches(rows, make, f"doc_id {type_of(rows, 'doc_id')}, {longs}, content_share double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("content_share") >= CONTENT_SHARE))
 
 
 def kept_rows(docs: DataFrame, field: Field) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns; each text is judged where it lies, without a shuffle."""
-    short_batches(docs.sparkSession)
-
-    @F.pandas_udf("boolean")
-    def passes(texts: pd.Series) -> pd.Series:
-        return pd.Series([verdict(t, field) for t in texts], dtype=bool)
-
-    return docs.where(passes(F.col("text")))
+    return docs.where(text_column(F.col("text"), lambda: lambda text: verdict(text, field), "boolean"))
 
 
 def verdict(text: str | None, field: Field) -> bool:

@@ -19,16 +19,16 @@ there is none); an empty table gives an empty result; further columns are ignore
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.graph import components
-from strandline.llm.text import ASCII_LOWER, encoded, free_name, map_batches, short_batches
+from strandline.llm.text import ASCII_LOWER, encoded, free_name, map_batches, text_column, type_of
 from strandline.storage import durable
 
 WIDTH, SEED, RADIUS, BITS, BUCKET, LEVELS = 3, 42, 2, 64, 64, 3
+BROADCAST_IDS = 1_000_000
 BLOCK = 1 << 15
 
 
@@ -63,7 +63,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return work
 
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_batches(rows, make, f"doc_id {type_of(rows, 'doc_id')}, fp long")
 
 
 def submasks(mask: int = 0, radius: int = RADIUS) -> list[int]:
@@ -142,12 +143,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, fp, component_id``: one row per document, exact for the radius."""
     marked = durable(fingerprints(docs, id_col, text_col), "fingerprints")
     classes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
-    return labelled(marked, classes, links(classes.select("fp")))
+    return labelled(marked, classes, components(links(classes.select("fp"))))
 
 
-def labelled(marked: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of the rows ``doc_id, fp``, with their classes ``fp, rep`` and links between these."""
-    stars = components(links)
+def labelled(marked: DataFrame, classes: DataFrame, stars: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of the rows ``doc_id, fp``, with their classes ``fp, rep`` and the components ``node, root`` of these."""
     # a component's members and root get the smallest id among all of its classes
     member = classes.join(stars.withColumnRenamed("node", "fp"), "fp")
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -158,15 +158,13 @@ def labelled(marked: DataFrame, classes: DataFrame, links: DataFrame) -> DataFra
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def marked_rows(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with the fingerprint of their text in the column ``name``."""
-    short_batches(docs.sparkSession)
+def _signed_fingerprint(text: str | None) -> int:
+    return _signed(fingerprint(text))
 
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
-    return docs.withColumn(name, fp(F.col("text")))
+def marked_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the fingerprint of their text in the column ``name``."""
+    return docs.withColumn(name, text_column(F.col("text"), lambda: _signed_fingerprint, "long"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -180,11 +178,18 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, marked_rows: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The rows of ``docs`` that stay, by the near-duplicates ``found``; ``marked_rows`` gives rows their class ``fp``."""
+    """The rows of ``docs`` that stay, by the near-duplicates ``found``; ``marked_rows`` gives rows their class ``fp``.
+
+    Ids that go, or whose rows must be looked at, are the smaller side. Up to ``BROADCAST_IDS`` of them are broadcast, so that
+    no text moves; beyond, the join is left to the planner.
+    """
     found = durable(found, "near-duplicates")
     first = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(first).alias("first"))
-    once = docs.join(ids.where("first and n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    ids = durable(ids.where("not first or n > 1"), "ids-to-drop")
+    drop = ids.select("doc_id")
+    drop = F.broadcast(drop) if ids.count() <= BROADCAST_IDS else drop
+    once = docs.where("doc_id is not null").join(drop, "doc_id", "left_anti").select(*docs.columns)
     fp = free_name(docs, "_fp")
 
     def one_each(rows: DataFrame, by: str) -> DataFrame:

@@ -1,34 +1,41 @@
 """Text helpers shared by the operators of this subpackage (plain Python, run on executors)."""
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z and leaves every other byte alone.
 ASCII_LOWER = bytes.maketrans(UPPER, LOWER)
-#: Rows and bytes in an Arrow batch: whole texts are long, so batches are kept short to bound a worker's memory.
-BATCH_ROWS, BATCH_BYTES = 64, 8 << 20
 #: Bytes of a batch that are turned into Python objects at once (at least one row).
 SLICE_BYTES = 1 << 20
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get; whole documents make the default of 10,000 rows large."""
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{key}"
-        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
-            spark.conf.set(key, str(most))
-
-
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch | pa.Array) -> Iterator[pa.RecordBatch | pa.Array]:
     """A batch in parts of about ``SLICE_BYTES``."""
-    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
-    for start in range(0, batch.num_rows, rows):
+    rows = max(1, int(len(batch) * SLICE_BYTES / max(batch.nbytes, 1)))
+    for start in range(0, len(batch), rows):
         yield batch.slice(start, rows)
 
 
+def held(kind: str, key: str, make: Callable[[], object]):
+    """What ``make`` gives, kept by the Python worker for its next tasks; it keeps the latest one of each kind."""
+    # functions travel by value, so a variable of this module would be new in every task
+    store = vars(sys).setdefault("_strandline_held", {})
+    if store.get(kind, ("",))[0] != key:
+        store.pop(kind, None)
+        store[kind] = key, make()
+    return store[kind][1]
+
+
+def type_of(df: DataFrame, column: str) -> str:
+    """The type of a column as schemas are written."""
+    return df.select(column).schema[0].dataType.simpleString()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A name that no column of ``df`` has, whatever its case."""
     taken = {c.lower() for c in df.columns}
@@ -39,7 +46,6 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable]], schema: str) -> DataFrame:
     """``mapInArrow`` with a worker that is made once per task; it turns a batch into columns of ``schema``."""
-    short_batches(df.sparkSession)
     arrow = _arrow_schema(df, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,6 +59,26 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
+def text_column(column: Column, make: Callable[[], Callable[[str | None], object]], kind: str) -> Column:
+    """A column of type ``kind`` from texts, by a worker that is made once per task; only the texts go to Python.
+
+    It is marked as not deterministic, or the optimizer would call it for a filter and again for a column.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_type(_parse_datatype_string(kind))
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = make()
+        for batch in batches:
+            done = [pa.array([work(t) for t in part.to_pylist()], arrow) for part in slices(batch)]
+            yield pa.concat_arrays(done) if done else pa.array([], arrow)
+
+    return run.asNondeterministic()(column.cast("string"))
+
+
 def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -11,7 +11,7 @@ The count of a text is the sum of the counts of its pre-tokens; the model's own
    of counts by key and summed. So no frequent key is ever shuffled per document, and no rare one is lost.
 
 Defined results: null text counts as empty and has no tokens; repeated rows each get a row; null ids too; an empty table
-gives an empty result; further columns are ignored.
+gives an empty result; further columns are ignored; ids keep their type.
 """
 
 import re
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.bpe import vocabulary
-from strandline.llm.text import map_batches
+from strandline.llm.text import map_batches, type_of
 from strandline.storage import durable
 
 MODEL, LIMIT = "piece_bpe_32k.model", 4096
@@ -118,11 +118,11 @@ def counted(docs: DataFrame, path: str | None = None, common: int = COMMON) -> D
         return work
 
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        "doc_id",
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    part = map_batches(rows, make_summed, "doc_id long, n_bytes long, known long, rest array<struct<piece:string,times:int>>")
+    part = map_batches(rows, make_summed, f"doc_id {type_of(rows, 'doc_id')}, n_bytes long, known long, rest array<struct<piece:string,times:int>>")
     # a number for each row; the table is written, so that the numbers hold from here on
     part = durable(part.withColumn("row", F.monotonically_increasing_id()), "known-counts")
     rare = part.select("row", F.explode("rest").alias("r")).select("row", "r.piece", "r.times")

@@ -1,8 +1,10 @@
+import pytest
+
 import corpus_pipeline
-from strandline.llm import bpe, decontaminate, quality, secrets
+from strandline.llm import bpe, decontaminate, quality, secrets, simhash, similar
 
 from .test_filters import brute_hits, brute_secrets
-from .test_simhash import brute_components, brute_fingerprint
+from .test_similar import brute_components
 from .test_tokens import library
 
 
@@ -11,19 +13,19 @@ def test_pipeline_equals_brute_force(spark, sf, texts):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     field = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     kept = {k: t for k, t in texts.items() if quality.verdict(t, field)}
-    comp = brute_components({k: brute_fingerprint(t) for k, t in kept.items()})
+    comp = brute_components(kept)
     kept = {k: t for k, t in kept.items() if comp[k] == k}
-    automaton, values = decontaminate.build(items)
+    windows, scanner = decontaminate.Windows(items), secrets.Scanner(secrets.ranked_words())
     want = {}
     _, enc = library()
     for k, t in kept.items():
         if len(t) < 8000:
-            assert brute_hits(t, items)[2] == set(decontaminate.scan(t, automaton, values)[2])
-        _, spans, own = decontaminate.scan(t, automaton, values)
+            assert brute_hits(t, items)[2] == set(windows.scan(t)[2])
+        _, spans, own = windows.scan(t)
         words = f" {b' '.join(decontaminate.words_of(t)).decode()} "
         whole = any(f" {b' '.join(decontaminate.words_of(x)).decode()} " in words for i, x in items if i in own)
         if len(own) < decontaminate.MIN_ITEMS and not whole:
-            clean = secrets.redact(decontaminate.cut(t, decontaminate.offsets(t, spans)))
+            clean = scanner.redact(decontaminate.cut(t, decontaminate.offsets(t, spans)))
             assert not brute_secrets(clean)
             want[k] = enc.encode_ordinary(clean)
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, sf).collect()}
@@ -50,9 +52,8 @@ def test_stages_take_odd_documents(spark, sf, odd_docs):
     assert len({r.doc_id for r in got}) == len(got)
 
 
-def test_near_dedup_of_odd_documents(spark, odd_docs):
-    from strandline.llm import simhash
-
-    got = simhash.deduplicated(odd_docs.unionByName(odd_docs)).collect()
+@pytest.mark.parametrize("operator", [simhash, similar])
+def test_near_dedup_of_odd_documents(spark, odd_docs, operator):
+    got = operator.deduplicated(odd_docs.unionByName(odd_docs)).collect()
     # 1, 2, 3 have no words; 5 is also the row without an id
     assert sorted(r.doc_id for r in got) == [1, 4, 5, 6, 7, 8, 9]

@@ -33,17 +33,45 @@ def test_bpe_of_odd_documents(spark, odd_docs, no_docs):
     assert bpe.encoded(no_docs).count() == 0
 
 
-def test_long_documents_by_chunk(spark, odd_docs):
+def test_every_text_takes_the_path_by_chunk(texts):
+    data, _ = library()
+    coder = bpe.Bpe(data, public_tokenizers.PATTERN)
+    many = [t for t in texts.values() if len(t) > bpe.CHUNK + bpe.OVERLAP]
+    assert len(many) > 0.2 * len(texts)
+    for text in texts.values():
+        coder.chunks = coder.stitches = 0
+        coder.encode(text)
+        chunks = max(1, -(-(len(text) - bpe.OVERLAP) // bpe.CHUNK))
+        assert (coder.chunks, coder.stitches) == (chunks, chunks - 1)
+
+
+def test_texts_of_all_sizes():
+    data, enc = library()
+    rng = random.Random(1)
+    coder = bpe.Bpe(data, public_tokenizers.PATTERN)
+    words = [f"{rng.choice(['the', 'Wort', 'ébahi', '12,5', '\n', '日本', '  '])}{i % 50}" for i in range(900_000)]
+    whole = " ".join(words)
+    for size in (0, 1, bpe.CHUNK, bpe.CHUNK + bpe.OVERLAP, bpe.CHUNK + bpe.OVERLAP + 1, bpe.BLOCK, 300_000, 5_000_000):
+        text = whole[:size]
+        assert len(text) == size and coder.encode_to_numpy(text).tolist() == enc.encode_ordinary(text)
+    for text in ("x" * 40_000, " " * 300_000, "a" * 5000 + " b" + "c" * 9000):
+        assert "".join(coder.pieces(text)) == text and coder.pieces(text) == coder.pattern.findall(text)
+
+
+def test_long_documents_by_block(spark, odd_docs, monkeypatch):
     _, enc = library()
-    got = sorted((r.doc_id or 0, tuple(r.ids)) for r in bpe.encoded(odd_docs, long=0).collect())
-    assert got == sorted((r.doc_id or 0, tuple(enc.encode_ordinary(r.text or ""))) for r in odd_docs.collect())
+    monkeypatch.setattr(bpe, "BLOCK", 1 << 13)
+    docs = odd_docs.unionByName(odd_docs)
+    got = sorted((r.doc_id or 0, tuple(r.ids)) for r in bpe.encoded(docs).collect())
+    assert got == sorted((r.doc_id or 0, tuple(enc.encode_ordinary(r.text or ""))) for r in docs.collect())
 
 
-def test_chunks_are_stitched(monkeypatch):
+def test_chunks_and_blocks_are_stitched(monkeypatch):
     data, enc = library()
     rng = random.Random(3)
     coder = bpe.Bpe(data, public_tokenizers.PATTERN)
-    monkeypatch.setattr(bpe, "CHUNK", 100)
+    monkeypatch.setattr(bpe, "CHUNK", 30)
+    monkeypatch.setattr(bpe, "BLOCK", 100)
     monkeypatch.setattr(bpe, "OVERLAP", 40)
     monkeypatch.setattr(bpe, "MARGIN", 8)
     for _ in range(300):
@@ -51,9 +79,17 @@ def test_chunks_are_stitched(monkeypatch):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1500)))
         want = enc.encode_ordinary(text)
         assert coder.encode(text) == want, text
-        # as the tasks that have one chunk each make them
-        chunks = [(text[i : i + 140], *coder.chunk(text[i : i + 140])) for i in range(0, len(text), 100)]
-        assert bpe.join_chunks(coder, chunks).tolist() == want, text
+        # as the tasks that have one block each make them
+        blocks = [(text[i : i + 140], *coder.block(text[i : i + 140])) for i in range(0, max(1, len(text) - 40), 100)]
+        assert bpe.join_blocks(coder, blocks).tolist() == want, text
+    assert coder.stitches > 1000
+
+
+def test_ids_keep_their_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), (None, "x"), ("b", None)], "doc_id string, text string")
+    assert sorted((r.doc_id or "", len(r.ids)) for r in bpe.encoded(docs).collect()) == [("", 1), ("a", 2), ("b", 0)]
+    assert bpe.decoded(bpe.encoded(docs)).schema["doc_id"].dataType.simpleString() == "string"
+    assert sorted((r.doc_id or "", r.n_tokens) for r in token_counts.counted(docs).collect()) == [("", 1), ("a", 2), ("b", 0)]
 
 
 def test_token_counts_equal_the_library(spark, sf, texts, odd_docs, no_docs):
