@@ -247,6 +247,11 @@ def chains(parts: np.ndarray, least: int = 10) -> list[np.ndarray]:
 
 def simplify(line: np.ndarray, tolerance: float) -> np.ndarray:
     """Douglas-Peucker: vertices within ``tolerance`` of the chord go."""
+    return line[kept_vertices(line, tolerance)]
+
+
+def kept_vertices(line: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices of a line ``simplify`` leaves."""
     keep = np.zeros(len(line), bool)
     keep[[0, -1]] = True
     stack = [(0, len(line) - 1)]
@@ -261,4 +266,4 @@ def simplify(line: np.ndarray, tolerance: float) -> np.ndarray:
         if off[k] > tolerance:
             keep[i + 1 + k] = True
             stack += [(i, i + 1 + k), (i + 1 + k, j)]
-    return line[keep]
+    return keep

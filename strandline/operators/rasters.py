@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from strandline.functions import kernels
 
@@ -57,6 +58,49 @@ def apply_kernel(blocks: DataFrame, kernel) -> DataFrame:
     return blocks.mapInPandas(run, BLOCK)
 
 
+def erase_cleaned(obs: DataFrame, column: str, bad: list[str], values: list[str], scene=("tile", "time"), kernel=kernels.cloud_cleanup) -> DataFrame:
+    """Observations with NULL ``values`` where the cleaned mask of their scene holds.
+
+    The mask has the cells of a bad category and those without a row; ``kernel`` closes its holes, takes narrow parts away and
+    widens the rest. A scene of a tile is one group.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        y, x = (pdf.yi - pdf.yi.min()).to_numpy(), (pdf.xi - pdf.xi.min()).to_numpy()
+        mask = np.ones((y.max() + 1, x.max() + 1), bool)
+        mask[y, x] = pdf[column].isin(bad).to_numpy()
+        pdf.loc[kernel(mask)[y, x], values] = np.nan
+        return pdf
+
+    return obs.groupBy(*scene).applyInPandas(run, _with_nulls(obs.schema, values))
+
+
+def _with_nulls(schema: StructType, names: list[str]) -> StructType:
+    return StructType([StructField(f.name, f.dataType, f.nullable or f.name in names) for f in schema.fields])
+
+
+def erase_shadow(obs: DataFrame, dem: DataFrame, sun: DataFrame, values: list[str], threshold: float = 0.5, radius: int = 1) -> DataFrame:
+    """Observations with NULL ``values`` in the terrain's shadow.
+
+    ``dem`` has the heights of cells (``tile, yi, xi, elevation``, in cell units), ``sun`` its place at each scene (``tile, time, sun_elevation,
+    sun_azimuth``). Cells without a height count as 0; scenes without a sun stay as they are.
+    """
+    rows = obs.join(dem.select("tile", "yi", "xi", F.col("elevation").alias("_h")), ["tile", "yi", "xi"], "left")
+    rows = rows.join(sun.select("tile", "time", F.col("sun_elevation").alias("_up"), F.col("sun_azimuth").alias("_turn")), ["tile", "time"], "left")
+    rows = rows.select(*obs.columns, "_h", "_up", "_turn")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        up, turn = pdf["_up"].iloc[0], pdf["_turn"].iloc[0]
+        y, x = (pdf.yi - pdf.yi.min()).to_numpy(), (pdf.xi - pdf.xi.min()).to_numpy()
+        heights = np.zeros((y.max() + 1, x.max() + 1))
+        heights[y, x] = pdf["_h"].fillna(0.0)
+        if not (np.isnan(up) or np.isnan(turn)) and min(heights.shape) > 1:
+            pdf.loc[kernels.terrain_shadow(heights, up, turn, threshold, radius)[y, x], values] = np.nan
+        return pdf.drop(columns=["_h", "_up", "_turn"])
+
+    return rows.groupBy("tile", "time").applyInPandas(run, _with_nulls(obs.schema, values))
+
+
 def apply_over_years(blocks: DataFrame, kernel) -> DataFrame:
     """A function of a tile's (year, y, x) array to one of the same shape; years are sorted, cells aligned."""
 

@@ -1,13 +1,19 @@
-"""Spatial joins and lines. Distance joins are equi joins on grid cells with an exact test after."""
+"""Spatial joins and lines. Joins by place are equi joins on grid cells with an exact test after.
+
+A side is broadcast only where a count says that it is small (``MOST_VERTICES``, ``MOST_QUERIES``).
+"""
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import crossing, in_disc, on_segment, ring_contains
 from strandline.operators.ordering import numbered
 
+#: Vertices of polygons, and queries, that are broadcast at once.
+MOST_VERTICES, MOST_QUERIES = 100_000, 10_000
 NEAR = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
 
 
@@ -52,12 +58,18 @@ def rocky_flag(points: DataFrame, shores: DataFrame, key: str, query: str = "Pre
 
 
 def nearest_by(queries: DataFrame, rows: DataFrame, key: str, other: str, distance) -> DataFrame:
-    """For each query its nearest row by a distance expression: the queries, a bounded set, go to the rows.
+    """For each query its nearest row by a distance expression: the queries go to the rows, in blocks of a bounded size.
 
-    Ties go to the smallest id. Rows stay where they are; each task keeps one candidate for each query.
+    Ties go to the smallest id. Rows stay where they are; each task keeps one candidate for each query of the block.
     """
-    pairs = rows.join(F.broadcast(queries))
-    return pairs.groupBy(key).agg(F.min(F.struct(distance.alias("distance"), F.col(other).alias(other))).alias("_m")).select(key, "_m.*")
+    blocks = max(1, -(-queries.count() // MOST_QUERIES))
+
+    def block(k: int) -> DataFrame:
+        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == k)
+        pairs = rows.join(F.broadcast(own))
+        return pairs.groupBy(key).agg(F.min(F.struct(distance.alias("distance"), F.col(other).alias(other))).alias("_m")).select(key, "_m.*")
+
+    return reduce(DataFrame.unionByName, map(block, range(blocks)))
 
 
 def _boxed(polygons: DataFrame, attributes: Sequence[str]) -> DataFrame:
@@ -87,14 +99,27 @@ def polygon_hits(points: DataFrame, polygons: DataFrame, attributes: Sequence[st
     return both.select(*points.columns, *attributes)
 
 
+def few(polygons: DataFrame) -> bool:
+    """Whether the polygons have so few vertices that they may be broadcast."""
+    return (polygons.agg(F.sum(F.size("ring").cast("long")).alias("n")).first().n or 0) <= MOST_VERTICES
+
+
+def _same(columns: Sequence[str], other: str) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{other}.{c}")) for c in columns))
+
+
 def in_polygons(points: DataFrame, polygons: DataFrame, attributes: Sequence[str], key: str | None = None) -> DataFrame:
     """Left join of points (``px, py``) with the polygons (``ring``) that hold them.
 
-    Without ``key`` the polygons are a dimension of bounded size (regions, grid cells) that is broadcast. With a ``key`` that
-    tells points apart they can be any number: they are met cell by cell, and points without one are joined back.
+    Without ``key`` polygons of few vertices (regions, grid cells) are broadcast. With a ``key`` that tells points apart, and
+    where there are more, they are met cell by cell, and points without one are joined back, by all columns if there is no key.
     """
     if key is not None:
         return points.join(polygon_hits(points.select(key, "px", "py"), polygons, attributes).select(key, *attributes), key, "left")
+    if not few(polygons):
+        hits = polygon_hits(points.distinct(), polygons, attributes)
+        found = hits.select(F.struct(*points.columns).alias("_here"), *attributes)
+        return points.join(found, _same(points.columns, "_here"), "left").select(*points.columns, *attributes)
     box = F.col("px").between(F.col("_lox"), F.col("_hix")) & F.col("py").between(F.col("_loy"), F.col("_hiy"))
     holds = box & ring_contains(F.col("ring"), F.col("px"), F.col("py"))
     return points.join(F.broadcast(_boxed(polygons, attributes)), holds, "left").select(*points.columns, *attributes)
@@ -104,6 +129,9 @@ def clip(points: DataFrame, polygons: DataFrame, key: str | None = None) -> Data
     """The points that lie in any of the polygons; ``key`` as for ``in_polygons``."""
     if key is not None:
         return points.join(polygon_hits(points.select(key, "px", "py"), polygons, []).select(key), key, "left_semi")
+    if not few(polygons):
+        found = polygon_hits(points.distinct(), polygons, []).select(F.struct(*points.columns).alias("_here"))
+        return points.join(found, _same(points.columns, "_here"), "left_semi")
     return points.join(F.broadcast(polygons.select("ring")), ring_contains(F.col("ring"), F.col("px"), F.col("py")), "left_semi")
 
 
@@ -184,8 +212,12 @@ def bilinear_sample(points: DataFrame, grid: DataFrame, value: str, key: Sequenc
 
 
 def hotspots(centres: DataFrame, points: DataFrame, radius: float, key: str = "uid", year: str = "year", dist: str = "dist") -> DataFrame:
-    """Median movement of each year over the good points within a centre's buffer (long form), rounded to 2 places."""
-    near = within_distance(centres.select(key, "cx", "cy"), points.select("px", "py", year, dist), radius)
+    """Median movement of each year over the good points within a centre's buffer (long form), rounded to 2 places.
+
+    A place's years, a few dozen, travel as one row, so centres meet places and not their years.
+    """
+    lists = points.groupBy("px", "py").agg(F.collect_list(F.struct(F.col(year), F.col(dist))).alias("_moves"))
+    near = within_distance(centres.select(key, "cx", "cy"), lists, radius).select(key, F.inline("_moves"))
     return near.groupBy(key, year).agg((F.bround(F.median(dist), 2) + F.lit(0.0)).alias(dist))
 
 
@@ -233,10 +265,47 @@ def oriented_transects(found: DataFrame, polygons: DataFrame, key: Sequence[str]
     return good.select(*(c for c in found.columns if c not in turned), *(v.alias(k) for k, v in turned.items()))
 
 
+def _levelled(df: DataFrame, box: tuple[Column, Column, Column, Column]) -> DataFrame:
+    """``_level``: the power of two that a row's box (low x, high x, low y, high y) fits in."""
+    lox, hix, loy, hiy = box
+    wide = F.greatest(hix - lox, hiy - loy, F.lit(2.0**-40))
+    return df.withColumns({"_level": F.ceil(F.log2(wide)).cast("int"), "_lox": lox, "_hix": hix, "_loy": loy, "_hiy": hiy})
+
+
+def _dealt(df: DataFrame, levels: DataFrame) -> DataFrame:
+    """A row for each cell (at most four) that its box touches, at its own level and each wider one in use: ``_at, _cx, _cy``."""
+    size = F.pow(F.lit(2.0), F.col("_at"))
+    out = df.join(F.broadcast(levels), F.col("_at") >= F.col("_level"))
+
+    def span(a, b):
+        return F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
+
+    return out.withColumn("_cx", span("_lox", "_hix")).withColumn("_cy", span("_loy", "_hiy"))
+
+
+def box_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join of rows whose boxes meet (both as ``_levelled``; the columns of ``right`` as struct ``_r``).
+
+    Both sides are dealt to grids of powers of two; a pair meets at the wider one's level, and counts in the cell that holds the
+    lower corner of what the boxes share.
+    """
+    # levels are powers of two: some hundred at most
+    levels = left.select(F.col("_level").alias("_at")).unionByName(right.select(F.col("_level").alias("_at"))).distinct()
+    other = _dealt(right, levels)
+    other = other.select("_at", "_cx", "_cy", F.struct(*right.columns).alias("_r"))
+    both = _dealt(left, levels).join(other, ["_at", "_cx", "_cy"]).where(F.col("_at") == F.greatest(F.col("_level"), F.col("_r._level")))
+    x, y = F.greatest(F.col("_lox"), F.col("_r._lox")), F.greatest(F.col("_loy"), F.col("_r._loy"))
+    meet = (x <= F.least(F.col("_hix"), F.col("_r._hix"))) & (y <= F.least(F.col("_hiy"), F.col("_r._hiy")))
+    size = F.pow(F.lit(2.0), F.col("_at"))
+    first = (F.floor(x / size) == F.col("_cx")) & (F.floor(y / size) == F.col("_cy"))
+    return both.where(meet & first).select(*(c for c in left.columns if c not in ("_level", "_lox", "_hix", "_loy", "_hiy")), "_r")
+
+
 def split_lines(parts: DataFrame, polygons: DataFrame, attributes: Sequence[str], outside: bool = False) -> DataFrame:
     """Segments cut at the edges of polygons: the pieces inside with the polygon's attributes, and those outside with NULLs.
 
-    Both kinds together are a union overlay of lines, the pieces inside an intersection overlay, or a clip.
+    Both kinds together are a union overlay of lines, the pieces inside an intersection overlay, or a clip. Segments meet
+    the polygons whose boxes touch theirs, cell by cell. Equal segments are one in what is outside.
     """
     a, b = (F.col("x1"), F.col("y1")), (F.col("x2"), F.col("y2"))
     n = F.size("ring")
@@ -248,8 +317,12 @@ def split_lines(parts: DataFrame, polygons: DataFrame, attributes: Sequence[str]
         return F.try_divide((met["x"] - a[0]) * dx + (met["y"] - a[1]) * dy, dx * dx + dy * dy)
 
     cuts = F.array_distinct(F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(F.transform(edges, place), lambda t: t.isNotNull()))))
-    pairs = parts.join(polygons.select(*attributes, "ring"), F.lit(True)) if not outside else parts.join(polygons.select(*attributes, "ring"), F.lit(True), "left")
-    t = pairs.withColumn("_t", F.coalesce(cuts, F.array(F.lit(0.0), F.lit(1.0))))
+    x, y = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    shapes = _levelled(polygons.select(*attributes, "ring"), (F.array_min(x), F.array_max(x), F.array_min(y), F.array_max(y)))
+    lines = _levelled(parts, (F.least(a[0], b[0]), F.greatest(a[0], b[0]), F.least(a[1], b[1]), F.greatest(a[1], b[1])))
+    met = box_pairs(lines, shapes)
+    pairs = met.select(*parts.columns, *(F.col(f"_r.{c}").alias(c) for c in (*attributes, "ring")))
+    t = pairs.withColumn("_t", cuts)
     piece = F.zip_with(F.slice("_t", 1, F.size("_t") - 1), F.slice("_t", 2, F.size("_t") - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
     each = t.withColumn("_p", F.explode(piece)).withColumn("_m", (F.col("_p.u") + F.col("_p.v")) / 2)
     each = each.withColumn("_in", F.coalesce(ring_contains(F.col("ring"), a[0] + F.col("_m") * dx, a[1] + F.col("_m") * dy), F.lit(False)))
@@ -259,11 +332,13 @@ def split_lines(parts: DataFrame, polygons: DataFrame, attributes: Sequence[str]
     if not outside:
         return inside
     # what no polygon holds: the segment's places less the inside intervals, cut at all their ends
-    keys = [F.col(c) for c in parts.columns]
-    spans = each.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_t")))).alias("_t"), F.collect_list(F.when(F.col("_in"), F.col("_p"))).alias("_i"))
+    spans = each.groupBy(*parts.columns).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_t")))).alias("_t"), F.collect_list(F.when(F.col("_in"), F.col("_p"))).alias("_i"))
+    alone = parts.distinct().join(spans.select(F.struct(*parts.columns).alias("_here")), _same(parts.columns, "_here"), "left_anti")
+    whole, none = F.array(F.lit(0.0), F.lit(1.0)), F.array().cast("array<struct<u:double,v:double>>")
+    spans = spans.unionByName(alone.withColumns({"_t": whole, "_i": none}))
     free = spans.withColumn("_p", F.explode(piece)).withColumn("_m", (F.col("_p.u") + F.col("_p.v")) / 2)
     free = free.where(~F.exists("_i", lambda i: (i["u"] <= F.col("_m")) & (F.col("_m") <= i["v"])))
-    return inside.unionByName(free.select(*keep, *(v.alias(k) for k, v in ends.items()), *(F.lit(None).cast(polygons.schema[x].dataType).alias(x) for x in attributes)))
+    return inside.unionByName(free.select(*keep, *(v.alias(k) for k, v in ends.items()), *(F.lit(None).cast(polygons.schema[c].dataType).alias(c) for c in attributes)))
 
 
 def rasterize(cells: DataFrame, polygons: DataFrame, attribute: str) -> DataFrame:
@@ -291,13 +366,11 @@ def centroids(parts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def simplified(lines: DataFrame, line: Sequence[str], tolerance: float) -> DataFrame:
     """Vertices (``ord, x, y``) of each line without those near its chords."""
-    from strandline.functions.kernels import simplify
+    from strandline.functions.kernels import kept_vertices
 
     def run(pdf):
         pdf = pdf.sort_values("ord")
-        xy = pdf[["x", "y"]].to_numpy(float)
-        kept = {tuple(p) for p in simplify(xy, tolerance).tolist()}
-        return pdf[[tuple(p) in kept for p in xy.tolist()]]
+        return pdf[kept_vertices(pdf[["x", "y"]].to_numpy(float), tolerance)]
 
     return lines.groupBy(*line).applyInPandas(run, lines.schema)
 

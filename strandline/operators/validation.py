@@ -10,14 +10,14 @@ def accuracy(df: DataFrame, survey: str, product: str, by: Sequence[str] = (), w
     """``n, mae, rmse, stdev, corr, bias`` of the differences survey less product, all in one pass.
 
     Rounded to 2 places, the correlation to 3. ``n`` is the sum of ``weight`` if given. Deviation and correlation
-    are NULL below two rows. ``remove_bias`` takes each group's bias from the differences first.
+    are NULL below two rows. ``remove_bias`` takes each group's bias from the differences first; ``bias`` is always
+    that of the differences as they were.
     """
-    rows = df.where(F.col(survey).isNotNull() & F.col(product).isNotNull()).withColumn("_d", F.col(survey) - F.col(product))
-    bias = F.avg("_d")
+    rows = df.where(F.col(survey).isNotNull() & F.col(product).isNotNull())
+    rows = rows.withColumns({c: F.col(survey) - F.col(product) for c in ("_raw", "_d")})
     if remove_bias:
-        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         if by:
-            rows = rows.withColumn("_d", F.col("_d") - F.avg("_d").over(w))
+            rows = rows.withColumn("_d", F.col("_raw") - F.avg("_raw").over(Window.partitionBy(*by)))
         else:  # one row of statistics, rather than all rows in one window
             mean = rows.agg(F.avg("_d").alias("_m"))
             rows = rows.join(F.broadcast(mean)).withColumn("_d", F.col("_d") - F.col("_m"))
@@ -32,7 +32,7 @@ def accuracy(df: DataFrame, survey: str, product: str, by: Sequence[str] = (), w
         shown(F.sqrt(F.avg(F.col("_d") * F.col("_d")))).alias("rmse"),
         F.when(two, shown(F.stddev_samp("_d"))).alias("stdev"),
         F.when(two, shown(F.corr(survey, product), 3)).alias("corr"),
-        shown(bias).alias("bias"),
+        shown(F.avg("_raw")).alias("bias"),
     )
 
 
@@ -76,16 +76,27 @@ def by_year(intercepts: DataFrame, id_col: str = "id", value: str = "0_dist", mo
     )
 
 
-def evaluation_layers(result: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
-    """Three layers to look at: surveyed points, the product's points, and the transects as lines."""
+def evaluation_layers(result: DataFrame) -> dict[str, DataFrame]:
+    """Three layers to look at, in degrees: surveyed points, the product's points, and the transects as lines.
+
+    ``result`` has the columns of ``validated``; a surveyed point lies at its distance along the transect.
+    """
+    from strandline.functions import geodesy, geometry
     from strandline.sinks import geometry_json
 
-    facts = [c for c in result.columns if c not in ("val_x", "val_y", "qx", "qy")]
-    point = {"survey": ("val_x", "val_y"), "product": ("qx", "qy")}
-    out = {k: result.select(*facts, geometry_json("Point", F.col(x), F.col(y)).alias("geometry")) for k, (x, y) in point.items() if x in result.columns}
-    ends = F.array(*(F.struct(F.col(f"{e}_x").alias("x"), F.col(f"{e}_y").alias("y")) for e in ("start", "end")))
-    out["transects"] = profiles.dropDuplicates(["id"]).select("id", geometry_json("LineString", points=ends).alias("geometry"))
-    return out
+    def place(x: Column, y: Column) -> Column:
+        return geodesy.albers_inverse(x, y)
+
+    ends = ("start_x", "start_y", "end_x", "end_y")
+    facts = [c for c in result.columns if c not in (*ends, "qx", "qy", "_d")]
+    at = geometry.along(F.col("val_dist"), *(F.col(c) for c in ends))
+    surveyed = result.withColumn("_a", at).withColumn("_d", place(F.col("_a.x"), F.col("_a.y")))
+    product = result.withColumn("_d", place(F.col("qx"), F.col("qy")))
+    out = {k: df.select(*facts, geometry_json("Point", F.col("_d.lon"), F.col("_d.lat")).alias("geometry")) for k, df in (("survey", surveyed), ("product", product))}
+    lines = result.groupBy("id").agg(*(F.min(c).alias(c) for c in ends))
+    pair = [place(F.col(f"{e}_x"), F.col(f"{e}_y")) for e in ("start", "end")]
+    lines = lines.withColumn("_l", F.array(*(F.struct(d["lon"].alias("x"), d["lat"].alias("y")) for d in pair)))
+    return out | {"transects": lines.select("id", geometry_json("LineString", points=F.col("_l")).alias("geometry"))}
 
 
 def markdown_report(stats: dict, before: dict | None = None) -> str:

@@ -10,7 +10,7 @@ from strandline.operators import rates as R
 from strandline.operators import spatial as S
 from strandline.operators import surveys as V
 from strandline.operators import validation as A
-from strandline.plans.spatial import _LINES, _LL, _POLY, _XY, _centres, _lonlat, _points, _polygons, _segments, _vertices
+from strandline.plans.spatial import _LINES, _LL, _POLY, _XY, SHOWN_RAYS, _centres, _lonlat, _points, _polygons, _segments, _vertices, rays_sql
 from strandline.plans.standins import OBS, PROFILES, observations, profiles, table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -170,7 +170,7 @@ def geojson_features(spark, sf):
 
 
 @query("""WITH v AS (SELECT s_suppkey AS id, y::INT AS year, (s_suppkey * y % 97)::DOUBLE AS val_dist, 0.0::DOUBLE AS start_x, 0.0::DOUBLE AS start_y, CASE WHEN s_suppkey % 4 = 0 THEN 30.0 END AS foredune_dist FROM supplier, range(2000, 2004) t(y)),
-m AS (SELECT s_suppkey AS id, y::INT AS year, (s_suppkey * y % 89)::DOUBLE AS qx, (s_suppkey % 7)::DOUBLE AS qy FROM supplier, range(2001, 2006) t(y) WHERE s_suppkey % 5 <> 0)
+m AS (SELECT s_suppkey AS id, y::INT AS year, (s_suppkey * y % 89)::DOUBLE AS qx, (s_suppkey % 7)::DOUBLE AS qy FROM supplier, range(2001, 2006) t(y))
 SELECT id, year, round(sqrt(qx * qx + qy * qy), 6) + 0.0 AS product_dist, round(val_dist - sqrt(qx * qx + qy * qy), 6) + 0.0 AS error_m FROM v JOIN m USING (id, year)
 WHERE foredune_dist IS NULL OR sqrt(qx * qx + qy * qy) >= foredune_dist""")
 def validation_result(spark, sf):
@@ -178,7 +178,7 @@ def validation_result(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
     v = s.withColumn("year", F.explode(F.sequence(F.lit(2000), F.lit(2003))))
     v = v.withColumns({"val_dist": (k * F.col("year") % 97).cast("double"), "start_x": F.lit(0.0), "start_y": F.lit(0.0), "foredune_dist": F.when(k % 4 == 0, 30.0)})
-    m = s.where(k % 5 != 0).withColumn("year", F.explode(F.sequence(F.lit(2001), F.lit(2005))))
+    m = s.withColumn("year", F.explode(F.sequence(F.lit(2001), F.lit(2005))))
     m = m.withColumns({"qx": (k * F.col("year") % 89).cast("double"), "qy": (k % 7).cast("double")})
     return _r(A.validated(v, m).select("id", "year", "product_dist", "error_m"), "product_dist", "error_m")
 
@@ -190,12 +190,30 @@ def ransac_outliers(spark, sf):
     return R.ransac_outliers(_disp(spark, sf).select("uid", "year", "dist"), ["uid"], "year", "dist")
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {_LINES}, v AS (SELECT line, ord, x, y, row_number() OVER (PARTITION BY line ORDER BY ord) AS k FROM vert),
+iv(line, i, j) AS (SELECT line, min(k), max(k) FROM v GROUP BY line
+  UNION ALL SELECT line, CASE WHEN h = 0 THEN i ELSE m END, CASE WHEN h = 0 THEN m ELSE j END FROM (
+    SELECT line, i, j, arg_max(k, {{'o': off, 'n': -k}}) AS m FROM (
+      SELECT s.line, s.i, s.j, v.k, CASE WHEN a.x = b.x AND a.y = b.y THEN sqrt((v.x - a.x) ^ 2 + (v.y - a.y) ^ 2)
+        ELSE abs((v.x - a.x) * (b.y - a.y) - (v.y - a.y) * (b.x - a.x)) / sqrt((b.x - a.x) ^ 2 + (b.y - a.y) ^ 2) END AS off
+      FROM iv s JOIN v a ON a.line = s.line AND a.k = s.i JOIN v b ON b.line = s.line AND b.k = s.j JOIN v ON v.line = s.line AND v.k > s.i AND v.k < s.j)
+    GROUP BY line, i, j HAVING max(off) > 200), (VALUES (0), (1)) t(h))
+SELECT line, ord, x, y FROM v WHERE (line, k) IN (SELECT (line, i) FROM iv UNION SELECT (line, j) FROM iv)""")
 def simplified_lines(spark, sf):
     return S.simplified(_vertices(spark, sf), ["line"], 200.0)
 
 
-@query(None)
+_SCALED = f"""{_LINES}, {_XY}, {_POLY}, sc AS (SELECT line, seg, x1 * 1.6 AS x1, y1 * 14 AS y1, x2 * 1.6 AS x2, y2 * 14 AS y2 FROM segs),
+ch AS (SELECT *, sum(sqrt((x2 - x1) ^ 2 + (y2 - y1) ^ 2)) OVER (PARTITION BY line ORDER BY seg ROWS UNBOUNDED PRECEDING) AS stop FROM sc),
+chd AS (SELECT *, stop - sqrt((x2 - x1) ^ 2 + (y2 - y1) ^ 2) AS start FROM ch), {rays_sql('chd')},
+en AS (SELECT line, pos, 0 AS e, sx AS px, sy AS py FROM ray UNION ALL SELECT line, pos, 1, ex, ey FROM ray),
+ld AS (SELECT line, pos, en.e, name FROM en JOIN edge g ON (ay > py) <> (by_ > py) AND px < (bx - ax) * (py - ay) / (by_ - ay) + ax GROUP BY line, pos, en.e, name HAVING count(*) % 2 = 1),
+sd AS (SELECT line, pos, coalesce(bool_or(e = 0), false) AS l0, coalesce(bool_or(e = 1), false) AS l1 FROM (SELECT DISTINCT line, pos, e FROM ld) GROUP BY line, pos),
+tn AS (SELECT line, pos, CASE WHEN l0 THEN sx ELSE ex END AS sx, CASE WHEN l0 THEN sy ELSE ey END AS sy, CASE WHEN l0 THEN ex ELSE sx END AS ex, CASE WHEN l0 THEN ey ELSE sy END AS ey
+  FROM ray JOIN sd USING (line, pos) WHERE l0 <> l1)"""
+
+
+@query(f"WITH {_SCALED} SELECT line, pos AS at, {SHOWN_RAYS} FROM tn")
 def coastal_transects(spark, sf):
     parts = _segments(spark, sf)
     parts = parts.select("line", "seg", *((F.col(c) * k).alias(c) for c, k in (("x1", 1.6), ("y1", 14.0), ("x2", 1.6), ("y2", 14.0))))
@@ -204,4 +222,4 @@ def coastal_transects(spark, sf):
 
     w = Window.partitionBy("line").orderBy("seg").rowsBetween(Window.unboundedPreceding, 0)
     chained = long.withColumn("stop", F.sum("_l").over(w)).withColumn("start", F.col("stop") - F.col("_l")).drop("_l")
-    return S.oriented_transects(S.transects(chained, ["line"]), _polygons(spark), ["line", "at"])
+    return _r(S.oriented_transects(S.transects(chained, ["line"]), _polygons(spark), ["line", "at"]), "sx", "sy", "ex", "ey", digits=4)

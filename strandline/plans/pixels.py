@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import composites as C
 from strandline.plans.standins import END, OBS, START, observations, table
+from strandline.sources.layers import good_scenes
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -31,10 +32,29 @@ def water_index(spark, sf):
     return _rounded(both.select("scene", "mndwi", "ndwi"), "mndwi", "ndwi")
 
 
-@query("""SELECT 'a' AS sensor, l_orderkey AS scene, l_quantity AS swir1, NULL::DOUBLE AS green FROM lineitem WHERE l_linenumber = 1
+@query(f"WITH {OBS} SELECT scene, round((green - nir) / nullif(green + nir, 0), 6) + 0.0 AS ndwi FROM obs")
+def ndwi(spark, sf):
+    return _rounded(C.water_index(observations(spark, sf), "ndwi").select("scene", "ndwi"), "ndwi")
+
+
+@query("SELECT l_orderkey * 10 + l_linenumber AS scene, round(l_extendedprice * 0.0001::DOUBLE, 8) AS green, round(l_quantity * 0.0001::DOUBLE, 8) AS swir1 FROM lineitem")
+def scaled_bands(spark, sf):
+    scene = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("scene")
+    stored = table(spark, sf, "lineitem").select(scene, F.col("l_extendedprice").alias("green"), F.col("l_quantity").alias("swir1"))
+    return C.scaled(stored, ["green", "swir1"]).withColumns({c: F.round(c, 8) for c in ("green", "swir1")})
+
+
+@query(f"""WITH {OBS} SELECT scene, year FROM obs WHERE year BETWEEN {START - 1} AND {END + 1} AND product = 'O' AND swir1 <= 30""")
+def scene_metadata(spark, sf):
+    rows = observations(spark, sf).withColumnsRenamed({"product": "maturity"}).withColumn("gqa_iterative_mean_xy", F.col("swir1") / 30)
+    return good_scenes(rows, START, END, "O").select("scene", "year")
+
+
+@query("""SELECT 'a' AS sensor, l_orderkey * 10 + l_linenumber AS scene, l_quantity AS swir1, NULL::DOUBLE AS green FROM lineitem
 UNION ALL SELECT 'b', o_orderkey, NULL, o_totalprice FROM orders""")
 def collate_sensors(spark, sf):
-    a = table(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("scene"), F.col("l_quantity").alias("swir1"))
+    scene = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    a = table(spark, sf, "lineitem").select(scene.alias("scene"), F.col("l_quantity").alias("swir1"))
     b = table(spark, sf, "orders").select(F.col("o_orderkey").alias("scene"), F.col("o_totalprice").alias("green"))
     return C.collate({"a": a, "b": b}).select("sensor", "scene", "swir1", "green")
 

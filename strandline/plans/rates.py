@@ -148,6 +148,15 @@ def rates_of_change(spark, sf):
     return out.select("uid", "rate_time", "sig_time", "se_time", "outl_time", "valid_obs", "valid_span", "sce", "nsm", "max_year", "min_year", "certainty")
 
 
+@query(f"""WITH {_CERT} SELECT uid::VARCHAR AS uid, round_even(abs(rate_time), 2)::DECIMAL(8, 2) AS wms_abs, round_even(se_time * 1.96, 1)::DECIMAL(8, 1) AS wms_conf,
+  (rate_time < 0)::INT AS wms_grew, (rate_time > 0)::INT AS wms_retr, (sig_time <= 0.01)::INT AS wms_sig, (certainty = 'good')::INT::DECIMAL(8, 2) AS wms_good, certainty FROM cert""")
+def wms_sink(spark, sf):
+    from strandline.sinks import sink_view
+
+    out = R.wms_fields(_certain(spark, sf))
+    return sink_view(out.select("uid", "wms_abs", "wms_conf", "wms_grew", "wms_retr", "wms_sig", "wms_good", "certainty"))
+
+
 _YEARS = range(FIRST, LAST + 1)
 
 

@@ -264,6 +264,54 @@ def bearing_rays(spark, sf):
     return _r(out, "ex", "ey", "azimuth", "along_x", digits=4)
 
 
-@query(None)
+def rays_sql(segs: str) -> str:
+    """CTEs: transects of the segments of a CTE, as ``ray``."""
+    return f"""tot AS (SELECT line, max(stop) AS total FROM {segs} GROUP BY line HAVING max(stop) > 40),
+stp AS (SELECT line, 20.0::DOUBLE + k * 200.0::DOUBLE AS pos FROM (SELECT line, unnest(range(0, floor((total - 20) / 200)::BIGINT + 1)) AS k FROM tot)),
+fnd AS (SELECT t.line, pos, e, x1 + (pos + e * 20 - start) / nullif(stop - start, 0) * (x2 - x1) AS x, y1 + (pos + e * 20 - start) / nullif(stop - start, 0) * (y2 - y1) AS y
+  FROM stp t, (VALUES (-1), (1)) v(e), {segs} s WHERE s.line = t.line AND pos + e * 20 >= start AND pos + e * 20 < stop),
+par AS (SELECT line, pos, max(x) FILTER (e = -1) AS ax, max(y) FILTER (e = -1) AS ay, max(x) FILTER (e = 1) AS bx, max(y) FILTER (e = 1) AS by_ FROM fnd GROUP BY line, pos),
+spn AS (SELECT *, sqrt((bx - ax) ^ 2 + (by_ - ay) ^ 2) AS sp FROM par),
+ray AS (SELECT line, pos, (ax + bx) / 2 - (by_ - ay) / sp * 200 AS sx, (ay + by_) / 2 + (bx - ax) / sp * 200 AS sy, (ax + bx) / 2 + (by_ - ay) / sp * 200 AS ex, (ay + by_) / 2 - (bx - ax) / sp * 200 AS ey
+  FROM spn WHERE sp > 0 AND sp <= 40 + 1e-6)"""
+
+
+_ENDS = ("sx", "sy", "ex", "ey")
+SHOWN_RAYS = ", ".join(f"round({c}, 4) + 0.0 AS {c}" for c in _ENDS)
+
+
+@query(f"WITH {_LINES}, {rays_sql('segs')} SELECT line, pos AS at, {SHOWN_RAYS} FROM ray")
 def transects(spark, sf):
-    return S.transects(_segments(spark, sf), ["line"], 400.0, 200.0, 20.0)
+    return _r(S.transects(_segments(spark, sf), ["line"], 400.0, 200.0, 20.0), *_ENDS, digits=4)
+
+
+@query("""WITH g AS (SELECT p_brand AS line, p_size % 8 AS part, count(DISTINCT (p_size, p_partkey % 3)) AS n, count(*) AS points FROM part GROUP BY 1, 2)
+SELECT line, part, n >= 2 AS valid, points FROM g""")
+def valid_lines(spark, sf):
+    place = geometry.point(F.col("p_size"), F.col("p_partkey") % 3)
+    lines = table(spark, sf, "part").groupBy(F.col("p_brand").alias("line"), (F.col("p_size") % 8).alias("part")).agg(F.collect_list(place).alias("points"))
+    return lines.select("line", "part", geometry.line_is_valid(F.col("points")).alias("valid"), F.size("points").cast("bigint").alias("points"))
+
+
+@query("""SELECT p_brand AS line, count(DISTINCT p_size % 8) AS parts, count(*) AS points, sum(p_size)::BIGINT AS total FROM part GROUP BY 1""")
+def dissolved_lines(spark, sf):
+    place = geometry.point(F.col("p_size"), F.col("p_partkey") % 3)
+    lines = table(spark, sf, "part").groupBy(F.col("p_brand").alias("line"), (F.col("p_size") % 8).alias("part")).agg(F.collect_list(place).alias("points"))
+    every = F.flatten("parts")
+    total = F.aggregate(every, F.lit(0.0), lambda acc, p: acc + p["x"]).cast("bigint")
+    return S.dissolve(lines, ["line"]).select("line", F.size("parts").cast("bigint").alias("parts"), F.size(every).cast("bigint").alias("points"), total.alias("total"))
+
+
+@query(f"""WITH {_LINES}, {_XY}, {_POLY}, sc AS (SELECT line, seg, x1 * 1.6 AS x1, y1 * 14 AS y1, x2 * 1.6 AS x2, y2 * 14 AS y2 FROM segs),
+ct AS (SELECT line, seg, ((ax - x1) * (by_ - ay) - (ay - y1) * (bx - ax)) / nullif((x2 - x1) * (by_ - ay) - (y2 - y1) * (bx - ax), 0) AS t,
+  ((ax - x1) * (y2 - y1) - (ay - y1) * (x2 - x1)) / nullif((x2 - x1) * (by_ - ay) - (y2 - y1) * (bx - ax), 0) AS u FROM sc, edge),
+al AS (SELECT DISTINCT line, seg, t FROM ct WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 UNION SELECT line, seg, unnest([0.0, 1.0]) FROM sc),
+iv AS (SELECT line, seg, t AS ta, lead(t) OVER (PARTITION BY line, seg ORDER BY t) AS tb FROM al),
+md AS (SELECT iv.*, x1 + (ta + tb) / 2 * (x2 - x1) AS px, y1 + (ta + tb) / 2 * (y2 - y1) AS py, sqrt((x2 - x1) ^ 2 + (y2 - y1) ^ 2) AS len FROM iv JOIN sc USING (line, seg) WHERE tb IS NOT NULL),
+ins AS (SELECT m.line, m.seg, m.ta FROM md m JOIN edge e ON (ay > py) <> (by_ > py) AND px < (bx - ax) * (py - ay) / (by_ - ay) + ax GROUP BY m.line, m.seg, m.ta, e.name HAVING count(*) % 2 = 1)
+SELECT line, round(sum((tb - ta) * len), 3) + 0.0 AS length FROM md WHERE (line, seg, ta) NOT IN (SELECT (line, seg, ta) FROM ins) GROUP BY line""")
+def lines_outside(spark, sf):
+    parts = _segments(spark, sf).select("line", "seg", *((F.col(c) * k).alias(c) for c, k in (("x1", 1.6), ("y1", 14.0), ("x2", 1.6), ("y2", 14.0))))
+    out = S.split_lines(parts, _polygons(spark), ["name"], outside=True).where("name is null")
+    length = F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))
+    return _r(out.groupBy("line").agg(length.alias("length")), "length", digits=3)

@@ -22,12 +22,29 @@ def annual_rasters(spark: SparkSession, path: str, start: int = 1988, end: int =
 
 def pixels(spark: SparkSession, path: str, tile: str, start: int, end: int, maturity: str | None = "final", quality: tuple[float, float] = (0, 1)) -> DataFrame:
     """Observations of a tile, a year before and after included; all limits are pushed to the scan."""
-    df = spark.read.parquet(path).where((F.col("tile") == tile) & F.col("time").between(f"{start - 1}-01-01", f"{end + 1}-12-31 23:59:59"))
+    return good_scenes(spark.read.parquet(path).where(F.col("tile") == tile), start, end, maturity, quality)
+
+
+def good_scenes(df: DataFrame, start: int, end: int, maturity: str | None = "final", quality: tuple[float, float] = (0, 1)) -> DataFrame:
+    """Observations from the year before ``start`` to the year after ``end``, of scenes of a maturity and a geometric quality."""
+    df = df.where(F.col("time").between(f"{start - 1}-01-01", f"{end + 1}-12-31 23:59:59"))
     if maturity is not None and "maturity" in df.columns:
         df = df.where(F.col("maturity") == maturity)
     return df.where(F.col("gqa_iterative_mean_xy").between(*quality)) if "gqa_iterative_mean_xy" in df.columns else df
 
 
+def grid_of(obs: DataFrame) -> DataFrame:
+    """Where the cells of each tile lie: a centre is at ``x0 + dx * xi, y0 + dy * yi``."""
+    sums = [f(*c).alias(n) for c, names in (((F.col("x"), F.col("xi")), ("dx", "x0")), ((F.col("y"), F.col("yi")), ("dy", "y0"))) for f, n in zip((F.regr_slope, F.regr_intercept), names, strict=True)]
+    return obs.groupBy("tile").agg(*sums)
+
+
+def place_of(spark: SparkSession, path: str, size: float = 30.0) -> dict[str, float]:
+    """The numbers of a table that ``grid_of`` made for one tile; cells of the given size from 0 where it can't tell."""
+    row = spark.read.parquet(path).first()
+    return {c: (0.0 if c.endswith("0") else size) if row is None or row[c] is None else row[c] for c in ("x0", "dx", "y0", "dy")}
+
+
 def geojson(spark: SparkSession, path: str, bbox: Sequence[float] | None = None, by_line: bool = False) -> DataFrame:
     """``properties`` (map) and ``points`` (array of x, y: a point, a line or a polygon's outer ring) of each feature.
 

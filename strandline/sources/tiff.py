@@ -102,8 +102,12 @@ def rasters(spark: SparkSession, path: str, start: int = 1988, end: int = 2021,
     return files.select("tile", "year", "content").mapInPandas(run, BLOCK)
 
 
-def encoded(blocks: DataFrame, kind: str = "float32", nodata: float | None = None, size: float = 30.0) -> DataFrame:
-    """``tile, year, content``: each block as a TIFF file, for a writer that puts bytes in a store."""
+def encoded(blocks: DataFrame, kind: str = "float32", nodata: float | None = None, size: float = 30.0, place: dict | None = None) -> DataFrame:
+    """``tile, year, content``: each block as a TIFF file, for a writer that puts bytes in a store.
+
+    ``place`` tells where the cells' centres lie; without it they are counted from 0, rows to the south.
+    """
+    at = place or {"x0": size / 2, "dx": size, "y0": -size / 2, "dy": -size}
 
     def run(batches):
         for pdf in batches:
@@ -111,7 +115,7 @@ def encoded(blocks: DataFrame, kind: str = "float32", nodata: float | None = Non
             for row in pdf.itertuples():
                 data = array_of(row)
                 data = data if nodata is None else np.where(np.isnan(data), nodata, data)
-                files.append(encode(data.astype(kind), row.x0 * size, -row.y0 * size, size, nodata))
+                files.append(encode(data.astype(kind), at["x0"] + (row.x0 - 0.5) * at["dx"], at["y0"] + (row.y0 - 0.5) * at["dy"], abs(at["dx"]), nodata))
             yield pd.DataFrame({"tile": pdf.tile, "year": pdf.year, "content": files})
 
     return blocks.mapInPandas(run, "tile string, year int, content binary")

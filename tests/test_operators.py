@@ -231,7 +231,11 @@ def test_accuracy_weights_and_bias(spark):
     df = spark.createDataFrame([(1.0, 0.0, 2), (3.0, 1.0, 3)], "v double, s double, n int")
     r = one(A.accuracy(df, "v", "s", weight="n"))
     assert (r.n, r.mae, r.bias) == (5, 1.5, 1.5)
-    assert one(A.accuracy(df, "v", "s", remove_bias=True)).bias == 0.0
+    r = one(A.accuracy(df, "v", "s", remove_bias=True))
+    assert (r.bias, r.mae, r.rmse) == (1.5, 0.5, 0.5)
+    figures = spark.createDataFrame([(10.0, 7.0, "a"), (12.0, 8.0, "a"), (9.0, 8.0, "a"), (1.0, 5.0, "b")], "v double, s double, k string")
+    assert one(A.accuracy(figures.where("k = 'a'"), "v", "s", remove_bias=True)).bias == 2.67
+    assert {r.k: (r.bias, r.mae) for r in A.accuracy(figures, "v", "s", ["k"], remove_bias=True).collect()} == {"a": (2.67, 1.11), "b": (-4.0, 0.0)}
     r = one(A.accuracy(df.limit(1), "v", "s"))
     assert r.stdev is None and r["corr"] is None
 
