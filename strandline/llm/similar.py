@@ -8,12 +8,12 @@ probability (1 - 0.8^4)^16 = 0.0002, more similar ones less. A pair is linked if
 ``SIMILAR`` (a fraction of whole numbers).
 
 All pairs of a bucket of up to ``BUCKET`` classes are compared, but those whose sizes rule a link out. In a larger one a few
-representatives are compared with all its classes; then the classes outside the bucket's largest component are compared
-with all classes of other components: all of them at once where that is little work (``FEW`` pairs for each class of
-the table), else some at a time, until each is in it or has been compared. Pairs inside a component are not needed, so a large group
-of near copies makes pairs in proportion to its size, and yet no link between classes of a common bucket is lost. Only a
-large bucket of classes that are not similar costs more; its pairs are first compared by ``SLICES`` bits of each minimum: at
-least ``AGREE`` of the 64 must be equal (at a similarity of 0.8 fewer are with a probability of 0.00002).
+representatives, those in most large buckets first, are compared with all its classes. Then the classes that are outside the
+largest component of a large bucket are a query set: block by block (``MOST_SHINGLES``), with an index of the block's
+shingles that is broadcast, all classes of large buckets are held against it, and each gives at most one link for a query
+and a component. So a large group makes pairs in proportion to its size, and yet no link between classes of a common bucket is
+lost. Pairs are first compared by ``SLICES`` bits of each minimum: at least ``AGREE`` of the 64 must be equal (at a
+similarity of 0.8 fewer are with a probability of 0.00001).
 
 Defined results: null text and text without words are one class; otherwise as in ``simhash``.
 """
@@ -28,12 +28,14 @@ from strandline.llm.graph import components
 from strandline.llm.text import ASCII_LOWER, encoded, map_batches, text_column, type_of
 from strandline.storage import durable
 
-WIDTH, SEED, BANDS, ROWS, BUCKET, REPS, FEW, AGREE = 5, 42, 16, 4, 32, 4, 256, 37
+WIDTH, SEED, BANDS, ROWS, BUCKET, REPS, AGREE = 5, 42, 16, 4, 32, 4, 37
 SLICES = 6
 #: 0.8 as a fraction.
 SIMILAR = (4, 5)
 #: Shingles at a time, words that a worker remembers, rows that are broadcast.
 BLOCK, CACHE, BROADCAST_ROWS = 1 << 10, 200_000, 200_000
+#: Shingles of the queries in a block (16 bytes each), and blocks that are answered in one pass.
+MOST_SHINGLES, MOST_BLOCKS = 2_000_000, 8
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = _RNG.integers(0, 1 << 63, WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,30 +149,69 @@ def _broadcast(rows: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame | None]:
-    """``u, v`` (u < v): the pairs of small buckets; and the rows ``key, fp, n, sketch, size`` of larger buckets, if there are any."""
+    """``u, v`` (u < v): the pairs of small buckets; and the rows ``key, fp, n`` of larger buckets, if there are any."""
     rows = durable(classes.select(F.explode("keys").alias("key"), "fp", "n"), "buckets")
-    hot = durable(rows.groupBy("key").agg(F.count("*").cast("int").alias("size")).where(F.col("size") > bucket), "hot-buckets")
+    hot = durable(rows.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > bucket).select("key"), "hot-buckets")
     if not hot.limit(1).count():
         return _paired(rows), None
     known = _broadcast(hot)
-    return _paired(rows.join(known, "key", "left_anti")), durable(rows.join(known, "key").join(classes.select("fp", "sketch"), "fp"), "hot-rows")
+    return _paired(rows.join(known, "key", "left_anti")), durable(rows.join(known, "key", "left_semi"), "hot-rows")
+
+
+def _star_pairs(hot: DataFrame) -> DataFrame:
+    """Pairs of up to ``REPS`` rows of each large bucket with all its rows that can be similar."""
+    busy = hot.groupBy("fp").agg(F.count("*").alias("busy"))
+    part = F.pmod(F.xxhash64("fp"), F.lit(REPS))
+    first = F.min(F.struct(-F.col("busy"), F.col("fp").alias("rep"), F.col("n").alias("rep_n"))).alias("row")
+    reps = durable(hot.join(busy, "fp").groupBy("key", part.alias("part")).agg(first).select("key", "row.rep", "row.rep_n"), "representatives")
+    both = hot.join(_broadcast(reps), "key").where((F.col("fp") != F.col("rep")) & _near_in_size(F.col("n"), F.col("rep_n")))
+    return both.select(F.least("fp", "rep").alias("u"), F.greatest("fp", "rep").alias("v"))
+
+
+class Index:
+    """The shingles of some sets, for their similarity with others."""
+
+    def __init__(self, fps: np.ndarray, roots: np.ndarray, sizes: np.ndarray, shingles: np.ndarray):
+        order = np.argsort(shingles, kind="stable")
+        self.fps, self.roots, self.sizes = fps, roots, sizes
+        self.shingles, self.owner = shingles[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+
+    def links(self, root: int, shingles: np.ndarray) -> np.ndarray:
+        """Numbers of the sets of other components that are similar to a set."""
+        low, high = np.searchsorted(self.shingles, shingles, "left"), np.searchsorted(self.shingles, shingles, "right")
+        n = high - low
+        at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))
+        either = self.sizes + len(shingles) - common
+        return np.flatnonzero((common * SIMILAR[1] >= either * SIMILAR[0]) & (self.roots != root))
+
+
+def _answered(rows: DataFrame, block: DataFrame) -> DataFrame:
+    """``u, v``: links of the queries ``fp, root, shingles`` of a block, of a bounded size, with rows of other components."""
+    got = block.toArrow()
+    sets = got["shingles"].combine_chunks() if got.num_rows else None
+    parts = (
+        got["fp"].to_numpy(), got["root"].to_numpy(), np.diff(sets.offsets.to_numpy()) if got.num_rows else np.zeros(0, np.int64),
+        sets.flatten().to_numpy() if got.num_rows else np.zeros(0, np.int64),
+    )
+    sent = rows.sparkSession.sparkContext.broadcast(parts)
 
+    def make():
+        index, told = Index(*sent.value), set()
 
-def _proposed(placed: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of the rows ``reps`` with all rows of their bucket that are of other components and can be similar."""
-    near = _broadcast(reps.select("key", *(F.col(c).alias(f"rep_{c}") for c in ("fp", "n", "sketch", "root"))))
-    # a bucket lies in few files, so its rows are dealt out
-    dealt = placed.repartition(2 * placed.sparkSession.sparkContext.defaultParallelism)
-    both = dealt.join(near, "key").where((F.col("root") != F.col("rep_root")) & _near_in_size(F.col("n"), F.col("rep_n")))
-    both = both.where(_unlike(F.col("sketch"), F.col("rep_sketch")) <= len(_FACTORS) - AGREE)
-    return both.select(F.least("fp", "rep_fp").alias("u"), F.greatest("fp", "rep_fp").alias("v"))
+        def work(batch):
+            u, v = [], []
+            for fp, root, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                for k in index.links(root, shingles.values.to_numpy()):
+                    if (k, root) not in told:
+                        told.add((k, root))
+                        u.append(int(index.fps[k]))
+                        v.append(fp)
+            return [u, v]
 
+        return work
 
-def _chosen(left: DataFrame, parts: int) -> DataFrame:
-    """Up to ``parts`` rows of each bucket."""
-    row = F.struct("fp", "n", "root", "sketch")
-    chosen = left.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")).agg(F.min(row).alias("row"))
-    return durable(chosen.select("key", "row.*"), "representatives")
+    return map_batches(rows, make, "u long, v long")
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -191,7 +232,11 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> D
     return rows.groupBy("fp").agg(F.any_value("shingles").alias("shingles"))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that are similar; their sketches are compared before the sets travel."""
+    for side in "uv":
+        pairs = pairs.join(sketches.select(F.col("fp").alias(side), F.col("sketch").alias(f"_{side}")), side)
+    pairs = pairs.where(_unlike(F.col("_u"), F.col("_v")) <= len(_FACTORS) - AGREE).select("u", "v")
     both = pairs.join(sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u")
     both = both.join(sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
@@ -211,39 +256,48 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 def linked(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """``node, root``: the components of the classes ``fp, n, rep, keys, sketch`` that have links, over all pairs of a common bucket."""
     pairs, hot = buckets(classes, bucket)
-    placed = reps = None
     if hot is not None:
-        placed = hot.withColumn("root", F.col("fp"))
-        reps = _chosen(placed, REPS)
-        pairs = pairs.unionByName(_proposed(placed, reps))
+        pairs = pairs.unionByName(_star_pairs(hot))
     pairs = durable(pairs.distinct(), "candidates")
     nodes = pairs.select(F.col("u").alias("fp")).unionByName(pairs.select(F.col("v").alias("fp")))
     nodes = (nodes if hot is None else nodes.unionByName(hot.select("fp"))).distinct()
-    wanted = durable(classes.select("fp", "rep").join(nodes, "fp", "left_semi"), "wanted")
-    sets = durable(sets_of(docs, id_col, text_col, wanted), "shingle-sets")
-    roots = durable(components(_similar(pairs, sets)), "roots")
-    if hot is None:
-        return roots
-    most, parts, done = FEW * classes.count(), REPS, reps.select("key", "fp")
+    wanted = durable(classes.select("fp", "rep", "sketch").join(nodes, "fp", "left_semi"), "wanted")
+    sets = durable(sets_of(docs, id_col, text_col, wanted.select("fp", "rep")), "shingle-sets")
+    roots = durable(components(_similar(pairs, wanted, sets)), "roots")
+    return roots if hot is None else _settled(roots, hot, sets)
+
+
+def _settled(roots: DataFrame, hot: DataFrame, sets: DataFrame) -> DataFrame:
+    """The components after the classes outside of the largest component of a large bucket were held against all classes of such."""
+    every = durable(sets.join(hot.select("fp").distinct(), "fp", "left_semi"), "hot-sets")
+    done = None
     while True:
         own = roots.withColumnRenamed("node", "fp")
-        placed = durable(hot.join(own, "fp", "left").select("key", "fp", "n", "sketch", "size", F.coalesce("root", "fp").alias("root")), "placed")
+        placed = hot.join(own, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
         main = placed.groupBy("key", "root").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
-        left = placed.join(main, "key").where("root <> main").join(done, ["key", "fp"], "left_anti").drop("main")
-        left = durable(left, "left")
-        work = left.agg(F.sum(F.col("size").cast("long")).alias("n")).first().n
-        if not work:
+        left = placed.join(main, "key").where("root <> main").select("fp").distinct()
+        left = durable(left if done is None else left.join(done, "fp", "left_anti"), "left")
+        rows = every.join(own, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "shingles")
+        asked = durable(rows.join(left, "fp", "left_semi"), "queries")
+        size = asked.agg(F.sum(F.size("shingles").cast("long")).alias("n")).first().n
+        if not size:
             return roots
-        if work <= most:
-            reps = left
-        else:
-            parts *= 8
-            reps = _chosen(left, parts)
-        pairs = durable(_proposed(placed, reps).distinct(), "candidates")
-        roots = _joined(roots, _similar(pairs, sets))
-        if reps is left:
+        blocks = -(-size // MOST_SHINGLES)
+        part = F.pmod(F.xxhash64("fp"), F.lit(blocks))
+        # what these find may settle some of the others
+        now = min(blocks, MOST_BLOCKS)
+        # classes lie in few files, so they are dealt out
+        rows = rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
+        found = _answered(rows, asked.where(part == 0))
+        for k in range(1, now):
+            found = found.unionByName(_answered(rows, asked.where(part == k)))
+        found = durable(found, "found")
+        if found.limit(1).count():
+            roots = _joined(roots, found)
+        if now == blocks:
             return roots
-        done = done.unionByName(reps.select("key", "fp"))
+        answered = asked.where(part < now).select("fp")
+        done = answered if done is None else done.unionByName(answered)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from strandline.llm import similar, simhash
 
@@ -93,8 +95,9 @@ def test_sketches_tell_minima_apart(spark):
 
 
 def test_rounds_of_large_buckets(spark, monkeypatch):
-    """Large buckets of texts that are not all alike, with few pairs at a time."""
-    monkeypatch.setattr(similar, "FEW", 0)
+    """Large buckets of texts that are not all alike, with few queries at a time."""
+    monkeypatch.setattr(similar, "MOST_SHINGLES", 500)
+    monkeypatch.setattr(similar, "MOST_BLOCKS", 2)
     monkeypatch.setattr(similar, "REPS", 1)
     rng = random.Random(9)
     body, texts = [f"w{i}" for i in range(60)], {}
@@ -110,3 +113,14 @@ def test_rounds_of_large_buckets(spark, monkeypatch):
     for a in texts:
         for b in texts:
             assert (want[a] == want[b]) == (root.get(own[a], own[a]) == root.get(own[b], own[b]))
+
+
+def test_index_finds_similar_sets():
+    rng = random.Random(2)
+    sets = [np.array(sorted(rng.sample(range(30), rng.randrange(8, 25))), np.int64) for _ in range(40)]
+    index = similar.Index(np.arange(40), np.arange(40) % 7, np.array([len(s) for s in sets]), np.concatenate(sets))
+    for k, own in enumerate(sets):
+        want = [j for j, s in enumerate(sets) if j % 7 != k % 7 and 5 * len(set(s) & set(own)) >= 4 * len(set(s) | set(own))]
+        assert index.links(k % 7, own).tolist() == want
+    empty = similar.Index(*(np.zeros(0, np.int64) for _ in range(4)))
+    assert empty.links(1, sets[0]).tolist() == []
