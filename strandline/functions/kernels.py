@@ -1,5 +1,7 @@
 """Raster kernels in numpy: plain functions of two- or three-dimensional arrays, run on executors."""
 
+import heapq
+
 import numpy as np
 
 
@@ -88,39 +90,49 @@ def touching(mask: np.ndarray, seed: np.ndarray, diagonal: bool = False) -> np.n
 
 
 def sieve(values: np.ndarray, least: int) -> np.ndarray:
-    """Regions of fewer than ``least`` cells take the value of their largest neighbour region, smallest regions first."""
+    """Regions of fewer than ``least`` cells take the value of their largest neighbour region, smallest regions first.
+
+    A region that has taken a value is one with the neighbours of that value from then on, so no small region is left that
+    has a neighbour.
+    """
     out = values.copy()
     label = components(out)
     ids, where, size = np.unique(label, return_inverse=True, return_counts=True)
     where = where.reshape(values.shape)
     if len(ids) < 2 or size.min() >= least:
         return out
-    pairs = set()
+    beside: dict[int, set[int]] = {}
     for a, b in ((where[:, :-1], where[:, 1:]), (where[:-1], where[1:])):
         differ = a != b
-        both = np.unique(np.stack([a[differ], b[differ]], axis=1), axis=0)
-        pairs.update((int(p), int(q)) for p, q in both)
-    beside: dict[int, set[int]] = {}
-    for p, q in pairs:
-        beside.setdefault(p, set()).add(q)
-        beside.setdefault(q, set()).add(p)
-    value = values.ravel()[ids].tolist()
-    merged = list(value)
-    for k in np.argsort(size, kind="stable"):
-        near = beside.get(int(k), set())
-        if size[k] < least and near:
-            best = max(near, key=lambda n: (size[n], -n))
-            if size[best] >= size[k]:
-                merged[int(k)] = merged[best]
-                own = int(k)
-                for n in near - {best}:  # the neighbour takes over the small region's neighbours
-                    beside[n].discard(own)
-                    if merged[n] != merged[best] or size[n] < least:
-                        beside[n].add(best)
-                        beside[best].add(n)
-                size[best] += size[k]
-                beside[best].discard(own)
-    return np.array(merged, values.dtype)[where]
+        for p, q in np.unique(np.stack([a[differ], b[differ]], axis=1), axis=0).tolist():
+            beside.setdefault(p, set()).add(q)
+            beside.setdefault(q, set()).add(p)
+    value, size, into = values.ravel()[ids].tolist(), size.tolist(), list(range(len(ids)))
+
+    def find(k: int) -> int:
+        while into[k] != k:
+            into[k] = into[into[k]]
+            k = into[k]
+        return k
+
+    small = [(n, k) for k, n in enumerate(size) if n < least]
+    heapq.heapify(small)
+    while small:
+        n, k = heapq.heappop(small)
+        if into[k] != k or size[k] != n:
+            continue
+        near = {find(m) for m in beside.get(k, ())} - {k}
+        if not near:
+            continue
+        best = max(near, key=lambda m: (size[m], -m))
+        for m in (k, *(m for m in near if m != best and value[m] == value[best])):
+            into[m] = best
+            size[best] += size[m]
+            beside[best] |= beside.pop(m)
+        if size[best] < least:
+            heapq.heappush(small, (size[best], best))
+    final = [value[find(k)] for k in range(len(ids))]
+    return np.array(final, values.dtype)[where]
 
 
 def ocean_mask(water: np.ndarray, ocean: np.ndarray, dilation: int | None = None) -> np.ndarray:
