@@ -11,7 +11,7 @@ import traceback
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline import sinks
+from strandline import published, sinks
 from strandline.functions import geodesy
 from strandline.functions.numbers import let
 from strandline.functions.statistics import circular
@@ -169,8 +169,8 @@ def certain_parts(lines: DataFrame, combined: DataFrame) -> DataFrame:
     return parts.withColumn("certainty", C.certainty_name(F.coalesce("class", F.lit(0)), F.col("year"), F.lit(None).cast("double"))).withColumn("tide_datum", F.lit("0.0 m AMSL")).drop("class")
 
 
-def published_lines(spark: SparkSession, parts: DataFrame, root: str, place: dict) -> DataFrame:
-    """A feature for each year, certainty and region: the runs of segments that share them, in degrees."""
+def line_features(spark: SparkSession, parts: DataFrame, root: str, place: dict) -> DataFrame:
+    """A feature for each year, certainty and region: the runs of segments that share them, on the plane and in degrees."""
     line = ["tile", "year", "line"]
     w = Window.partitionBy(*line).orderBy("seg")
     new = F.coalesce(F.lag("certainty").over(w) != F.col("certainty"), F.lit(True))
@@ -179,22 +179,32 @@ def published_lines(spark: SparkSession, parts: DataFrame, root: str, place: dic
     last = F.max(F.struct("seg", F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")).alias("p")))
     runs = runs.groupBy(*line, "_run", "certainty", "tide_datum").agg(F.array_sort(F.collect_list(vertex)).alias("_v"), last.alias("_l"))
     cells = F.concat(F.transform("_v", lambda v: v["p"]), F.array(F.col("_l.p")))
-    runs = runs.withColumn("points", F.transform(cells, lambda p: let(degrees(p["x"], p["y"], place), lambda d: F.struct(d["lon"].alias("x"), d["lat"].alias("y")))))
-    first = on_plane(F.get(cells, F.lit(0))["x"], F.get(cells, F.lit(0))["y"], place)
-    runs = runs.withColumns({"px": first[0], "py": first[1]})
+
+    def moved(p: Column) -> Column:
+        x, y = on_plane(p["x"], p["y"], place)
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def turned(p: Column) -> Column:
+        return let(geodesy.albers_inverse(p["x"], p["y"]), lambda d: F.struct(d["lon"].alias("x"), d["lat"].alias("y")))
+
+    runs = runs.withColumn("plane", F.transform(cells, moved))
+    runs = runs.withColumns({"turned": F.transform("plane", turned), "px": F.get("plane", F.lit(0))["x"], "py": F.get("plane", F.lit(0))["y"]})
     if sinks.exists(spark, f"{root}/regions"):
         named = S.in_polygons(runs.select(*line, "_run", "px", "py"), spark.read.parquet(f"{root}/regions"), ["id_primary"])
         runs = runs.join(named.groupBy(*line, "_run").agg(F.min("id_primary").alias("id_primary")), [*line, "_run"])
     else:
         runs = runs.withColumn("id_primary", F.lit(None).cast("string"))
-    each = runs.groupBy("tile", "year", "certainty", "tide_datum", "id_primary").agg(F.array_sort(F.collect_list("points")).alias("lines"))
-    return sinks.sink_view(each.select("year", "certainty", "tide_datum", "id_primary", sinks.lines_json(F.col("lines")).alias("geometry")))
+    lists = (F.array_sort(F.collect_list(c)).alias(c) for c in ("plane", "turned"))
+    return runs.groupBy("tile", "year", "certainty", "tide_datum", "id_primary").agg(*lists)
+
+
+def named_points(points: DataFrame) -> DataFrame:
+    return points.withColumnsRenamed(NAMES).withColumn("outl_time", F.array_join("outliers", " ")).drop("outliers", "incpt")
 
 
 def published_points(points: DataFrame) -> DataFrame:
     place = sinks.geometry_json("Point", F.col("lon"), F.col("lat")).alias("geometry")
-    named = points.withColumnsRenamed(NAMES).withColumn("outl_time", F.array_join("outliers", " "))
-    return sinks.sink_view(named.select("*", place).drop("outliers", "incpt", "tile", "px", "py", "x", "y", "lon", "lat"))
+    return sinks.sink_view(named_points(points).select("*", place).drop("tile", "px", "py", "x", "y", "lon", "lat"))
 
 
 def with_facts(spark: SparkSession, points: DataFrame, root: str) -> DataFrame:
@@ -239,8 +249,10 @@ def vector(spark: SparkSession, a) -> None:
     moves = spark.read.parquet(f"{out}/movements/{a.study_area}")
     sinks.write_table(certain_parts(lines, combined), f"{out}/shoreline_parts/{a.study_area}")
     sinks.write_table(spark.read.parquet(f"{source}/grid/{a.study_area}"), f"{out}/grid/{a.study_area}")
-    shown = published_lines(spark, spark.read.parquet(f"{out}/shoreline_parts/{a.study_area}"), a.root, place)
-    sinks.write_geojson(shown, f"{out}/annualshorelines/{a.study_area}.geojson")
+    sinks.write_table(line_features(spark, spark.read.parquet(f"{out}/shoreline_parts/{a.study_area}"), a.root, place), f"{out}/shoreline_features/{a.study_area}")
+    shown = spark.read.parquet(f"{out}/shoreline_features/{a.study_area}")
+    sinks.write_geojson(sinks.sink_view(shown.drop("tile", "plane").withColumn("geometry", sinks.lines_json(F.col("turned"))).drop("turned")), f"{out}/annualshorelines/{a.study_area}.geojson")
+    write_shapes(shown.drop("turned").withColumnRenamed("plane", "parts"), "annualshorelines", False, f"{out}/shapefiles")
     table = R.rate_table(moves, ["uid"], a.start_year)
     mean, std = circular(F.col("angle"))
     points = moves.groupBy("tile", "uid").agg(
@@ -254,7 +266,20 @@ def vector(spark: SparkSession, a) -> None:
         F.array_contains("outliers", a.baseline_year), F.coalesce("rocky", F.lit(False)), F.col("rate"), F.col("angle_std"), F.col("valid_obs"), a.end_year - a.start_year + 1
     )
     sinks.write_table(both.withColumn("certainty", sure).drop("rocky"), f"{out}/points/{a.study_area}")
-    sinks.write_geojson(published_points(spark.read.parquet(f"{out}/points/{a.study_area}")), f"{out}/ratesofchange/{a.study_area}.geojson")
+    shown = spark.read.parquet(f"{out}/points/{a.study_area}")
+    sinks.write_geojson(published_points(shown), f"{out}/ratesofchange/{a.study_area}.geojson")
+    write_shapes(point_parts(named_points(shown), "x", "y").drop("lon", "lat", "px", "py"), "ratesofchange", True, f"{out}/shapefiles")
+
+
+def point_parts(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.withColumn("parts", F.array(F.array(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))))).drop(x, y)
+
+
+def write_shapes(df: DataFrame, layer: str, points: bool, folder: str, by: str = "tile", package: bool = False) -> None:
+    """A zipped shapefile, or a GeoPackage, for each study area."""
+    shown = sinks.sink_view(df, {by: "string(40)"}, keep=("parts",))
+    path = F.concat(F.lit(f"{folder}/{layer}_"), F.col(by), F.lit(".gpkg" if package else ".zip"))
+    sinks.write_files(published.files(shown, by, layer, points, path, package))
 
 
 def placed_cells(df: DataFrame, grids: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
@@ -295,10 +320,13 @@ def continental(spark: SparkSession, a) -> None:
         named = rows.withColumnsRenamed(NAMES)
         sinks.write_table(R.wms_fields(named), f"{out}/hotspots_zoom_{i + 1}")
         if a.shapefiles:
-            shown = spark.read.parquet(f"{out}/hotspots_zoom_{i + 1}").withColumn("_d", geodesy.albers_inverse(F.col("cx"), F.col("cy")))
-            shown = shown.withColumn("geometry", sinks.geometry_json("Point", F.col("_d.lon"), F.col("_d.lat"))).drop("_d", "cx", "cy")
-            lists = [c for c, kind in shown.dtypes if kind.startswith("array")]
-            sinks.write_geojson(sinks.sink_view(shown.drop(*lists, "incpt")), f"{out}/hotspots_zoom_{i + 1}.geojson")
+            shown = spark.read.parquet(f"{out}/hotspots_zoom_{i + 1}")
+            shown = shown.drop("incpt", *(c for c, kind in shown.dtypes if kind.startswith("array")))
+            turned = shown.withColumn("_d", geodesy.albers_inverse(F.col("cx"), F.col("cy"))).drop("cx", "cy")
+            turned = turned.withColumn("geometry", sinks.geometry_json("Point", F.col("_d.lon"), F.col("_d.lat"))).drop("_d")
+            sinks.write_geojson(sinks.sink_view(turned), f"{out}/hotspots_zoom_{i + 1}.geojson")
+            # the hotspots of a coast are few: one file
+            write_shapes(point_parts(shown, "cx", "cy").withColumn("zoom", F.lit(str(i + 1))), "hotspots_zoom", True, out, "zoom", True)
 
 
 def validate(spark: SparkSession, a) -> None:

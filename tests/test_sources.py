@@ -1,6 +1,7 @@
 import json
 import sqlite3
 import struct
+import zipfile
 import zlib
 
 import numpy as np
@@ -189,6 +190,17 @@ def test_stages_end_to_end(spark, scene, tmp_path):
     # 1.5 cells of 30 m each year, seaward
     assert abs(abs(rates[len(rates) // 2]) - 45) < 1
     assert run("continental", "--vector_version", "v1", "--baseline_year", "2006", "--hotspots_radius", "600") == 0
+    with zipfile.ZipFile(f"{scene}/vectors/v1/shapefiles/ratesofchange_1.zip") as z:
+        assert struct.unpack("<I", z.read("ratesofchange.dbf")[4:8])[0] == len(points) and struct.unpack("<i", z.read("ratesofchange.shp")[32:36])[0] == 1
+    with zipfile.ZipFile(f"{scene}/vectors/v1/shapefiles/annualshorelines_1.zip") as z:
+        assert struct.unpack("<i", z.read("annualshorelines.shp")[32:36])[0] == 3
+    assert all(len(p.uid) == 10 and 131 < p.lon < 133 for p in points) and len({p.uid for p in points}) == len(points)
+    lines = layers.geojson(spark, f"{scene}/continental/v1/shorelines.geojson", by_line=True)
+    assert {r.properties["year"] for r in lines.collect()} >= {str(y) for y in range(2001, 2007)} and lines.first().properties["tide_datum"] == "0.0 m AMSL"
+    values, nodata = tiff.decode(open(f"{scene}/rasters/v1/tiff/1/2003_mndwi.tif", "rb").read())
+    assert values.shape == (60, 90) and tiff.decode(open(f"{scene}/rasters/v1/tiff/1/2003_count_gapfill.tif", "rb").read())[0].max() == 18
+    spots = geopackage(spark, f"{scene}/continental/v1/hotspots_zoom_1.gpkg", "hotspots_zoom")
+    assert spots.count() == spark.read.parquet(f"{scene}/continental/v1/hotspots_zoom_1").count() and len(spots.first().properties["uid"]) == 11
     shown = layers.geojson(spark, f"{scene}/continental/v1/points.geojson", by_line=True)
     assert shown.count() == len(points) and "rate_time" in shown.first().properties
     assert spark.read.parquet(f"{scene}/continental/v1/hotspots_zoom_1").count() > 0
@@ -203,6 +215,8 @@ def test_stages_end_to_end(spark, scene, tmp_path):
     again = ["validation", "--config_path", str(tmp_path / "config.yaml"), "--vector_version", "v1", "--inputs_path", str(tmp_path / "surveys")]
     assert cli.main([*again, "--overwrite", "true", "--markdown_report", "true"], spark) == 0
     assert "| MAE | " in "\n".join(r.value for r in spark.read.text(f"{scene}/report/temp").collect())
+    survey = layers.geojson(spark, f"{scene}/validation/temp_survey.geojson", by_line=True)
+    assert survey.count() == spark.read.parquet(f"{scene}/validation/temp").count() and abs(survey.first().points[0].x - 132) < 0.1
     out = spark.read.parquet(f"{scene}/validation/temp")
     assert out.count() > 10 and out.agg(F.max(F.abs("error_m"))).first()[0] < 3
     assert spark.read.option("header", True).csv(f"{scene}/stats").count() == 1
