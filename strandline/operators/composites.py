@@ -144,6 +144,12 @@ def gapfill_select(annual: DataFrame, pooled: DataFrame, value: str, keys: Seque
     return joined.select(*keys, "year", *(F.when(known, F.when(own, F.col(c)).otherwise(F.col(f"_{c}"))).alias(c) for c in names))
 
 
+def aligned(tables: Mapping[str, DataFrame], keys: Sequence[str] = (*PIXEL, "year")) -> DataFrame:
+    """Tables side by side on their keys, with every cell that any has; a table's other columns get its name as a prefix."""
+    named = [df.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in keys)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.join(b, list(keys), "full"), named)
+
+
 def land(df: DataFrame, index: str, threshold: float = 0.0) -> DataFrame:
     """``land``: whether the index is below the threshold; unknown stays unknown."""
     return df.withColumn("land", F.col(index) < threshold)

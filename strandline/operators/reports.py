@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Limits of the classes of yearly change in metres, each closed on the right.
@@ -44,6 +44,41 @@ def share_change(shares: DataFrame, by: Sequence[str], cls: str, year: str = "ye
     return shares.withColumn("share_change", F.col("share") - before)
 
 
+# What the codes of a failed run mean; a run without a code was deleted, 0 is no error.
+ERROR_CODES = {"1": "error code 1", "137": "memory"}
+
+
+def workflow_runs(spark: SparkSession, text: str) -> DataFrame:
+    """``run_id, tile, duration, memory, finished, error`` of the nodes of a batch workflow's YAML, which is one small file.
+
+    Nodes without inputs and those whose first input is no tile (a parameter of the workflow) are left out; durations are
+    hours of the machine that the workflow asks for.
+    """
+    import yaml
+
+    data = yaml.safe_load(text)
+    asked = {p["name"]: p.get("value") for p in data["spec"]["arguments"]["parameters"]}
+    rows = []
+    for run, node in data["status"]["nodes"].items():
+        first = next(iter(node.get("inputs", {}).get("parameters", ())), {}).get("value")
+        if first is None or not str(first).isdigit():
+            continue
+        done, used = node.get("outputs"), node.get("resourcesDuration", {})
+        code = None if done is None else str(done["exitCode"])
+        error = "pod deleted" if code is None else None if code == "0" else ERROR_CODES.get(code, code)
+        hours = float(used["cpu"]) / 60 / int(asked["cpu-limit"]) if "cpu" in used and done is not None else None
+        rows.append((run, int(first), hours, used.get("memory"), str(node["finishedAt"]) if done is not None and "finishedAt" in node else None, error))
+    out = spark.createDataFrame(rows, "run_id string, tile int, duration double, memory long, finished string, error string")
+    return out.withColumn("finished", F.col("finished").try_cast("timestamp"))
+
+
+def run_status(runs: DataFrame, key: str = "tile") -> DataFrame:
+    """How each key ended: at once or after a retry, with success if any of its runs has no error."""
+    good, once = F.count("*") > F.count("error"), F.count("*") == 1
+    ended = F.when(good, "succeeded").otherwise("failed")
+    return runs.groupBy(key).agg(F.when(once, ended).otherwise(F.concat(ended, F.lit(" after retry"))).alias("status"))
+
+
 def longest_attempt(runs: DataFrame, key: str, duration: str) -> DataFrame:
     """Of each key the run that took longest (ties: the first by its id)."""
     w = Window.partitionBy(key).orderBy(F.desc_nulls_last(duration), "run_id")

@@ -135,8 +135,22 @@ def clip(points: DataFrame, polygons: DataFrame, key: str | None = None) -> Data
     return points.join(F.broadcast(polygons.select("ring")), ring_contains(F.col("ring"), F.col("px"), F.col("py")), "left_semi")
 
 
+def in_edited(points: DataFrame, areas: DataFrame, edits: DataFrame, key: str) -> DataFrame:
+    """The points (``key, px, py``) of a mask of areas with edits: those in an edit of type ``add``, and those in an area but
+    in no edit of type ``remove``. Polygons can be any number; each point meets its own cells.
+    """
+    kind = F.when(F.col("type") == "add", "add").otherwise("remove")
+    shapes = areas.select("ring", F.lit("area").alias("_kind")).unionByName(edits.where(F.col("type").isin("add", "remove")).select("ring", kind.alias("_kind")))
+    hits = polygon_hits(points.select(key, "px", "py"), shapes, ["_kind"])
+    held = {k: F.bool_or(F.col("_kind") == k) for k in ("area", "add", "remove")}
+    return hits.groupBy(key).agg((held["add"] | (held["area"] & ~held["remove"])).alias("_on")).where("_on").select(key)
+
+
 def segments(lines: DataFrame, line: Sequence[str], order: str = "ord", x: str = "x", y: str = "y") -> DataFrame:
-    """Vertices to segments ``seg, x1, y1, x2, y2`` with the chainage ``start, stop`` of their ends."""
+    """Vertices to segments ``seg, x1, y1, x2, y2`` with the chainage ``start, stop`` of their ends.
+
+    A line is one window, so its length bounds a task: lines are those of one tile or transect.
+    """
     w = Window.partitionBy(*line).orderBy(order)
     out = lines.withColumns({"x2": F.lead(x).over(w), "y2": F.lead(y).over(w), "seg": F.row_number().over(w)})
     out = out.where("x2 is not null").withColumn("_len", F.hypot(F.col("x2") - F.col(x), F.col("y2") - F.col(y)))

@@ -135,6 +135,14 @@ def gapfill_of_tables(spark, sf):
     return _rounded(C.gapfill_select(annual, C.pooled_composite(idx, "mndwi", START, END), "mndwi"), "mndwi", "stdev")
 
 
+@query(f"""WITH {_ANNUAL} SELECT tile, yi, xi, year, round(a.mndwi, 6) + 0.0 AS annual_mndwi, a.count AS annual_count, round(g.mndwi, 6) + 0.0 AS gapfill_mndwi, g.count AS gapfill_count
+FROM ann a FULL JOIN gap g USING (tile, yi, xi, year)""")
+def aligned_composites(spark, sf):
+    idx = _index(spark, sf)
+    both = {"annual": C.annual_composite(idx, "mndwi", START, END), "gapfill": C.pooled_composite(idx, "mndwi", START, END)}
+    return _rounded(C.aligned(both).drop("annual_stdev", "gapfill_stdev"), "annual_mndwi", "gapfill_mndwi")
+
+
 @query(f"WITH {_ANNUAL} {_SHOW} sel")
 def gapfill_select(spark, sf):
     return _rounded(_selected(spark, sf), "mndwi", "stdev")

@@ -8,6 +8,7 @@ from strandline.functions import geodesy, geometry
 from strandline.operators import spatial as S
 from strandline.operators.rates import change_regress
 from strandline.plans.standins import places, table
+from strandline.sources import layers
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -137,6 +138,15 @@ def clip_semi(spark, sf):
     return S.clip(_points(spark, sf), _polygons(spark), "pid").select("pid")
 
 
+@query(f"""WITH {_XY}, {_POLY} SELECT pid FROM cust WHERE (px BETWEEN 5200.5 AND 5900.5 AND py BETWEEN 100.5 AND 9900.5)
+  OR (pid IN (SELECT pid FROM hit) AND NOT (px BETWEEN 2000.5 AND 7000.5 AND py BETWEEN 2000.5 AND 4000.5))""")
+def edited_water_mask(spark, sf):
+    edits = spark.sql("""SELECT type, transform(ring, p -> struct(p[0] AS x, p[1] AS y)) AS ring FROM VALUES
+      ('add', array(array(5200.5D, 100.5D), array(5900.5D, 100.5D), array(5900.5D, 9900.5D), array(5200.5D, 9900.5D))),
+      ('remove', array(array(2000.5D, 2000.5D), array(7000.5D, 2000.5D), array(7000.5D, 4000.5D), array(2000.5D, 4000.5D))) AS t(type, ring)""")
+    return S.in_edited(_points(spark, sf), _polygons(spark), edits, "pid")
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def drop_anti(spark, sf):
     from strandline.operators.surveys import drop_rows
@@ -238,6 +248,17 @@ def albers_project(spark, sf):
     return _r(_lonlat(spark, sf).select("uid", geodesy.albers(F.col("lon"), F.col("lat")).alias("p")).select("uid", "p.x", "p.y"), "x", "y", digits=3)
 
 
+@query(f"""WITH {_LL}, q AS (SELECT uid, lon, sin(radians(lat)) AS s FROM ll),
+r AS (SELECT uid, {geodesy.A} * sqrt({_C!r} - {_N!r} * ({1 - geodesy.E2!r} * (s / (1 - {geodesy.E2!r} * s * s) - ln((1 - {geodesy.E1!r} * s) / (1 + {geodesy.E1!r} * s)) / {2 * geodesy.E1!r}))) / {_N!r} AS rho,
+  {_N!r} * radians(lon - 132) AS th FROM q)
+SELECT uid, 3::BIGINT AS n, round(rho * sin(th), 3) + 0.0 AS x, round({_RHO!r} - rho * cos(th), 3) + 0.0 AS y FROM r""")
+def reprojected_layer(spark, sf):
+    place = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
+    layer = _lonlat(spark, sf).select("uid", F.array(place, place, place).alias("points"))
+    moved = layers.on_plane(layer)
+    return _r(moved.select("uid", F.size("points").cast("bigint").alias("n"), F.element_at("points", -1).alias("p")).select("uid", "n", "p.x", "p.y"), "x", "y", digits=3)
+
+
 @query(f"WITH {_LL} SELECT uid, round(lon, 6) + 0.0 AS lon, round(lat, 6) + 0.0 AS lat FROM ll")
 def albers_round_trip(spark, sf):
     p = _lonlat(spark, sf).select("uid", geodesy.albers(F.col("lon"), F.col("lat")).alias("p"))

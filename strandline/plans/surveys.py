@@ -201,11 +201,7 @@ SELECT tile, run_id, round(duration, 6) + 0.0 AS duration, error, status FROM l
 def run_status(spark, sf):
     error = F.when(F.col("event_type") == "purchase", "memory").when(~F.col("event_type").isin("view", "click"), "error code 1")
     runs = table(spark, sf, "events").select(F.col("event_id").alias("run_id"), F.col("user_id").alias("tile"), F.col("value").alias("duration"), error.alias("error"))
-    good = F.count("*") > F.count("error")
-    status = runs.groupBy("tile").agg(
-        F.when(F.count("*") == 1, F.when(good, "succeeded").otherwise("failed")).otherwise(F.when(good, "succeeded after retry").otherwise("failed after retry")).alias("status")
-    )
-    return _r(P.longest_attempt(runs, "tile", "duration").join(status, "tile"), "duration")
+    return _r(P.longest_attempt(runs, "tile", "duration").join(P.run_status(runs), "tile"), "duration")
 
 
 @query("""SELECT event_id, CASE WHEN count(value) OVER w >= 3 THEN round(median(value) OVER w, 6) + 0.0 END AS rolling FROM events

@@ -74,6 +74,16 @@ def geojson(spark: SparkSession, path: str, bbox: Sequence[float] | None = None,
     return out.where(touches)
 
 
+def on_plane(layer: DataFrame, points: str = "points") -> DataFrame:
+    """A layer in degrees with its ``points`` on the Albers plane."""
+    from strandline.functions import geodesy
+
+    def place(p):
+        return geodesy.albers(p["x"], p["y"])
+
+    return layer.withColumn(points, F.transform(points, place))
+
+
 def merged_tiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The layers of all tiles as one; a tile may lack columns."""
     from functools import reduce

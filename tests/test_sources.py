@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline import cli, recipe, sinks
+from strandline.operators import reports
 from strandline.sources import layers, surveys, tiff
 from strandline.sources.geopackage import geopackage
 from strandline.streaming.composites import append_metrics, running_composite
@@ -118,6 +119,25 @@ def test_tiff(spark, tmp_path):
     assert len(again) == 2 and (tiff.decode(bytes(again[0].content))[0] == values).all()
 
 
+WORKFLOW = """
+spec: {arguments: {parameters: [{name: cpu-limit, value: "2"}, {name: result-version, value: v1}]}}
+status:
+  nodes:
+    a-1: {type: Pod, inputs: {parameters: [{name: id, value: "7"}]}, outputs: {exitCode: "137"}, finishedAt: "2023-01-02T03:04:05Z", resourcesDuration: {cpu: 240, memory: 9}}
+    a-2: {type: Pod, inputs: {parameters: [{name: id, value: "7"}]}, outputs: {exitCode: "0"}, finishedAt: "2023-01-02T04:04:05Z", resourcesDuration: {cpu: 120, memory: 9}}
+    a-3: {type: Pod, inputs: {parameters: [{name: id, value: "8"}]}, resourcesDuration: {cpu: 120, memory: 9}}
+    a-4: {type: Pod, inputs: {parameters: [{name: v, value: v1}]}, outputs: {exitCode: "0"}, resourcesDuration: {cpu: 1, memory: 1}}
+    a-5: {type: DAG}
+"""
+
+
+def test_workflow_runs(spark):
+    runs = reports.workflow_runs(spark, WORKFLOW)
+    assert [(r.run_id, r.tile, r.duration, r.error) for r in runs.orderBy("run_id").collect()] == [("a-1", 7, 2.0, "memory"), ("a-2", 7, 1.0, None), ("a-3", 8, None, "pod deleted")]
+    assert {r.tile: r.status for r in reports.run_status(runs).collect()} == {7: "succeeded after retry", 8: "failed"}
+    assert {r.tile: r.run_id for r in reports.longest_attempt(runs, "tile", "duration").collect()} == {7: "a-1", 8: "a-3"}
+
+
 def test_survey_files(spark, tmp_path):
     (tmp_path / "beach_S1_20190304.txt").write_text("# LONGITUDE: 147.5\n# LATITUDE: -43.1\n# TRUE BEARING TRANSECT DEGREES: 95\n# other\ndist z flag\n0.0  2.5 2\n5.0 -9999 2\n\n10.0 -0.5 1\n")
     lines = surveys.lines(spark, str(tmp_path))
