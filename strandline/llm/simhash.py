@@ -28,7 +28,8 @@ from strandline.llm.text import ASCII_LOWER, encoded, free_name, map_batches, te
 from strandline.storage import durable
 
 WIDTH, SEED, RADIUS, BITS, BUCKET, LEVELS = 3, 42, 2, 64, 64, 3
-BROADCAST_IDS = 1_000_000
+#: Ids, and labels of classes, that are broadcast; copies from which on a class's label is.
+BROADCAST_IDS, BROADCAST_ROWS, HOT_COPIES = 1_000_000, 200_000, 10_000
 BLOCK = 1 << 15
 
 
@@ -142,12 +143,15 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id``: one row per document, exact for the radius."""
     marked = durable(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
+    classes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "fingerprint-classes")
     return labelled(marked, classes, components(links(classes.select("fp"))))
 
 
 def labelled(marked: DataFrame, classes: DataFrame, stars: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of the rows ``doc_id, fp``, with their classes ``fp, rep`` and the components ``node, root`` of these."""
+    """``doc_id, fp, component_id`` of the rows ``doc_id, fp``, with their classes ``fp, rep, copies`` and the components ``node, root`` of these.
+
+    Classes of very many copies get their label by a broadcast, so that no task has to take all copies of one text.
+    """
     # a component's members and root get the smallest id among all of its classes
     member = classes.join(stars.withColumnRenamed("node", "fp"), "fp")
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -155,7 +159,15 @@ def labelled(marked: DataFrame, classes: DataFrame, stars: DataFrame) -> DataFra
     labels = durable(
         classes.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")), "fingerprint-labels"
     )
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    many = classes.where(F.col("copies") > HOT_COPIES).select("fp")
+    names = ("doc_id", "fp", "component_id")
+    n_many = many.count()
+    if not n_many:
+        return marked.join(labels, "fp").select(*names)
+    hot = labels.join(many, "fp", "left_semi")
+    hot = F.broadcast(hot) if n_many <= BROADCAST_ROWS else hot
+    rest = marked.join(hot.select("fp"), "fp", "left_anti").join(labels, "fp").select(*names)
+    return rest.unionByName(marked.join(hot, "fp").select(*names))
 
 
 def _signed_fingerprint(text: str | None) -> int:

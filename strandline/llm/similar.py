@@ -303,9 +303,9 @@ def _settled(roots: DataFrame, hot: DataFrame, sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id``: one row per document."""
     rows = durable(marked(docs, id_col, text_col), "marked")
-    first = (F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sketch").alias("sketch"))
+    first = (F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sketch").alias("sketch"))
     classes = durable(rows.groupBy("fp").agg(*first), "set-classes")
-    return simhash.labelled(rows.select("doc_id", "fp"), classes.select("fp", "rep"), linked(docs, classes, id_col, text_col))
+    return simhash.labelled(rows.select("doc_id", "fp"), classes.select("fp", "rep", "copies"), linked(docs, classes, id_col, text_col))
 
 
 def marked_rows(docs: DataFrame, name: str) -> DataFrame:

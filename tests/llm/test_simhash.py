@@ -104,3 +104,10 @@ def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(100)] + [(200, 201), (201, 200), (300, 300)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(101)} | {200: 200, 201: 200}
+
+
+def test_classes_of_many_copies(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ["a b c d", "e f g h i", f"own {i} words here"][min(2, i % 4)]) for i in range(60)], "doc_id long, text string")
+    want = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    monkeypatch.setattr(simhash, "HOT_COPIES", 5)
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()} == want and len(want) == 60
