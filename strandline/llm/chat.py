@@ -60,9 +60,18 @@ class Template:
         self.raw = {i: raw for raw, i in ranks.items()}
         self.raw |= {self.start: START.encode(), self.end: END.encode()}
         self.feed = self.bpe.encode("\n")
+        self.heads: dict[str, list[int]] = {}
+
+    def head(self, role: str) -> list[int]:
+        """The ids up to a turn's text; roles are few, so they are remembered, up to a thousand."""
+        if role not in self.heads:
+            if len(self.heads) > 1000:
+                self.heads.clear()
+            self.heads[role] = [self.start, *self.bpe.encode(escape_role(role)), *self.feed]
+        return self.heads[role]
 
     def turn(self, role: str, text: str) -> tuple[list[int], np.ndarray]:
-        head = [self.start, *self.bpe.encode(escape_role(role)), *self.feed]
+        head = self.head(role)
         body = self.bpe.encode(escape(text))
         ids = [*head, *body, self.end, *self.feed]
         marks = np.zeros(len(ids) + 1, np.int8)
@@ -74,11 +83,15 @@ class Template:
     def text(self, ids) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")
 
-    def read(self, ids: np.ndarray) -> Iterator[tuple[str, str]]:
-        """(role, text) of the turns in a run of ids."""
-        for a, b in zip(np.flatnonzero(ids == self.start), np.flatnonzero(ids == self.end), strict=True):
-            role, _, text = self.text(ids[a + 1 : b].tolist()).partition("\n")
-            yield unescape_role(role), unescape(text)
+    def read(self, ids: np.ndarray) -> Iterator[tuple[str, str, int]]:
+        """(role, text, characters up to the next turn) of the turns in a run of ids; each id is decoded once."""
+        starts, ends = np.flatnonzero(ids == self.start).tolist(), np.flatnonzero(ids == self.end).tolist()
+        extra = len(self.text(ids[: starts[0]].tolist())) if starts else 0
+        for a, b, nxt in zip(starts, ends, [*starts[1:], len(ids)], strict=True):
+            whole = self.text(ids[a + 1 : b].tolist())
+            role, _, text = whole.partition("\n")
+            yield unescape_role(role), unescape(text), extra + len(START) + len(whole) + len(END) + len(self.text(ids[b + 1 : nxt].tolist()))
+            extra = 0
 
 
 def formatted(conversations: DataFrame, path: str | None = None) -> DataFrame:
@@ -126,13 +139,13 @@ def read_back(turns: DataFrame, path: str | None = None) -> DataFrame:
                     n = chars = length = 0
                     turns_hash, loss_hash = hashlib.sha256(), hashlib.sha256()
                 ids, mask = ids.values.to_numpy(), mask.values.to_numpy()
-                for role, text in template.read(ids):
+                for role, text, size in template.read(ids):
+                    length += size
                     turns_hash.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
                     n += 1
                 loss = unescape(template.text(ids[mask == 1].tolist()))
                 loss_hash.update(loss.encode("utf-8", "surrogatepass"))
                 chars += len(loss)
-                length += len(template.text(ids.tolist()))
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=names)
                 done = []
