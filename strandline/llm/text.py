@@ -73,8 +73,9 @@ def text_column(column: Column, make: Callable[[], Callable[[str | None], object
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:
-            done = [pa.array([work(t) for t in part.to_pylist()], arrow) for part in slices(batch)]
-            yield pa.concat_arrays(done) if done else pa.array([], arrow)
+            # a part at a time, so that a worker holds one batch of texts and not their results as well
+            for part in slices(batch):
+                yield pa.array([work(t) for t in part.to_pylist()], arrow)
 
     return run.asNondeterministic()(column.cast("string"))
 
