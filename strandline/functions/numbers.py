@@ -28,6 +28,16 @@ def tidy(value: Column, digits: int) -> Column:
     return F.bround(value, digits) + F.lit(0.0)
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """Rounded half to even in floating point, as NumPy's ``round`` and DuckDB's ``round_even`` do: scaled, rounded, scaled back.
+
+    ``bround`` rounds the shortest text of a double instead; 33.535 * 100 is 3353.4999999999995, no tie, though its text looks like one.
+    Values too large to scale stay as they are.
+    """
+    scale = F.lit(10.0**digits)
+    return F.when(F.abs(value) < 1e300, F.rint(value * scale) / scale).otherwise(value)
+
+
 def polynomial(x: Column, *coefficients: float) -> Column:
     """c0 + c1 x + c2 x² + … in Horner form."""
     return reduce(lambda acc, c: acc * x + F.lit(c), reversed(coefficients[:-1]), F.lit(coefficients[-1]))

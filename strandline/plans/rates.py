@@ -154,7 +154,7 @@ def wms_sink(spark, sf):
     from strandline.sinks import sink_view
 
     out = R.wms_fields(_certain(spark, sf))
-    return sink_view(out.select("uid", "wms_abs", "wms_conf", "wms_grew", "wms_retr", "wms_sig", "wms_good", "certainty"))
+    return sink_view(out.select("uid", "wms_abs", "wms_conf", "wms_grew", "wms_retr", "wms_sig", "wms_good", "certainty"), {"uid": "string"})
 
 
 _YEARS = range(FIRST, LAST + 1)

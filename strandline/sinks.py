@@ -5,6 +5,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.functions.numbers import half_even
+
 # Types of the columns of published layers, and the widths of texts; every other column is decimal(8,2).
 SINK_TYPES = {
     "id_primary": "string(10)", "uid": "string(11)", "certainty": "string(25)", "tide_datum": "string(20)", "outl_time": "string(80)",
@@ -25,7 +27,7 @@ def sink_view(df: DataFrame, types: Mapping[str, str] | None = None, default: st
             return F.col(c)
         if kind.startswith("decimal"):
             digits = int(kind.rstrip(")").split(",")[1])
-            return F.bround(F.col(c).cast("double"), digits).cast(kind).alias(c)
+            return half_even(F.col(c).cast("double"), digits).cast(kind).alias(c)
         if kind.startswith("string("):
             return F.substring(F.col(c).cast("string"), 1, int(kind[7:-1])).alias(c)
         return F.col(c).cast(kind).alias(c)

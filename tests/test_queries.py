@@ -43,6 +43,23 @@ def test_query(spark, con, name):
     assert a == b, (list((a - b).items())[:3], list((b - a).items())[:3])
 
 
+@pytest.mark.parametrize("first", [1, 700000000001])
+def test_wms_sink_of_rates_that_end_in_five(spark, tmp_path, first):
+    """33.535 * 100 is less than 3353.5 and 37.505 * 100 more than 3750.5: neither is a tie to SQL. Ids have any length."""
+    rates = [33.535, 32.995, 37.505, -37.145, -16.725, 10.085, 78.305, 10.525, -5.215]
+    # 0.0001 beyond each rate, so that its third decimal is safe
+    rows = ", ".join(f"({first + i}, {y}, {1000 + (r + math.copysign(0.0001, r)) * (y - 1998)})" for i, r in enumerate(rates) for y in range(1995, 2002))
+    con = duckdb.connect()
+    con.sql(f"""CREATE VIEW lineitem AS SELECT uid::BIGINT AS l_suppkey, make_timestamp(y, 6, 1, 0, 0, 0.0) AS l_shipdate, v::DOUBLE AS l_extendedprice,
+      1.0::DOUBLE AS l_quantity FROM (VALUES {rows}) t(uid, y, v)""")
+    con.sql(f"COPY lineitem TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
+    got = {tuple(r) for r in catalogue.QUERIES["wms_sink"](spark, str(tmp_path)).collect()}
+    want = set(con.sql(catalogue.ORACLE_SQL["wms_sink"]).fetchall())
+    assert got == want and len(got) == len(rates), (got - want, want - got)
+    shown = {r[0]: float(r[1]) for r in got}
+    assert [shown[str(first + i)] for i in range(len(rates))] == [33.53, 32.99, 37.51, 37.15, 16.73, 10.09, 78.31, 10.52, 5.22]
+
+
 def test_all_others_are_below():
     assert set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL) == {"ransac_outliers", "sieve", "subpixel_contours", "coastal_index"}
 
