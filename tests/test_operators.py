@@ -172,6 +172,17 @@ def test_transects_are_perpendicular(spark):
     assert all(abs(r.sx - r.at) < 1e-9 and abs(r.ex - r.at) < 1e-9 and abs(abs(r.sy - r.ey) - 400) < 1e-9 for r in rows)
 
 
+def test_transects_grow_with_their_line(spark):
+    """Places are found by the segment that holds them; joined with all segments of its line they would grow with the square."""
+    line = spark.range(3001).select(F.lit("a").alias("line"), F.col("id").alias("ord"), (F.col("id") * 70.0).alias("x"), (F.col("id") % 2 * 9.0).alias("y"))
+    parts = S.segments(line, ["line"])
+    got = S.transects(parts, ["line"])
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    total = one(parts.agg(F.max("stop").alias("t"))).t
+    assert sorted(r.at for r in got.collect()) == [20.0 + 200 * k for k in range(int((total - 20) // 200) + 1) if 40.0 + 200 * k < total]
+    assert S.transects(parts.withColumn("line", F.lit(None).cast("string")), ["line"]).count() == 0
+
+
 def test_azimuth_and_degrees(spark):
     assert value(spark, geometry.azimuth(*map(F.lit, (0.0, 0.0, 0.0, 5.0)))) == 360.0
     assert value(spark, geometry.azimuth(*map(F.lit, (0.0, 0.0, 5.0, 0.0)))) == 90.0
