@@ -122,6 +122,15 @@ def test_transects_lead_to_sea(spark, polygons):
     assert {(r.at, r.sy, r.ey) for r in S.oriented_transects(found, polygons, ["at"]).collect()} == {(1, 5.0, 20.0), (2, 5.0, 20.0)}
 
 
+def test_coastal_transects_follow_the_simplified_line(spark):
+    """Bends within the tolerance go before transects are drawn; those of the line as it is would be askew."""
+    line = spark.createDataFrame([("a", i, 70.0 * i, 100.0 * (i % 2)) for i in range(31)], "line string, ord int, x double, y double")
+    land = spark.createDataFrame([([(-500.0, 0.0), (3000.0, 0.0), (3000.0, -900.0), (-500.0, -900.0)],)], "ring array<struct<x:double,y:double>>")
+    got = sorted(S.coastal_transects(line, land, ["line"]).collect(), key=lambda r: r.at)
+    assert [(r.at, *(round(v, 6) for v in (r.sx, r.sy, r.ex, r.ey))) for r in got] == [(x, x, -200.0, x, 200.0) for x in (20.0 + 200 * k for k in range(11))]
+    assert {r.at for r in S.coastal_transects(line, land, ["line"], tolerance=10.0).collect()} != {r.at for r in got}
+
+
 def test_small_operators(spark):
     line = spark.createDataFrame([("a", i, float(i), 0.001 * (i % 2)) for i in range(9)], "line string, ord int, x double, y double")
     assert S.simplified(line, ["line"], 0.1).count() == 2
