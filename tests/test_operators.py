@@ -158,6 +158,23 @@ def test_bucket_joins_equal_all_pairs(spark):
     assert {r.uid: r.pid for r in S.nearest_within(left, right, "uid", 40.0).collect()} == want
 
 
+def test_nearest_vectors_equal_all_pairs(spark):
+    """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
+    rng = random.Random(4)
+    rows = [(i, [rng.choice((0.0, 1e-4, 0.5, 1.0, 3e3)) + rng.choice((0.0, 1e-3)) for _ in range(6)]) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 300, 7)] + [(5000, [1.0]), (5050, None), (5100, [1.0, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    q = df.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qe"))
+    found = S.nearest_vectors(q, df, "qid", "qe", "vec_id", "embedding")
+    got = {r.qid: r.vec_id for r in found.collect()}
+    want = {}
+    for k, v in rows:
+        if k % 50 == 0 and v and len(v) == 6:
+            want[k] = min((math.floor(sum((a - b) ** 2 for a, b in zip(v, u)) * 1e5 + 0.5) / 1e5, j) for j, u in rows if j != k and u and len(u) == 6)[1]
+    assert got == want
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hotspot_certainty(spark):
     centres = spark.createDataFrame([("a", 0.0, 0.0), ("b", 1e5, 0.0), ("c", 2e5, 0.0)], "uid string, cx double, cy double")
     places = spark.createDataFrame([(0.1 * i, 0.0) for i in range(34)] + [(1e5 + 0.1 * i, 0.0) for i in range(33)], "px double, py double")
