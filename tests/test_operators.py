@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,6 +159,40 @@ def test_bucket_joins_equal_all_pairs(spark):
     assert {r.uid: r.pid for r in S.nearest_within(left, right, "uid", 40.0).collect()} == want
 
 
+def crowded(spark):
+    """Few places with many rows each, and a key (7) that has two rows at one place and one at another."""
+    rng = random.Random(3)
+    places = [(0.0, 0.0), (30.0, 40.0), (-50.0, 0.0), (55.0, 40.0), (400.0, 0.0)]
+    a = [(i, *rng.choice(places)) for i in range(40)] + [(7, *places[1]), (7, *places[1]), (7, *places[4]), (99, None, None)]
+    b = [(i, *rng.choice(places[:4])) for i in range(90)] + [(1000, None, 0.0)]
+    return a, b, spark.createDataFrame(a, "uid int, cx double, cy double"), spark.createDataFrame(b, "pid int, px double, py double")
+
+
+def places_meet(df):
+    """Whether both sides of the join on cells are grouped first, so that it can't pair the rows of places."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.split(r"Join Inner, .*_cx#", plan)[1].count("Aggregate [") >= 2
+
+
+def nearest_of(a, b, radius):
+    """Rows of a key with all of b that are nearest to any of the key's rows, as the join with the query's ranks gives them."""
+    out = []
+    for k, x, y in a:
+        near = [(math.hypot(u - cx, v - cy), j) for kk, cx, cy in a if kk == k and cx is not None for j, u, v in b if u is not None and math.hypot(u - cx, v - cy) <= radius]
+        out += [(k, j) for d, j in near if d == min(near)[0]] or [(k, None)]
+    return sorted(out, key=str)
+
+
+def test_nearest_attribute_of_crowded_places(spark):
+    a, b, left, right = crowded(spark)
+    got = S.nearest_attribute(left.where("uid <> 7"), right.withColumn("kind", F.when(F.col("pid") % 3 == 0, "Unclassified").when(F.col("pid") % 3 == 1, "rocky").otherwise("sandy")), "uid", "kind", 60.0)
+    kinds = {k: None for k, _, _ in a if k != 7}
+    for k, j in nearest_of([r for r in a if r[0] != 7], [r for r in b if r[0] % 3], 60.0):
+        if j is not None:
+            kinds[k] = min(kinds[k] or "z", "rocky" if j % 3 == 1 else "sandy")
+    assert {r.uid: r.kind for r in got.collect()} == kinds and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
