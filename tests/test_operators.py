@@ -193,6 +193,13 @@ def test_nearest_attribute_of_crowded_places(spark):
     assert {r.uid: r.kind for r in got.collect()} == kinds and places_meet(got)
 
 
+def test_nearest_rows_of_crowded_places(spark):
+    a, b, left, right = crowded(spark)
+    got = S.nearest_within(left, right, "uid", 60.0)
+    assert got.columns == ["uid", "cx", "cy", "pid", "px", "py", "distance"]
+    assert sorted(((r.uid, r.pid) for r in got.collect()), key=str) == nearest_of(a, b, 60.0) and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
