@@ -200,6 +200,13 @@ def test_nearest_rows_of_crowded_places(spark):
     assert sorted(((r.uid, r.pid) for r in got.collect()), key=str) == nearest_of(a, b, 60.0) and places_meet(got)
 
 
+def test_counts_of_crowded_places(spark):
+    a, b, left, right = crowded(spark)
+    got = S.hotspot_counts(left, right, 60.0)
+    want = {k: sum(math.hypot(u - x, v - y) < 59 for kk, x, y in a if kk == k and x is not None for _, u, v in b if u is not None) for k, _, _ in a}
+    assert sorted((r.uid, r.n) for r in got.collect()) == sorted((k, want[k]) for k, _, _ in a) and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
