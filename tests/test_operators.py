@@ -207,6 +207,15 @@ def test_counts_of_crowded_places(spark):
     assert sorted((r.uid, r.n) for r in got.collect()) == sorted((k, want[k]) for k, _, _ in a) and places_meet(got)
 
 
+def test_rocky_flag_of_crowded_places(spark):
+    a, b, left, right = crowded(spark)
+    got = S.rocky_flag(left, right, "uid", "pid % 30 = 1", 60.0)
+    want = {k: False for k, _, _ in a}
+    for k, j in nearest_of(a, b, 60.0):
+        want[k] = want[k] or (j is not None and j % 30 == 1)
+    assert {r.uid: r.rocky for r in got.collect()} == want and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
