@@ -216,6 +216,15 @@ def test_rocky_flag_of_crowded_places(spark):
     assert {r.uid: r.rocky for r in got.collect()} == want and places_meet(got)
 
 
+@pytest.mark.parametrize("shape", ["disc", "polygon"])
+def test_pairs_of_crowded_places(spark, shape):
+    a, b, left, right = crowded(spark)
+    got = S.within_distance(left, right, 60.0, shape)
+    want = sorted((k, j) for k, x, y in a if x is not None for j, u, v in b if u is not None and math.hypot(u - x, v - y) < 59)
+    assert got.columns == ["uid", "cx", "cy", "pid", "px", "py"]
+    assert sorted((r.uid, r.pid) for r in got.collect()) == want and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
