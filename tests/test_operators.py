@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -225,6 +226,18 @@ def test_pairs_of_crowded_places(spark, shape):
     assert sorted((r.uid, r.pid) for r in got.collect()) == want and places_meet(got)
 
 
+def test_hotspots_of_crowded_places(spark):
+    a, b, left, right = crowded(spark)
+    moves = [(u, v, y, None if j % 11 == 0 else float(j * y % 7)) for j, u, v in b for y in (2000, 2001)]
+    got = S.hotspots(left, spark.createDataFrame(moves, "px double, py double, year int, dist double"), 60.0)
+    want = {}
+    for k, x, y in a:
+        for u, v, t, d in moves:
+            if x is not None and u is not None and math.hypot(u - x, v - y) < 59:
+                want.setdefault((k, t), []).append(d)
+    assert {(r.uid, r.year): r.dist for r in got.collect()} == {k: statistics.median([d for d in v if d is not None]) for k, v in want.items()} and places_meet(got)
+
+
 def test_nearest_vectors_equal_all_pairs(spark):
     """Ties of rounded distances go to the smallest id, copies included; no sort of pairs is planned."""
     rng = random.Random(4)
