@@ -207,7 +207,7 @@ def run_status(spark, sf):
 @query("""SELECT event_id, CASE WHEN count(value) OVER w >= 3 THEN round(median(value) OVER w, 6) + 0.0 END AS rolling FROM events
 WINDOW w AS (PARTITION BY user_id % 5 ORDER BY epoch_us(ts) RANGE BETWEEN 1799999999 PRECEDING AND CURRENT ROW)""")
 def rolling_median_30min(spark, sf):
-    e = table(spark, sf, "events").withColumn("g", F.col("user_id") % 5)
+    e = table(spark, sf, "events").select("event_id", (F.col("user_id") % 5).alias("g"), "ts", "value")
     return _r(P.rolling_median(e, ["g"], "ts", "value", 30, 3).select("event_id", "rolling"), "rolling")
 
 

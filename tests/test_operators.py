@@ -12,6 +12,7 @@ from strandline.functions.statistics import circular, student_p
 from strandline.operators import composites as C
 from strandline.operators import rates as R
 from strandline.operators import rasters as X
+from strandline.operators import reports as P
 from strandline.operators import spatial as S
 from strandline.operators import surveys as V
 from strandline.operators import validation as A
@@ -348,6 +349,22 @@ def test_accuracy_weights_and_bias(spark):
     assert r.stdev is None and r["corr"] is None
 
 
+def test_rolling_median_moves_through_slices(spark):
+    """Against a plain search, over many slices of time, with equal times, unknown values and times; no window holds a whole key."""
+    rng = random.Random(6)
+    start = 1_700_000_000
+    rows = [(i, rng.choice(("a", "b", None)), start + rng.randrange(200_000) // 7 * 7, rng.choice((None, 1.0, 2.5, rng.random()))) for i in range(1500)] + [(2000 + i, "a", None, 1.0 * i) for i in range(4)]
+    df = spark.createDataFrame(rows, "id int, k string, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
+    got = P.rolling_median(df, ["k"], "ts", "v", 30, 3)
+    assert got.columns == [*df.columns, "rolling"]
+    want = {}
+    for i, k, t, _ in rows:
+        near = [v for _, kk, u, v in rows if kk == k and v is not None and ((t is None and u is None) or (t is not None and u is not None and t - 1800 < u <= t))]
+        want[i] = statistics.median(near) if len(near) >= 3 else None
+    assert {r.id: r.rolling for r in got.collect()} == want
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_nan_and_negative_zero(spark):
     df = nan_to_null(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"))
     assert [r.v for r in df.collect()] == [None, 1.0]
