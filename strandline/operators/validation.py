@@ -1,13 +1,16 @@
 """Accuracy of shorelines against surveys, and trends of runs."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.storage import durable
+
 
 def accuracy(df: DataFrame, survey: str, product: str, by: Sequence[str] = (), weight: str | None = None, remove_bias: bool = False) -> DataFrame:
-    """``n, mae, rmse, stdev, corr, bias`` of the differences survey less product, all in one pass.
+    """``n, mae, rmse, stdev, corr, bias`` of the differences survey less product, in one pass, or two with ``remove_bias``.
 
     Rounded to 2 places, the correlation to 3. ``n`` is the sum of ``weight`` if given. Deviation and correlation
     are NULL below two rows. ``remove_bias`` takes each group's bias from the differences first; ``bias`` is always
@@ -17,7 +20,10 @@ def accuracy(df: DataFrame, survey: str, product: str, by: Sequence[str] = (), w
     rows = rows.withColumns({c: F.col(survey) - F.col(product) for c in ("_raw", "_d")})
     if remove_bias:
         if by:
-            rows = rows.withColumn("_d", F.col("_raw") - F.avg("_raw").over(Window.partitionBy(*by)))
+            # a written table of few rows is broadcast, by its size; a window would hold all rows of a group in one task
+            mean = durable(rows.groupBy(*(F.col(c).alias(f"_by_{c}") for c in by)).agg(F.avg("_raw").alias("_m")), "bias")
+            same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
+            rows = rows.join(mean, same).withColumn("_d", F.col("_raw") - F.col("_m"))
         else:  # one row of statistics, rather than all rows in one window
             mean = rows.agg(F.avg("_d").alias("_m"))
             rows = rows.join(F.broadcast(mean)).withColumn("_d", F.col("_d") - F.col("_m"))

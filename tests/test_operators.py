@@ -349,6 +349,17 @@ def test_accuracy_weights_and_bias(spark):
     assert r.stdev is None and r["corr"] is None
 
 
+def test_bias_of_groups_without_a_window(spark):
+    """No task holds the rows of a group, and a group without a name is one."""
+    rows = [(float(i % 7), float(i % 5), (None, "a", "b")[i % 3]) for i in range(60)]
+    got = A.accuracy(spark.createDataFrame(rows, "v double, s double, k string"), "v", "s", ["k"], remove_bias=True)
+    for r in got.collect():
+        d = [v - s for v, s, k in rows if k == r.k]
+        bias = sum(d) / len(d)
+        assert (r.n, r.bias) == (20, round(bias, 2)) and abs(r.mae - sum(abs(x - bias) for x in d) / 20) < 0.006
+    assert got.count() == 3 and "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rolling_median_moves_through_slices(spark):
     """Against a plain search, over many slices of time, with equal times, unknown values and times; no window holds a whole key."""
     rng = random.Random(6)
