@@ -131,6 +131,14 @@ def test_coastal_transects_follow_the_simplified_line(spark):
     assert {r.at for r in S.coastal_transects(line, land, ["line"], tolerance=10.0).collect()} != {r.at for r in got}
 
 
+def test_numbers_of_a_box_are_those_of_its_rows(spark):
+    """Points at one place are numbered alike, however the rows are dealt."""
+    df = spark.createDataFrame([(i * 37 % 200, float(i % 3), float(i % 2)) for i in range(200)], "pid int, x double, y double")
+    want = {p: i for i, (_, _, p) in enumerate(sorted((-float(i % 2), float(i % 3), i * 37 % 200) for i in range(200)))}
+    for rows in (df.repartition(5), df.orderBy(F.desc("pid"))):
+        assert {r.pid: r.id for r in S.subset_box(rows, (0, 0, 5, 5)).collect()} == want
+
+
 def test_small_operators(spark):
     line = spark.createDataFrame([("a", i, float(i), 0.001 * (i % 2)) for i in range(9)], "line string, ord int, x double, y double")
     assert S.simplified(line, ["line"], 0.1).count() == 2
